@@ -145,3 +145,36 @@ def customer_game_teams(spark: SparkSession, sf_dir: str, exclude_building: bool
     if exclude_building:
         customer = customer.filter(F.col("c_mktsegment") != "BUILDING")
     return rename(customer.select("c_custkey", "c_name"), CUSTOMER_AS_PLAYER_TEAMS)
+
+
+# ----------------------------------------------------------- users (keyed)
+USERS_KEY = "c_custkey"
+
+# --------------------------------------------------- partitioned players
+ORDERS_AS_ROSTER = {"o_orderkey": "ID", "o_orderstatus": "FullName", "o_orderpriority": "Position",
+                    "o_totalprice": "JerseyNumber", "o_custkey": "TeamID"}
+
+
+def orders_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select(*ORDERS_AS_ROSTER)
+    return rename(orders, ORDERS_AS_ROSTER)
+
+
+# ------------------------------------------------------- nested documents
+# Conversations regrouped into documents {conv_id, turns: [{turn, role, text}]}.
+# A document holds at most PAGE_TURNS turns: rows are paged by their position
+# in the scan (monotonically_increasing_id), so no conversation, however
+# large, is collected into one array or one task.
+PAGE_TURNS = 256
+CONVERSATION_DOC_DDL = "conv_id BIGINT, turns ARRAY<STRUCT<turn: BIGINT, role: STRING, text: STRING>>"
+
+
+def conversation_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = table(spark, sf_dir, "conversations")
+    page = F.floor(F.monotonically_increasing_id() / F.lit(PAGE_TURNS))
+    return (
+        conv.select("conv_id", page.alias("page"), F.struct("turn", "role", "text").alias("t"))
+        .groupBy("conv_id", "page")
+        .agg(F.array_sort(F.collect_list("t")).alias("turns"))
+        .select("conv_id", "turns")
+    )

@@ -12,10 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as Types
+
+from faceoff import functions as Fn
 from faceoff.functions import utc_clock
 from faceoff.operators import reports as R
+from faceoff.operators import tables as T
 from faceoff.operators.ranking import global_row_number
 from faceoff.plans import analogs as A
+from faceoff.session import scratch_dir
+from faceoff.sources import delimited as Dl
+from faceoff.sources import documents as D
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -186,3 +193,115 @@ def next_games_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 def utc_clock_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = A.table(spark, sf_dir, "events")
     return events.select("event_id", *[utc_clock("ts", z).alias(z) for z in ("est", "cst", "mst", "pst")])
+
+
+# ------------------------------------------------------ partitioned insert
+
+# Fixed values that must equal the reference's: the 32 team ids written to
+# the partitioned players table, in the reference's order.
+TEAM_IDS = (24, 53, 6, 7, 20, 12, 16, 21, 29, 25, 17, 22, 13, 26, 30, 8, 18, 1, 2, 3, 9, 4, 5, 28, 55, 19, 14, 10,
+            23, 54, 15, 52)
+
+
+@register("partitioned_insert_readback")
+def partitioned_insert_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db = T.create_database(spark)
+    name = f"{db}.partiPlayers"
+    T.insert_partitioned(spark, A.orders_roster(spark, sf_dir), name, "TeamID", TEAM_IDS, sort_by=["Position"])
+    back = T.read_partitions(spark, name, "TeamID", TEAM_IDS)
+    return A.rename(back, A.inverse(A.ORDERS_AS_ROSTER))
+
+
+# ------------------------------------------------------------ keyed tables
+
+
+def _users(spark: SparkSession, sf_dir: str) -> str:
+    customer = A.table(spark, sf_dir, "customer")
+    name = f"{T.create_database(spark)}.users"
+    T.create_keyed_table(spark, name, customer.schema, A.USERS_KEY)
+    T.append_rows(spark, name, customer)
+    return name
+
+
+@register("table_insert_if_absent")
+def table_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = _users(spark, sf_dir)
+    schema = spark.table(name).drop(T.BUCKET).schema
+    new = spark.createDataFrame([(5, "dup", 1, 0.0, "NEW"), (-1, "new", 1, 0.0, "NEW")], schema)
+    T.insert_if_absent(spark, name, new)
+    return T.read_table(spark, name)
+
+
+@register("table_update_by_key")
+def table_update_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = _users(spark, sf_dir)
+    T.update_by_key(spark, name, spark.createDataFrame([(42, "PST")], "c_custkey BIGINT, c_mktsegment STRING"))
+    return T.read_table(spark, name)
+
+
+@register("table_delete_by_key")
+def table_delete_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = _users(spark, sf_dir)
+    T.delete_by_key(spark, name, spark.createDataFrame([(42,)], "c_custkey BIGINT"))
+    return T.read_table(spark, name)
+
+
+@register("table_keyed_lookup")
+def table_keyed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.lookup(spark, _users(spark, sf_dir), 42, ["c_mktsegment", "c_nationkey"])
+
+
+@register("table_projection_view")
+def table_projection_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = _users(spark, sf_dir)
+    return T.projection_view(spark, name, f"users_public_{name.split('.')[0]}", ["c_custkey", "c_name", "c_mktsegment"])
+
+
+# -------------------------------------------------------------- documents
+
+
+def _conversation_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the conversation documents as JSON lines, read them back typed."""
+    path = scratch_dir(spark, "docs")
+    A.conversation_documents(spark, sf_dir).write.json(path)
+    return D.read_documents(spark, path, Types.StructType.fromDDL(A.CONVERSATION_DOC_DDL))
+
+
+@register("json_nested_ingest")
+def json_nested_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _conversation_docs(spark, sf_dir)
+    turns = D.explode_path(docs, "turns", keep=["conv_id"], alias="t")
+    return turns.select("conv_id", "t.turn", "t.role", "t.text")
+
+
+@register("json_first_element")
+def json_first_element(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First turn of each conversation: element 0 of each (sorted) document page,
+    then the smallest of those per conversation (partial aggregation)."""
+    docs = _conversation_docs(spark, sf_dir)
+    firsts = docs.select("conv_id", D.first_element("turns").alias("f"))
+    per_conv = firsts.groupBy("conv_id").agg(F.min("f").alias("f"))
+    return per_conv.select("conv_id", "f.turn", "f.role")
+
+
+@register("json_scalar")
+def json_scalar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = A.table(spark, sf_dir, "events")
+    return events.select("event_id", Fn.json_scalar("props", "k", cast="int").alias("k"))
+
+
+@register("normalize_key")
+def normalize_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = A.table(spark, sf_dir, "customer")
+    padded = F.concat(F.lit(" "), F.col("c_name"), F.lit("\t"))
+    return customer.select("c_custkey", Fn.normalize_key(padded).alias("k"), Fn.label("c_mktsegment").alias("label"))
+
+
+@register("delimited_roundtrip")
+def delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = A.table(spark, sf_dir, "part").select(
+        "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"
+    )
+    path = scratch_dir(spark, "delimited")
+    Dl.write_delimited(part, path)
+    return Dl.read_delimited(spark, path, part.schema)

@@ -141,6 +141,21 @@ def replace_snapshot(
 # ------------------------------------------------------ partitioned insert
 
 
+def for_partitioned_write(
+    df: DataFrame, partition_column: str, values: Iterable | None = None, sort_by: Sequence[str] = ()
+) -> DataFrame:
+    """Rows laid out for a write partitioned by ``partition_column``.
+
+    ``values`` keeps only those partition values (FLT-4, one ``In``
+    predicate).  The partition column goes last (Hive insert order); the
+    rows are rebalanced on it and sorted within each task (ORD-5) — no
+    global sort.
+    """
+    src = df if values is None else df.filter(F.col(partition_column).isin(list(values)))
+    cols = [c for c in src.columns if c != partition_column] + [partition_column]
+    return src.select(*cols).hint("rebalance", partition_column).sortWithinPartitions(partition_column, *sort_by)
+
+
 def insert_partitioned(
     spark: SparkSession,
     df: DataFrame,
@@ -151,12 +166,10 @@ def insert_partitioned(
 ) -> None:
     """SNK-4: write ``df`` into ``name`` partitioned by ``partition_column``.
 
-    ``values`` restricts the rows to those partition values (FLT-4, one
-    ``In`` predicate).  Re-running replaces only the partitions written.
+    Creates the table on first use; afterwards an insert replaces only the
+    partitions it writes (dynamic partition overwrite).
     """
-    src = df if values is None else df.filter(F.col(partition_column).isin(list(values)))
-    cols = [c for c in src.columns if c != partition_column] + [partition_column]
-    out = src.select(*cols).hint("rebalance", partition_column).sortWithinPartitions(partition_column, *sort_by)
+    out = for_partitioned_write(df, partition_column, values, sort_by)
     if table_exists(spark, name):
         out.write.insertInto(name, overwrite=True)
     else:

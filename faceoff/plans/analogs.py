@@ -24,8 +24,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_LOADED: dict[tuple, DataFrame] = {}
+
+
+def per_session(fn):
+    """Build an analog input once per (session, folder, arguments), like a view."""
+
+    def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs) -> DataFrame:
+        key = (fn.__name__, id(spark), sf_dir, args, tuple(sorted(kwargs.items())))
+        df = _LOADED.get(key)
+        if df is None or df.sparkSession is not spark:
+            df = _LOADED[key] = fn(spark, sf_dir, *args, **kwargs)
+        return df
+
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table, loaded once per session (file listing and footers are
+    resolved on the first read and reused, as for a catalog table)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _LOADED.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _LOADED[key] = spark.read.parquet(path)
+    return df
 
 
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -40,6 +65,7 @@ def inverse(mapping: dict[str, str]) -> dict[str, str]:
 SUPPLIER_AS_TEAMS = {"s_suppkey": "ID", "s_name": "Team"}
 
 
+@per_session
 def supplier_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rename(table(spark, sf_dir, "supplier"), SUPPLIER_AS_TEAMS)
 
@@ -52,10 +78,12 @@ TEAMS_SCOPE_OUT = {"Team": "c_custkey", "ABB": "c_name", "Location": "c_mktsegme
 TEAMS_SCOPE_COLUMNS = ("Team", "ABB", "Location", "Conference", "Division")
 
 
+@per_session
 def customer_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rename(table(spark, sf_dir, "customer"), CUSTOMER_AS_TEAMS)
 
 
+@per_session
 def nation_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") < 20)
     return rename(nation, NATION_AS_STANDINGS)
@@ -75,10 +103,12 @@ STANDINGS_ANALOG_COLUMNS = ("Team", "Conference", "Division", "l_orderkey", "GP"
 STANDINGS_ANALOG_TIES = ("l_orderkey", "GP", "W", "PTS", "OTL", "GPG", "Team", "Conference", "Division", "L", "GAPG")
 
 
+@per_session
 def lineitem_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rename(table(spark, sf_dir, "lineitem"), LINEITEM_AS_STANDINGS)
 
 
+@per_session
 def part_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").filter(F.col("p_size") <= 40)
     return rename(part, PART_AS_TEAMS)
@@ -91,10 +121,12 @@ CUSTOMER_AS_PLAYER_TEAMS = {"c_custkey": "ID", "c_name": "Team"}
 PLAYERS_OUT = {"Team": "team", "FullName": "o_orderkey", "Position": "position", "JerseyNumber": "o_orderstatus"}
 
 
+@per_session
 def orders_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rename(table(spark, sf_dir, "orders"), ORDERS_AS_PLAYERS)
 
 
+@per_session
 def customer_player_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") != "BUILDING")
     return rename(customer, CUSTOMER_AS_PLAYER_TEAMS)
@@ -106,6 +138,7 @@ PAST_GAMES_OUT = {"Date": "game_date", "Away": "away", "AwayScore": "o_orderprio
                   "HomeScore": "o_orderstatus"}
 
 
+@per_session
 def orders_past_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order listed twice (once per 'team'), like a schedule document."""
     orders = table(spark, sf_dir, "orders")
@@ -120,6 +153,7 @@ def orders_past_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def nation_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rename(table(spark, sf_dir, "nation"), NATION_AS_TEAMS)
 
@@ -128,6 +162,7 @@ def nation_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
 NEXT_GAMES_OUT = {"Date": "game_date", "Away": "away", "Home": "home"}
 
 
+@per_session
 def events_next_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     doubled = events.unionByName(events)
@@ -140,6 +175,7 @@ def events_next_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def customer_game_teams(spark: SparkSession, sf_dir: str, exclude_building: bool = False) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     if exclude_building:
@@ -155,6 +191,7 @@ ORDERS_AS_ROSTER = {"o_orderkey": "ID", "o_orderstatus": "FullName", "o_orderpri
                     "o_totalprice": "JerseyNumber", "o_custkey": "TeamID"}
 
 
+@per_session
 def orders_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(*ORDERS_AS_ROSTER)
     return rename(orders, ORDERS_AS_ROSTER)

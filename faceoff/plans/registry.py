@@ -20,6 +20,7 @@ from faceoff.operators import reports as R
 from faceoff.operators import tables as T
 from faceoff.operators.ranking import global_row_number
 from faceoff.plans import analogs as A
+from faceoff.plans.refresh import PARTITIONED_TEAM_IDS
 from faceoff.session import scratch_dir
 from faceoff.sources import delimited as Dl
 from faceoff.sources import documents as D
@@ -197,10 +198,7 @@ def utc_clock_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------ partitioned insert
 
-# Fixed values that must equal the reference's: the 32 team ids written to
-# the partitioned players table, in the reference's order.
-TEAM_IDS = (24, 53, 6, 7, 20, 12, 16, 21, 29, 25, 17, 22, 13, 26, 30, 8, 18, 1, 2, 3, 9, 4, 5, 28, 55, 19, 14, 10,
-            23, 54, 15, 52)
+TEAM_IDS = PARTITIONED_TEAM_IDS
 
 
 @register("partitioned_insert_readback")

@@ -35,6 +35,9 @@ def build_session(
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Python call-site capture costs several py4j round trips per Column
+        # call on the driver; plans are built from many small calls.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)

@@ -33,7 +33,8 @@ def global_row_number(df: DataFrame, order: Sequence[str], name: str = "pos") ->
     ensure_checkpoint_dir(df.sparkSession)
     columns = df.columns
     tagged = (
-        df.orderBy(*total_order(df, order))
+        # the row id splits runs of identical rows over several ranges
+        df.orderBy(*total_order(df, order), F.monotonically_increasing_id())
         .select("*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_MID))
         .checkpoint(eager=True)
     )

@@ -234,5 +234,10 @@ def preview(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 
 
 def ordered(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """The whole result in report order (a range-partitioned sort)."""
-    return df.orderBy(*total_order(df, order))
+    """The whole result in report order (a range-partitioned sort).
+
+    A row id is the last sort key: rows identical in every column are
+    interchangeable in the output, but without it they would share one
+    range and one sort task however many there are.
+    """
+    return df.orderBy(*total_order(df, order), F.monotonically_increasing_id())

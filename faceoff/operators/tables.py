@@ -215,16 +215,26 @@ def _with_bucket(df: DataFrame, key: str, buckets: int, data_cols: Sequence[str]
     return df.select(*[F.col(c) for c in data_cols], bucket_of(F.col(key).cast(key_type), buckets).alias(BUCKET))
 
 
-def _touched_buckets(changes: DataFrame, key: str, buckets: int, key_type: T.DataType) -> list[int]:
-    """Distinct buckets of a change set: at most ``buckets`` small ints."""
-    rows = changes.select(bucket_of(F.col(key).cast(key_type), buckets).alias(BUCKET)).distinct().collect()
-    return sorted(r[BUCKET] for r in rows)
+def _touched_buckets(changes: DataFrame, key: str, buckets: int, key_type: T.DataType, unique: bool = False) -> list[int]:
+    """Distinct buckets of a change set (at most ``buckets`` small ints).
 
-
-def _require_unique(changes: DataFrame, key: str) -> None:
-    dup = changes.groupBy(key).count().filter(F.col("count") > 1).limit(1).collect()
-    if dup:
-        raise ValueError(f"change set has duplicate key {dup[0][key]!r}")
+    With ``unique`` the same job also fails on a key that occurs twice in the
+    change set: per bucket, the row count must equal the distinct key count
+    (NULL counted as a key).
+    """
+    k = F.col(key).cast(key_type)
+    per_bucket = changes.select(bucket_of(k, buckets).alias(BUCKET), k.alias("__k")).groupBy(BUCKET)
+    if not unique:
+        return sorted(r[BUCKET] for r in per_bucket.agg(F.lit(1)).collect())
+    stats = per_bucket.agg(
+        F.count(F.lit(1)).alias("__rows"),
+        F.count_distinct(F.col("__k")).alias("__keys"),
+        F.sum(F.col("__k").isNull().cast("int")).alias("__nulls"),
+    ).collect()
+    for r in stats:
+        if r["__rows"] != r["__keys"] + min(r["__nulls"], 1) or r["__nulls"] > 1:
+            raise ValueError(f"change set has a duplicate key (bucket {r[BUCKET]})")
+    return sorted(r[BUCKET] for r in stats)
 
 
 def append_rows(spark: SparkSession, name: str, rows: DataFrame) -> None:
@@ -242,8 +252,7 @@ def insert_if_absent(spark: SparkSession, name: str, rows: DataFrame) -> None:
     set is the build side; its output is at most the change set.
     """
     key, buckets, data_cols, key_type = _key_layout(spark, name)
-    _require_unique(rows, key)
-    touched = _touched_buckets(rows, key, buckets, key_type)
+    touched = _touched_buckets(rows, key, buckets, key_type, unique=True)
     if not touched:
         return
     candidate_keys = rows.select(F.col(key).cast(key_type).alias(key))
@@ -264,8 +273,7 @@ def update_by_key(spark: SparkSession, name: str, changes: DataFrame) -> None:
     unknown = [c for c in set_cols if c not in data_cols]
     if unknown:
         raise ValueError(f"unknown columns in change set: {unknown}")
-    _require_unique(changes, key)
-    touched = _touched_buckets(changes, key, buckets, key_type)
+    touched = _touched_buckets(changes, key, buckets, key_type, unique=True)
     if not touched:
         return
     hit = "__hit"
@@ -303,25 +311,38 @@ def _rewrite_buckets(spark: SparkSession, name: str, new_rows: DataFrame, touche
     """Replace the touched buckets of ``name`` with ``new_rows``.
 
     The new content is materialised in a staging table first (Spark refuses
-    to overwrite a table a query reads from), then swapped in with a dynamic
-    partition overwrite.  A bucket left with no rows is emptied with a
-    static partition overwrite, which dynamic mode would skip.
+    to overwrite a table a query reads from).  One touched bucket is swapped
+    in with a static partition overwrite; several with a dynamic partition
+    overwrite, after which any touched bucket left without rows is emptied
+    with a static overwrite (dynamic mode only replaces partitions it
+    writes).
     """
     db, table = _split_name(name)
     staging = f"{db + '.' if db else ''}{table}__staging_{uuid.uuid4().hex[:8]}"
     cols = [c for c in new_rows.columns if c != BUCKET] + [BUCKET]
-    new_rows.select(*cols).hint("rebalance", BUCKET).write.format("parquet").partitionBy(BUCKET).saveAsTable(staging)
+    data_cols = ", ".join(f"`{c}`" for c in cols if c != BUCKET)
+
+    def overwrite_bucket(b: int, where: str) -> None:
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {name} PARTITION ({BUCKET} = {int(b)}) "
+            f"SELECT {data_cols} FROM {staging} WHERE {where}"
+        )
+
+    writer = new_rows.select(*cols).hint("rebalance", BUCKET).write.format("parquet")
+    if len(touched) == 1:
+        writer.saveAsTable(staging)
+    else:
+        writer.partitionBy(BUCKET).saveAsTable(staging)
     try:
+        if len(touched) == 1:
+            overwrite_bucket(touched[0], "true")
+            return
         staged = spark.table(staging)
         present = {r[BUCKET] for r in staged.select(BUCKET).distinct().collect()}
         if present:
             staged.select(*cols).write.insertInto(name, overwrite=True)
-        data_cols = ", ".join(f"`{c}`" for c in cols if c != BUCKET)
         for b in sorted(set(touched) - present):
-            spark.sql(
-                f"INSERT OVERWRITE TABLE {name} PARTITION ({BUCKET} = {int(b)}) "
-                f"SELECT {data_cols} FROM {staging} WHERE false"
-            )
+            overwrite_bucket(b, "false")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
 

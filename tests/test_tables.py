@@ -136,3 +136,15 @@ def test_insert_partitioned_replaces_only_written_partitions(spark, db):
     assert got == [(1, 0), (1, 1), (2, 7), (3, 3)]
     back = T.read_partitions(spark, name, "TeamID", [2])
     assert "PartitionFilters: [isnotnull(TeamID" in back._jdf.queryExecution().executedPlan().toString()
+
+
+def test_multi_bucket_delete_and_update(spark, db):
+    rows = [(f"u{i}", "p", "basic", "est") for i in range(10)]
+    name = _users(spark, db, rows, buckets=64)
+    keys = spark.createDataFrame([("u1",), ("u2",), ("u3",)], "Username string")
+    T.delete_by_key(spark, name, keys)
+    assert sorted(r[0] for r in T.read_table(spark, name).collect()) == [f"u{i}" for i in (0, 4, 5, 6, 7, 8, 9)]
+    changes = spark.createDataFrame([("u4", "mst"), ("u9", "pst")], "Username string, Timezone string")
+    T.update_by_key(spark, name, changes)
+    got = {r.Username: r.Timezone for r in T.read_table(spark, name).collect()}
+    assert got == {"u0": "est", "u4": "mst", "u5": "est", "u6": "est", "u7": "est", "u8": "est", "u9": "pst"}

@@ -36,7 +36,9 @@ from pyspark.sql import types as T
 from faceoff.session import scratch_dir
 
 BUCKET = "key_bucket"
-DEFAULT_BUCKETS = 64
+# Size B so a bucket holds roughly 0.5-1 GB: a change rewrites whole buckets,
+# and every bucket is at least one file per write.
+DEFAULT_BUCKETS = 16
 _KEY_PROP = "faceoff.key"
 _BUCKETS_PROP = "faceoff.buckets"
 

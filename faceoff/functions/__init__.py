@@ -14,6 +14,7 @@ from faceoff.functions.text import (
     json_scalar,
     label,
     normalize_key,
+    normalize_key_text,
     try_double,
     try_int,
     try_long,
@@ -29,6 +30,7 @@ __all__ = [
     "label",
     "local_clock",
     "normalize_key",
+    "normalize_key_text",
     "parse_utc_instant",
     "parse_zone",
     "try_double",

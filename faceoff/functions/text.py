@@ -23,6 +23,22 @@ def normalize_key(c: Column | str) -> Column:
     return F.regexp_replace(F.lower(_col(c)), JAVA_WHITESPACE, "")
 
 
+_NON_BREAKING = {"\u00a0", "\u2007", "\u202f"}
+
+
+def _java_whitespace(ch: str) -> bool:
+    import unicodedata
+
+    if ch in "\t\n\x0b\x0c\r \x1c\x1d\x1e\x1f":
+        return True
+    return unicodedata.category(ch) in ("Zs", "Zl", "Zp") and ch not in _NON_BREAKING
+
+
+def normalize_key_text(text: str) -> str:
+    """:func:`normalize_key` for a Python string (a literal key on the driver)."""
+    return "".join(ch for ch in text.lower() if not _java_whitespace(ch))
+
+
 def java_trim(c: Column | str) -> Column:
     """Strip leading/trailing characters ≤ U+0020 (Spark ``trim`` strips spaces only)."""
     return F.regexp_replace(_col(c), _JAVA_TRIM, "")

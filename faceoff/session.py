@@ -48,7 +48,14 @@ def build_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return spark.conf.get("spark.master", "").startswith("local")
+
+
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no local context
+        return None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -67,8 +74,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             )
         root = tempfile.mkdtemp(prefix="faceoff-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root.rstrip("/") + "/rdd")
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root.rstrip("/") + "/rdd")
     return root
 
 

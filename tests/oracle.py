@@ -59,14 +59,30 @@ def digest(columns: list[str], rows: list[tuple]) -> tuple[int, list[str], str]:
     return len(rows), names, hashlib.sha256("\n".join(lines).encode()).hexdigest()
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
+def _types(names, types) -> str:
+    return ",".join(f"{n}:{t}" for n, t in sorted(zip(names, types)))
+
+
 def spark_digest(df):
     rows = [tuple(r) for r in df.collect()]
-    return digest(df.columns, rows)
+    types = [SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields]
+    return digest(df.columns, rows) + (_types(df.columns, types),)
 
 
 def duck_digest(con, sql: str):
     rel = con.sql(sql)
-    return digest(list(rel.columns), rel.fetchall())
+    return digest(list(rel.columns), rel.fetchall()) + (_types(rel.columns, [str(t) for t in rel.types]),)
 
 
 def compare(spark, sf_dir: str, names=None, verbose: bool = True) -> dict[str, dict]:

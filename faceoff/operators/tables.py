@@ -193,6 +193,21 @@ def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
+def suggest_buckets(
+    df: DataFrame, rows_per_bucket: int = 4_000_000, minimum: int = 8, maximum: int = 1 << 16
+) -> int:
+    """Bucket count for a keyed table loaded from ``df``: a power of two
+    giving about ``rows_per_bucket`` rows per bucket.
+
+    Costs one distributed count (Parquet answers it from file footers).
+    """
+    rows = df.count()
+    buckets = minimum
+    while buckets < maximum and buckets * rows_per_bucket < rows:
+        buckets *= 2
+    return buckets
+
+
 def create_keyed_table(
     spark: SparkSession, name: str, schema: T.StructType, key: str, buckets: int = DEFAULT_BUCKETS
 ) -> None:

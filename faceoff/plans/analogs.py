@@ -185,7 +185,6 @@ def customer_game_teams(spark: SparkSession, sf_dir: str, exclude_building: bool
 
 # ----------------------------------------------------------- users (keyed)
 USERS_KEY = "c_custkey"
-USERS_BUCKETS = 8  # a users table of thousands of rows; see tables.DEFAULT_BUCKETS
 
 # --------------------------------------------------- partitioned players
 ORDERS_AS_ROSTER = {"o_orderkey": "ID", "o_orderstatus": "FullName", "o_orderpriority": "Position",

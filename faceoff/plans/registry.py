@@ -216,7 +216,7 @@ def partitioned_insert_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _users(spark: SparkSession, sf_dir: str) -> str:
     customer = A.table(spark, sf_dir, "customer")
     name = f"{T.create_database(spark)}.users"
-    T.create_keyed_table(spark, name, customer.schema, A.USERS_KEY, buckets=A.USERS_BUCKETS)
+    T.create_keyed_table(spark, name, customer.schema, A.USERS_KEY, buckets=T.suggest_buckets(customer))
     T.append_rows(spark, name, customer)
     return name
 

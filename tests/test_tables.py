@@ -148,3 +148,10 @@ def test_multi_bucket_delete_and_update(spark, db):
     T.update_by_key(spark, name, changes)
     got = {r.Username: r.Timezone for r in T.read_table(spark, name).collect()}
     assert got == {"u0": "est", "u4": "mst", "u5": "est", "u6": "est", "u7": "est", "u8": "est", "u9": "pst"}
+
+
+def test_suggest_buckets_grows_with_rows(spark):
+    small = spark.range(100)
+    assert T.suggest_buckets(small) == 8
+    assert T.suggest_buckets(spark.range(1000), rows_per_bucket=10) == 128
+    assert T.suggest_buckets(spark.range(1000), rows_per_bucket=10, maximum=32) == 32

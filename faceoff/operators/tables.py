@@ -277,7 +277,7 @@ def insert_if_absent(spark: SparkSession, name: str, rows: DataFrame) -> None:
         spark.table(name).filter(F.col(BUCKET).isin(touched)).select(key).join(candidate_keys, key, "left_semi")
     )
     fresh = rows.join(present, rows[key].cast(key_type).eqNullSafe(present[key]), "left_anti")
-    _with_bucket(fresh, key, buckets, data_cols, key_type).write.insertInto(name)
+    _with_bucket(fresh, key, buckets, data_cols, key_type).hint("rebalance", BUCKET).write.insertInto(name)
 
 
 def update_by_key(spark: SparkSession, name: str, changes: DataFrame) -> None:
@@ -365,10 +365,10 @@ def _rewrite_buckets(spark: SparkSession, name: str, new_rows: DataFrame, touche
 
 
 def lookup(spark: SparkSession, name: str, key_value, columns: Sequence[str] | None = None) -> DataFrame:
-    """MNT-4: the row(s) of one key; the key's bucket becomes a partition filter."""
+    """MNT-4: the row(s) of one key (null-safe); the key's bucket becomes a partition filter."""
     key, buckets, data_cols, key_type = _key_layout(spark, name)
     literal = F.lit(key_value).cast(key_type)
-    df = spark.table(name).filter((F.col(BUCKET) == bucket_of(literal, buckets)) & (F.col(key) == literal))
+    df = spark.table(name).filter((F.col(BUCKET) == bucket_of(literal, buckets)) & F.col(key).eqNullSafe(literal))
     return df.select(*(columns or data_cols))
 
 

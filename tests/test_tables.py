@@ -155,3 +155,8 @@ def test_suggest_buckets_grows_with_rows(spark):
     assert T.suggest_buckets(small) == 8
     assert T.suggest_buckets(spark.range(1000), rows_per_bucket=10) == 128
     assert T.suggest_buckets(spark.range(1000), rows_per_bucket=10, maximum=32) == 32
+
+
+def test_lookup_null_key(spark, db):
+    name = _users(spark, db, ROWS)
+    assert [tuple(r) for r in T.lookup(spark, name, None, ["Password"]).collect()] == [("pn",)]

@@ -277,7 +277,8 @@ def json_first_element(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First turn of each conversation: element 0 of each (sorted) document page,
     then the smallest of those per conversation (partial aggregation)."""
     docs = _conversation_docs(spark, sf_dir)
-    firsts = docs.select("conv_id", D.first_element("turns").alias("f"))
+    first = D.first_element("turns")
+    firsts = docs.select("conv_id", F.struct(first["turn"].alias("turn"), first["role"].alias("role")).alias("f"))
     per_conv = firsts.groupBy("conv_id").agg(F.min("f").alias("f"))
     return per_conv.select("conv_id", "f.turn", "f.role")
 

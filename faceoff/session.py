@@ -39,7 +39,13 @@ def build_session(
         # call on the driver; plans are built from many small calls.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
-    for key, value in (extra or {}).items():
+    extra = dict(extra or {})
+    if master.startswith("local"):
+        # a local run keeps its warehouse and checkpoints out of the working directory
+        root = tempfile.mkdtemp(prefix="faceoff-")
+        extra.setdefault("spark.sql.warehouse.dir", f"{root}/warehouse")
+        extra.setdefault(CHECKPOINT_CONF, f"{root}/checkpoints")
+    for key, value in extra.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -7,6 +7,14 @@
 
 Reports print a preview (report order, total tie-breakers, ``--limit`` rows),
 like the reference's screens; the work is done by the library operators.
+
+Tables live in the session's catalog.  With a persistent catalog (a cluster's
+metastore) every invocation sees the tables of earlier ones; with Spark's
+default in-memory catalog, chain commands with ``::`` to run them in one
+session:
+
+    python -m faceoff --master 'local[8]' --database league refresh all --teams DIR ... :: standings --metric gp
+
 On a cluster submit this module as the application (``spark-submit``);
 ``--master local[N]`` builds a local session for a single machine.
 """
@@ -133,16 +141,36 @@ def run(spark: SparkSession, argv: list[str]) -> None:
             accounts.remove(spark, name, spark.createDataFrame([(args.username,)], "Username string"))
 
 
+def split_commands(argv: list[str]) -> list[list[str]]:
+    """``[globals] cmd1 ... :: cmd2 ...`` → one argv per command, globals repeated."""
+    parts, current = [], []
+    for token in argv:
+        if token == "::":
+            parts.append(current)
+            current = []
+        else:
+            current.append(token)
+    parts.append(current)
+    first = parts[0]
+    globals_ = []
+    i = 0
+    while i < len(first) and first[i] in ("--database", "--master"):
+        globals_ += first[i : i + 2]
+        i += 2
+    return [first] + [globals_ + p for p in parts[1:]]
+
+
 def main(argv: list[str] | None = None) -> None:
-    argv = list(sys.argv[1:] if argv is None else argv)
-    master = _parser().parse_args(argv).master
+    commands = split_commands(list(sys.argv[1:] if argv is None else argv))
+    master = _parser().parse_args(commands[0]).master
     if master:
         from faceoff.session import build_session
 
         spark = build_session(master=master)
     else:
         spark = SparkSession.builder.appName("faceoff").getOrCreate()
-    run(spark, argv)
+    for command in commands:
+        run(spark, command)
 
 
 if __name__ == "__main__":

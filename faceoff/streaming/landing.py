@@ -12,6 +12,7 @@ is there and stops; a processing-time trigger keeps watching.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,7 +64,7 @@ def refresh_on_arrival(
 
         writer = (
             _stream(spark, job, landing[spec.document], multi_line)
-            .writeStream.queryName(f"refresh_{job}_{abs(hash(prefix)) % 10**6}")
+            .writeStream.queryName(f"refresh_{job}_{uuid.uuid4().hex[:8]}")
             .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{job}")
             .foreachBatch(apply)
         )

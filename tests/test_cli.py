@@ -17,3 +17,11 @@ def test_cli_refresh_reports_and_users(spark, tmp, db, capsys):
     out = capsys.readouterr().out
     assert "Alpha Club" in out and "Bo: Two, Jr." in out and "17:00" in out
     assert "|zed     |admin   |est     |" in out
+
+
+def test_split_commands():
+    from faceoff.__main__ import split_commands
+
+    got = split_commands(["--database", "d", "--master", "local[2]", "teams", "::", "games", "next", "--zone", "pst"])
+    assert got == [["--database", "d", "--master", "local[2]", "teams"],
+                   ["--database", "d", "--master", "local[2]", "games", "next", "--zone", "pst"]]

@@ -138,11 +138,20 @@ PAST_GAMES_OUT = {"Date": "game_date", "Away": "away", "AwayScore": "o_orderprio
                   "HomeScore": "o_orderstatus"}
 
 
+def listed_twice(df: DataFrame) -> DataFrame:
+    """Every row twice, as a schedule lists each game once per team.
+
+    Generated from one scan (``explode`` of a two-element array) rather than a
+    union of two scans: half the reading, and both copies sit in the same task,
+    so a later partial DISTINCT merges them before any shuffle.
+    """
+    return df.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_listing")).drop("_listing")
+
+
 @per_session
 def orders_past_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order listed twice (once per 'team'), like a schedule document."""
-    orders = table(spark, sf_dir, "orders")
-    doubled = orders.unionByName(orders)
+    doubled = listed_twice(table(spark, sf_dir, "orders"))
     return doubled.select(
         F.col("o_orderkey").cast("string").alias("GameID"),
         F.pmod(F.col("o_custkey"), F.lit(30)).cast("int").alias("AwayID"),
@@ -164,8 +173,7 @@ NEXT_GAMES_OUT = {"Date": "game_date", "Away": "away", "Home": "home"}
 
 @per_session
 def events_next_games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    doubled = events.unionByName(events)
+    doubled = listed_twice(table(spark, sf_dir, "events"))
     return doubled.select(
         F.col("event_id").cast("string").alias("GameID"),
         F.col("user_id").alias("AwayID"),

@@ -1,6 +1,4 @@
-import os
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest

@@ -75,8 +75,6 @@ def test_without_separator_fails_job(spark):
 
 
 def test_normalize_key_text_matches_column_version(spark):
-    import sys
-
     samples = [" A", "b\tC", "x y", "n b", "s\u001ct", "p q", "r s", "MiXeD  Case\n", "u　v"]
     df = spark.createDataFrame([(r,) for r in samples], "k string")
     got = [r[0] for r in df.select(Fn.normalize_key("k")).collect()]

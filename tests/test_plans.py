@@ -1,7 +1,5 @@
 """Plan-shape checks: pushdown, pruning, join strategy, top-k, no single-task window."""
 
-import pytest
-
 import __spark_entry__ as E
 from conftest import SF_SMALL
 

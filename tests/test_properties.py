@@ -1,8 +1,6 @@
 """Property tests: each hypothesis example is checked as one batch (one Spark job)."""
 
 import datetime as dt
-import math
-from pathlib import Path
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st

@@ -1,7 +1,5 @@
 """A third of all rows on one key: AQE must split the hot key, not send it through one task."""
 
-from pathlib import Path
-
 import pytest
 from pyspark.sql import functions as F
 

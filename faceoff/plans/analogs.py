@@ -223,3 +223,128 @@ def conversation_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.array_sort(F.collect_list("t")).alias("turns"))
         .select("conv_id", "turns")
     )
+
+
+# ------------------------------------------- league documents from the tables
+# Schedule, roster and stats documents shaped like the league feed, built from
+# whole test tables so the real ingest functions run on them.  Every document
+# holds at most PAGE_TURNS entries (paged by scan position), so no team, date
+# or conversation is collected into one unbounded array.
+INT_KEY_RANGE = 2147483647
+
+
+def _page() -> F.Column:
+    return F.floor(F.monotonically_increasing_id() / F.lit(PAGE_TURNS))
+
+
+def schedule_documents(games: DataFrame, schedule_field: str) -> DataFrame:
+    """``teams[] → <schedule_field>.dates[] → games[]``; every game is listed by
+    both of its teams.  ``games`` has gamePk, date, gameDate, away/home id and score."""
+    side = lambda role: F.struct(
+        F.col(f"{role}_score").alias("score"), F.struct(F.col(f"{role}_id").alias("id")).alias("team")
+    ).alias(role)
+    game = F.struct("gamePk", "gameDate", F.struct(side("away"), side("home")).alias("teams")).alias("game")
+    listings = games.select(F.explode(F.array("away_id", "home_id")).alias("lister"), "date", game)
+    per_date = (
+        listings.withColumn("page", _page())
+        .groupBy("lister", "page", "date")
+        .agg(F.collect_list("game").alias("games"))
+    )
+    per_doc = per_date.groupBy("lister", "page").agg(F.collect_list(F.struct("date", "games")).alias("dates"))
+    team = F.struct(F.col("lister").alias("id"), F.struct("dates").alias(schedule_field))
+    return per_doc.select(F.array(team).alias("teams"))
+
+
+@per_session
+def orders_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Past games from orders: game = order, teams = customer % 30 and order % 25."""
+    o = table(spark, sf_dir, "orders")
+    games = o.select(
+        F.col("o_orderkey").alias("gamePk"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        F.lit(None).cast("string").alias("gameDate"),
+        F.pmod("o_custkey", F.lit(30)).cast("int").alias("away_id"),
+        F.pmod("o_custkey", F.lit(7)).cast("int").alias("away_score"),
+        F.pmod("o_orderkey", F.lit(25)).cast("int").alias("home_id"),
+        F.pmod("o_orderkey", F.lit(5)).cast("int").alias("home_score"),
+    )
+    return schedule_documents(games, "previousGameSchedule")
+
+
+@per_session
+def events_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upcoming games from events: start instant = ts to the second."""
+    e = table(spark, sf_dir, "events")
+    games = e.select(
+        F.col("event_id").alias("gamePk"),
+        F.date_format("ts", "yyyy-MM-dd").alias("date"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("gameDate"),
+        F.pmod("user_id", F.lit(30)).cast("int").alias("away_id"),
+        F.lit(None).cast("int").alias("away_score"),
+        F.pmod("event_id", F.lit(25)).cast("int").alias("home_id"),
+        F.lit(None).cast("int").alias("home_score"),
+    )
+    return schedule_documents(games, "nextGameSchedule")
+
+
+@per_session
+def orders_roster_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``teams[] → roster.roster[]``: players from orders, team = customer % 40.
+
+    Names contain ':' and ','; every tenth player has no jersey number."""
+    o = table(spark, sf_dir, "orders")
+    player = F.struct(
+        F.struct(
+            F.pmod("o_orderkey", F.lit(INT_KEY_RANGE)).cast("int").alias("id"),
+            F.concat(
+                F.lit("Player "), F.col("o_orderkey").cast("string"), F.lit(": "), F.col("o_orderstatus"),
+                F.lit(", "), F.col("o_orderpriority"),
+            ).alias("fullName"),
+        ).alias("person"),
+        F.when(F.pmod("o_orderkey", F.lit(10)) != 0, F.pmod("o_orderkey", F.lit(99)).cast("string")).alias(
+            "jerseyNumber"
+        ),
+        F.struct(F.col("o_orderpriority").alias("name")).alias("position"),
+    ).alias("player")
+    rows = o.select(F.pmod("o_custkey", F.lit(40)).cast("int").alias("team_id"), player)
+    per_doc = rows.withColumn("page", _page()).groupBy("team_id", "page").agg(F.collect_list("player").alias("players"))
+    team = F.struct(F.col("team_id").alias("id"), F.struct(F.col("players").alias("roster")).alias("roster"))
+    return per_doc.select(F.array(team).alias("teams"))
+
+
+@per_session
+def supplier_stats_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stats documents as JSON text (one per line): ``teams[] → teamStats[] → splits[]``.
+
+    Split 0 holds numbers, split 1 holds rank text ("7th") — two element types
+    in one array, which a typed Spark array cannot hold, so the team object is
+    assembled from ``to_json`` pieces."""
+    s = table(spark, sf_dir, "supplier")
+    team_ref = F.to_json(F.struct(F.col("s_suppkey").cast("int").alias("id")))
+    season = F.to_json(
+        F.struct(
+            F.col("s_nationkey").alias("gamesPlayed"),
+            F.pmod("s_suppkey", F.lit(50)).alias("wins"),
+            F.pmod("s_suppkey", F.lit(30)).alias("losses"),
+            F.pmod("s_suppkey", F.lit(7)).alias("ot"),
+            F.pmod("s_suppkey", F.lit(100)).alias("pts"),
+            (F.col("s_acctbal") / F.lit(1000)).alias("goalsPerGame"),
+            F.col("s_acctbal").alias("goalsAgainstPerGame"),
+        )
+    )
+    rank = lambda c: F.concat(F.pmod(c, F.lit(31)).cast("string"), F.lit("th"))
+    ranks = F.to_json(
+        F.struct(
+            *[rank(F.col("s_suppkey") + F.lit(i)).alias(f) for i, f in enumerate(
+                ["gamesPlayed", "wins", "losses", "ot", "pts", "goalsPerGame", "goalsAgainstPerGame"])]
+        )
+    )
+    team = F.concat(
+        F.lit('{"id": '), F.col("s_suppkey").cast("string"),
+        F.lit(', "division": '), F.to_json(F.struct(F.concat(F.lit("Division "), F.pmod("s_nationkey", F.lit(4)).cast("string")).alias("name"))),
+        F.lit(', "conference": '), F.to_json(F.struct(F.concat(F.lit("Conference "), F.pmod("s_nationkey", F.lit(2)).cast("string")).alias("name"))),
+        F.lit(', "teamStats": [{"splits": [{"stat": '), season, F.lit(', "team": '), team_ref,
+        F.lit('}, {"stat": '), ranks, F.lit(', "team": '), team_ref, F.lit("}]}]}"),
+    )
+    per_doc = s.select(_page().alias("page"), team.alias("team")).groupBy("page").agg(F.collect_list("team").alias("t"))
+    return per_doc.select(F.concat(F.lit('{"teams": ['), F.concat_ws(", ", "t"), F.lit("]}")).alias("value"))

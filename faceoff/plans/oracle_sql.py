@@ -53,6 +53,11 @@ def _next(offset: int) -> str:
     )
 
 
+def _twice(select: str) -> str:
+    """Each game is listed by both of its teams."""
+    return f"{select} UNION ALL {select}"
+
+
 _TEAM_IDS_SQL = "24,53,6,7,20,12,16,21,29,25,17,22,13,26,30,8,18,1,2,3,9,4,5,28,55,19,14,10,23,54,15,52"
 
 ORACLE_SQL: dict[str, str] = {
@@ -116,4 +121,27 @@ ORACLE_SQL: dict[str, str] = {
         "upper(c_mktsegment) AS label FROM customer"
     ),
     "delimited_roundtrip": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
+    "schedule_past_ingest": _twice(
+        "SELECT CAST(o_orderkey AS VARCHAR) AS GameID, CAST(o_custkey % 30 AS INTEGER) AS AwayID, "
+        "CAST(o_custkey % 7 AS INTEGER) AS AwayScore, CAST(o_orderkey % 25 AS INTEGER) AS HomeID, "
+        "CAST(o_orderkey % 5 AS INTEGER) AS HomeScore, CAST(o_orderdate AS DATE) AS \"Date\" FROM orders"
+    ),
+    "schedule_next_ingest": _twice(
+        "SELECT CAST(event_id AS VARCHAR) AS GameID, CAST(user_id % 30 AS INTEGER) AS AwayID, "
+        "CAST(event_id % 25 AS INTEGER) AS HomeID, CAST(ts AS DATE) AS \"Date\", "
+        "date_trunc('second', ts) AS StartTime FROM events"
+    ),
+    "roster_ingest": (
+        "SELECT CAST(o_orderkey % 2147483647 AS INTEGER) AS ID, 'Player ' || CAST(o_orderkey AS VARCHAR) || ': ' "
+        "|| o_orderstatus || ', ' || o_orderpriority AS FullName, o_orderpriority AS Position, "
+        "CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE CAST(o_orderkey % 99 AS VARCHAR) END AS JerseyNumber, "
+        "CAST(o_custkey % 40 AS INTEGER) AS TeamID FROM orders"
+    ),
+    "stats_ingest": (
+        "SELECT CAST(s_suppkey AS INTEGER) AS TeamID, 'Conference ' || CAST(s_nationkey % 2 AS VARCHAR) AS Conference, "
+        "'Division ' || CAST(s_nationkey % 4 AS VARCHAR) AS Division, s_nationkey AS GP, "
+        "CAST(s_suppkey % 50 AS INTEGER) AS W, CAST(s_suppkey % 30 AS INTEGER) AS L, "
+        "CAST(s_suppkey % 7 AS INTEGER) AS OTL, CAST(s_suppkey % 100 AS INTEGER) AS PTS, "
+        "s_acctbal / 1000 AS GPG, s_acctbal AS GAPG FROM supplier"
+    ),
 }

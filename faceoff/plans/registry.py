@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Types
 
 from faceoff import functions as Fn
+from faceoff import schemas as S
 from faceoff.functions import utc_clock
 from faceoff.operators import reports as R
 from faceoff.operators import tables as T
@@ -24,6 +25,7 @@ from faceoff.plans.refresh import PARTITIONED_TEAM_IDS
 from faceoff.session import scratch_dir
 from faceoff.sources import delimited as Dl
 from faceoff.sources import documents as D
+from faceoff.sources import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -304,3 +306,38 @@ def delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "delimited")
     Dl.write_delimited(part, path)
     return Dl.read_delimited(spark, path, part.schema)
+
+
+# ------------------------------------------ league documents through ingest
+
+
+def _write_read(spark: SparkSession, docs: DataFrame, schema: Types.StructType, text: bool = False) -> DataFrame:
+    path = scratch_dir(spark, "league-docs")
+    (docs.write.text(path) if text else docs.write.json(path))
+    return D.read_documents(spark, path, schema)
+
+
+@register("schedule_past_ingest")
+def schedule_past_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1: schedule documents (3 nesting levels, games listed by both teams) → past games."""
+    docs = _write_read(spark, A.orders_schedule(spark, sf_dir), S.schedule_document("previousGameSchedule"))
+    return ingest.past_games(docs)
+
+
+@register("schedule_next_ingest")
+def schedule_next_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-2: next-schedule documents → next games with the UTC start instant."""
+    docs = _write_read(spark, A.events_schedule(spark, sf_dir), S.schedule_document("nextGameSchedule"))
+    return ingest.next_games(docs)
+
+
+@register("roster_ingest")
+def roster_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-3: roster documents → players with the team id carried down."""
+    return ingest.players(_write_read(spark, A.orders_roster_documents(spark, sf_dir), S.roster_document()))
+
+
+@register("stats_ingest")
+def stats_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-5: stats documents (numbers in split 0, rank text in split 1) → standings."""
+    return ingest.standings(_write_read(spark, A.supplier_stats_text(spark, sf_dir), S.stats_document(), text=True))

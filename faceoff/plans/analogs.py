@@ -348,3 +348,18 @@ def supplier_stats_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     per_doc = s.select(_page().alias("page"), team.alias("team")).groupBy("page").agg(F.collect_list("team").alias("t"))
     return per_doc.select(F.concat(F.lit('{"teams": ['), F.concat_ws(", ", "t"), F.lit("]}")).alias("value"))
+
+
+@per_session
+def supplier_teams_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``teams[]`` documents from supplier: id, name, abbreviation, team and location names."""
+    s = table(spark, sf_dir, "supplier")
+    team = F.struct(
+        F.col("s_suppkey").cast("int").alias("id"),
+        F.col("s_name").alias("name"),
+        F.substring("s_name", -3, 3).alias("abbreviation"),
+        F.concat(F.lit("Club "), F.col("s_suppkey").cast("string")).alias("teamName"),
+        F.concat(F.lit("Nation "), F.col("s_nationkey").cast("string")).alias("locationName"),
+    ).alias("team")
+    per_doc = s.select(_page().alias("page"), team).groupBy("page").agg(F.collect_list("team").alias("teams"))
+    return per_doc.select("teams")

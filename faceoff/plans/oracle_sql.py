@@ -144,4 +144,16 @@ ORACLE_SQL: dict[str, str] = {
         "CAST(s_suppkey % 7 AS INTEGER) AS OTL, CAST(s_suppkey % 100 AS INTEGER) AS PTS, "
         "s_acctbal / 1000 AS GPG, s_acctbal AS GAPG FROM supplier"
     ),
+    "refresh_standings_report": (
+        "SELECT s_name AS Team, 'Conference 1' AS Conference, 'Division ' || CAST(s_nationkey % 4 AS VARCHAR) "
+        "AS Division, s_nationkey AS GP, CAST(s_suppkey % 50 AS INTEGER) AS W, CAST(s_suppkey % 30 AS INTEGER) AS L, "
+        "CAST(s_suppkey % 7 AS INTEGER) AS OTL, CAST(s_suppkey % 100 AS INTEGER) AS PTS, s_acctbal / 1000 AS GPG, "
+        "s_acctbal AS GAPG FROM supplier WHERE s_nationkey % 2 = 1 ORDER BY PTS DESC, Team LIMIT 32"
+    ),
+    "refresh_past_games_report": (
+        "SELECT DISTINCT CAST(o.o_orderdate AS DATE) AS \"Date\", a.s_name AS Away, "
+        "CAST(o.o_custkey % 7 AS INTEGER) AS AwayScore, h.s_name AS Home, CAST(o.o_orderkey % 5 AS INTEGER) "
+        "AS HomeScore FROM orders o INNER JOIN supplier a ON a.s_suppkey = o.o_custkey % 30 "
+        "INNER JOIN supplier h ON h.s_suppkey = o.o_orderkey % 25"
+    ),
 }

@@ -21,7 +21,7 @@ from faceoff.operators import reports as R
 from faceoff.operators import tables as T
 from faceoff.operators.ranking import global_row_number
 from faceoff.plans import analogs as A
-from faceoff.plans.refresh import PARTITIONED_TEAM_IDS
+from faceoff.plans.refresh import PARTITIONED_TEAM_IDS, refresh
 from faceoff.session import scratch_dir
 from faceoff.sources import delimited as Dl
 from faceoff.sources import documents as D
@@ -341,3 +341,39 @@ def roster_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stats_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-5: stats documents (numbers in split 0, rank text in split 1) → standings."""
     return ingest.standings(_write_read(spark, A.supplier_stats_text(spark, sf_dir), S.stats_document(), text=True))
+
+
+# ------------------------------------------- refresh, then report (end to end)
+
+
+def _landing(spark: SparkSession, docs: DataFrame, text: bool = False) -> str:
+    path = scratch_dir(spark, "landing")
+    (docs.write.text(path) if text else docs.write.json(path))
+    return path
+
+
+@register("refresh_standings_report")
+def refresh_standings_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """§2.4 + SNK-2: teams and stats documents → refresh → conference standings, top 32 by points."""
+    db = T.create_database(spark)
+    sources = {
+        "teams": _landing(spark, A.supplier_teams_documents(spark, sf_dir)),
+        "stats": _landing(spark, A.supplier_stats_text(spark, sf_dir), text=True),
+    }
+    refresh(spark, "teams", sources, database=db, multi_line=False)
+    refresh(spark, "standings", sources, database=db, multi_line=False)
+    report = R.standings(spark.table(f"{db}.standings"), spark.table(f"{db}.teams"), conference="Conference 1")
+    return R.preview(report, R.standings_order("PTS"), 32)
+
+
+@register("refresh_past_games_report")
+def refresh_past_games_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """§2.4 + SNK-2: teams and schedule documents → refresh → distinct past games."""
+    db = T.create_database(spark)
+    sources = {
+        "teams": _landing(spark, A.supplier_teams_documents(spark, sf_dir)),
+        "schedule_previous": _landing(spark, A.orders_schedule(spark, sf_dir)),
+    }
+    refresh(spark, "teams", sources, database=db, multi_line=False)
+    refresh(spark, "last game", sources, database=db, multi_line=False)
+    return R.past_games(spark.table(f"{db}.pastGames"), spark.table(f"{db}.teams"))

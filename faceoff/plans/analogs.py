@@ -245,8 +245,11 @@ def schedule_documents(games: DataFrame, schedule_field: str) -> DataFrame:
     ).alias(role)
     game = F.struct("gamePk", "gameDate", F.struct(side("away"), side("home")).alias("teams")).alias("game")
     listings = games.select(F.explode(F.array("away_id", "home_id")).alias("lister"), "date", game)
+    # One shuffle on (team, page) serves both groupings: the per-date grouping's
+    # keys include (team, page), so its rows are already co-located.
     per_date = (
         listings.withColumn("page", _page())
+        .repartition("lister", "page")
         .groupBy("lister", "page", "date")
         .agg(F.collect_list("game").alias("games"))
     )

@@ -63,7 +63,8 @@ def _parser() -> argparse.ArgumentParser:
     g = sub.add_parser("games")
     g.add_argument("which", choices=["past", "next", "both"])
     g.add_argument("--team")
-    g.add_argument("--zone", default="est")
+    g.add_argument("--zone", default=None, help="est, cst, mst or pst (default: the user's zone, else est)")
+    g.add_argument("--user", help="show upcoming games in this account's zone")
     g.add_argument("--limit", type=int, default=20)
 
     u = sub.add_parser("users")
@@ -124,7 +125,8 @@ def run(spark: SparkSession, argv: list[str]) -> None:
             report = R.past_games(table("pastGames"), table("teams"), team_id=args.team)
             _show(R.preview(report, R.PAST_GAMES_ORDER, args.limit), args.limit)
         if args.which in ("next", "both"):
-            report = R.next_games(table("nextGames"), table("teams"), C.parse_zone(args.zone), team_id=args.team)
+            zone = args.zone or (accounts.user_zone(spark, f"{db}.users", args.user) if args.user else "est")
+            report = R.next_games(table("nextGames"), table("teams"), C.parse_zone(zone), team_id=args.team)
             _show(R.preview(report, R.NEXT_GAMES_ORDER, args.limit), args.limit)
     elif args.command == "users":
         name = f"{db}.users"

@@ -80,3 +80,13 @@ def list_users(spark: SparkSession, name: str) -> DataFrame:
 def settings(spark: SparkSession, name: str, username: str) -> DataFrame:
     """User type and zone of one account (MNT-4), a partition-pruned point lookup."""
     return tables.lookup(spark, name, normalize_key_text(username), ["UserType", "Timezone"])
+
+
+def user_zone(spark: SparkSession, name: str, username: str, default: str = "est") -> str:
+    """The zone an account chose for upcoming games (``default`` for an unknown user).
+
+    A point lookup returning at most one row; the value then selects the clock
+    column of ``reports.next_games``.
+    """
+    row = settings(spark, name, username).select("Timezone").limit(1).collect()
+    return row[0]["Timezone"] if row and row[0]["Timezone"] else default

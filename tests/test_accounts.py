@@ -13,6 +13,7 @@ def test_account_lifecycle(spark, db):
     assert got == [("ann", "basic", "pst"), ("bob", "admin", "est")]
     U.set_timezone(spark, name, spark.createDataFrame([("bob", "MST"), ("ghost", "pst")], "Username string, Timezone string"))
     assert [tuple(r) for r in U.settings(spark, name, " B o b").collect()] == [("admin", "mst")]
+    assert U.user_zone(spark, name, "Bob") == "mst" and U.user_zone(spark, name, "nobody") == "est"
     U.remove(spark, name, spark.createDataFrame([("ANN",)], "Username string"))
     assert [r.Username for r in U.list_users(spark, name).collect()] == ["bob"]
 

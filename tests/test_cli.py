@@ -14,9 +14,11 @@ def test_cli_refresh_reports_and_users(spark, tmp, db, capsys):
     run(spark, ["--database", db, "users", "register", "Zed", "pw", "admin", "pst"])
     run(spark, ["--database", db, "users", "set-zone", "zed", "est"])
     run(spark, ["--database", db, "users", "list"])
+    run(spark, ["--database", db, "games", "next", "--user", " ZED"])  # zed's zone: est → 19:00
     out = capsys.readouterr().out
     assert "Alpha Club" in out and "Bo: Two, Jr." in out and "17:00" in out
     assert "|zed     |admin   |est     |" in out
+    assert "|19:00|" in out
 
 
 def test_split_commands():

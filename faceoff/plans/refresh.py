@@ -61,10 +61,21 @@ def jobs_for(trigger: str) -> tuple[str, ...]:
     return TRIGGERS[trigger]
 
 
-def flatten_documents(spark: SparkSession, job: str, path: str, multi_line: bool = True) -> DataFrame:
-    """Rows of one table from the documents at ``path`` (lazy)."""
+def flatten_documents(
+    spark: SparkSession, job: str, path: str, multi_line: bool = True, on_corrupt: str = "fail"
+) -> DataFrame:
+    """Rows of one table from the documents at ``path`` (lazy).
+
+    ``on_corrupt="fail"`` makes the job fail on a malformed document (checked
+    row by row in the same pass, no extra scan); ``"keep"`` flattens what
+    parsed and leaves the raw text in ``_corrupt_record``.
+    """
     spec = JOBS[job]
     docs = documents.read_documents(spark, path, spec.schema(), multi_line=multi_line)
+    if on_corrupt == "fail":
+        docs = documents.fail_on_corrupt(docs, what=f"{spec.document} document")
+    elif on_corrupt != "keep":
+        raise ValueError("on_corrupt must be 'fail' or 'keep'")
     return spec.flatten(docs)
 
 
@@ -74,15 +85,20 @@ def refresh(
     sources: Mapping[str, str],
     database: str | None = None,
     multi_line: bool = True,
+    on_corrupt: str = "fail",
 ) -> dict[str, str]:
-    """Run the ingest jobs of ``trigger``; returns table → snapshot written."""
+    """Run the ingest jobs of ``trigger``; returns table → snapshot written.
+
+    A failing job leaves that table's previous snapshot in place: the view
+    switches only after the new version is fully written.
+    """
     prefix = f"{database}." if database else ""
     written = {}
     for job in jobs_for(trigger):
         spec = JOBS[job]
         if spec.document not in sources:
             raise ValueError(f"no source given for document {spec.document!r} (job {job})")
-        rows = flatten_documents(spark, job, sources[spec.document], multi_line)
+        rows = flatten_documents(spark, job, sources[spec.document], multi_line, on_corrupt)
         written[job] = tables.replace_snapshot(spark, prefix + spec.table, rows)
         if job == "players":
             # The partitioned copy is replaced whole, like the flat table.

@@ -40,6 +40,17 @@ def read_documents(
     return reader.json(paths)
 
 
+def fail_on_corrupt(docs: DataFrame, what: str = "document") -> DataFrame:
+    """Keep ``docs`` unchanged but fail the job at the first malformed document.
+
+    The check is a filter evaluated while the documents are flattened, so it
+    costs no extra pass over the input.
+    """
+    bad = F.col(CORRUPT_RECORD).isNotNull()
+    message = F.concat(F.lit(f"malformed {what}: "), F.substring(F.col(CORRUPT_RECORD), 1, 200))
+    return docs.filter(F.when(bad, F.raise_error(message)).otherwise(F.lit(True)))
+
+
 def parse_documents(text: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
     """Parse a column of JSON document text (one document per row)."""
     data = T.StructType([f for f in schema.fields if f.name != CORRUPT_RECORD])

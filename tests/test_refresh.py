@@ -53,3 +53,16 @@ def test_streaming_refresh_on_arrival(spark, tmp, db):
     for q in refresh_on_arrival(spark, "teams", landing, str(Path(tmp) / "ckpt"), database=db):
         q.awaitTermination(120)
     assert spark.table(f"{db}.teams").count() == 1
+
+
+def test_refresh_fails_on_broken_document_and_keeps_old_snapshot(spark, tmp, db):
+    sources = docs.write_all(tmp)
+    first = refresh(spark, "teams", sources, database=db)["teams"]
+    broken = Path(tmp) / "teams_broken"
+    broken.mkdir()
+    (broken / "a.json").write_text('{"teams": [ {"id": 1, ')
+    with pytest.raises(Exception, match="malformed teams document"):
+        refresh(spark, "teams", {"teams": str(broken)}, database=db)
+    assert spark.table(f"{db}.teams").count() == 3  # previous snapshot still served
+    written = refresh(spark, "teams", {"teams": str(broken)}, database=db, on_corrupt="keep")
+    assert spark.table(f"{db}.teams").count() == 0 and written["teams"] != first

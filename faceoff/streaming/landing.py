@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from faceoff.operators import tables
 from faceoff.plans.refresh import JOBS, PARTITIONED_TEAM_IDS, jobs_for
 from faceoff.schemas import CORRUPT_RECORD
+from faceoff.sources import documents
 
 
 def _stream(spark: SparkSession, job: str, folder: str, multi_line: bool) -> DataFrame:
@@ -42,8 +43,16 @@ def refresh_on_arrival(
     multi_line: bool = True,
     available_now: bool = True,
     processing_time: str | None = None,
+    on_corrupt: str = "fail",
 ) -> list[StreamingQuery]:
-    """Start one streaming refresh per job of ``trigger``; returns the queries."""
+    """Start one streaming refresh per job of ``trigger``; returns the queries.
+
+    With ``on_corrupt="fail"`` a malformed document fails its micro-batch (the
+    snapshot is not replaced and the query stops at that batch); ``"keep"``
+    publishes what parsed.
+    """
+    if on_corrupt not in ("fail", "keep"):
+        raise ValueError("on_corrupt must be 'fail' or 'keep'")
     prefix = f"{database}." if database else ""
     started = []
     for job in jobs_for(trigger):
@@ -54,6 +63,8 @@ def refresh_on_arrival(
         def apply(batch: DataFrame, epoch_id: int, spec=spec, job=job) -> None:
             if batch.isEmpty():
                 return
+            if on_corrupt == "fail":
+                batch = documents.fail_on_corrupt(batch, what=f"{spec.document} document")
             rows = spec.flatten(batch)
             tables.replace_snapshot(spark, prefix + spec.table, rows)
             if job == "players":

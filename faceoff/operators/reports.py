@@ -79,7 +79,7 @@ def teams(
     teams ⋈ standings (inner) filtered on the standings attribute.
     """
     if conference is None and division is None:
-        return teams_df.select(*(columns or teams_df.columns))
+        return teams_df if columns is None else teams_df.select(*columns)
     if standings_df is None:
         raise ValueError("a conference or division scope needs the standings table")
     joined = teams_df.join(standings_df, teams_df[team_key] == standings_df[standings_key], "inner")

@@ -47,7 +47,7 @@ def _parser() -> argparse.ArgumentParser:
     t = sub.add_parser("teams")
     t.add_argument("--conference")
     t.add_argument("--division")
-    t.add_argument("--limit", type=int, default=32)
+    t.add_argument("--limit", type=int, default=None, help="rows shown (default 32 for all teams, 20 per scope)")
 
     s = sub.add_parser("standings")
     s.add_argument("--conference")
@@ -105,12 +105,12 @@ def run(spark: SparkSession, argv: list[str]) -> None:
         div = C.parse_division(args.division) if args.division else None
         report = R.teams(table("teams"), table("standings"), conference=conf, division=div)
         if conf is None and div is None:
-            order = R.TEAMS_ORDER
+            order, limit = R.TEAMS_ORDER, args.limit or 32
         elif div is None:
-            order = R.CONFERENCE_ORDER
+            order, limit = R.CONFERENCE_ORDER, args.limit or 20
         else:
-            order = ("Team",)
-        _show(R.preview(report, order, args.limit), args.limit)
+            order, limit = ("Team",), args.limit or 20
+        _show(R.preview(report, order, limit), limit)
     elif args.command == "standings":
         conf = C.parse_conference(args.conference) if args.conference else None
         div = C.parse_division(args.division) if args.division else None

@@ -16,8 +16,9 @@ Keyed tables (MNT-1 … MNT-6)
     A keyed table is partitioned by ``key_bucket = pmod(xxhash64(key), B)``.
     Insert-if-absent appends; update and delete rewrite only the buckets the
     change set touches: the new content of those buckets is staged in a
-    scratch table and swapped in with a dynamic partition overwrite, so the
-    cost of a change is the size of the touched buckets, not of the table.
+    scratch table and swapped in with a dynamic partition overwrite (old
+    buckets stay until the job commits), so the cost of a change is the size
+    of the touched buckets, not of the table.
     A point lookup folds the bucket of the literal key into a partition
     filter.  The only values brought to the driver are bucket numbers
     (at most B) and table properties.
@@ -328,40 +329,30 @@ def _rewrite_buckets(spark: SparkSession, name: str, new_rows: DataFrame, touche
     """Replace the touched buckets of ``name`` with ``new_rows``.
 
     The new content is materialised in a staging table first (Spark refuses
-    to overwrite a table a query reads from).  One touched bucket is swapped
-    in with a static partition overwrite; several with a dynamic partition
-    overwrite, after which any touched bucket left without rows is emptied
-    with a static overwrite (dynamic mode only replaces partitions it
-    writes).
+    to overwrite a table a query reads from, and a written table survives
+    executor loss).  Buckets with new rows are swapped in by a dynamic
+    partition overwrite, which writes to a staging folder and replaces the
+    partitions only when the job commits, so a failed job leaves the old
+    buckets in place.  A touched bucket left without rows is emptied with a
+    static partition overwrite (dynamic mode only replaces partitions it
+    writes).  The staging table is dropped only after success; a failure
+    leaves it for inspection or a retry.
     """
     db, table = _split_name(name)
     staging = f"{db + '.' if db else ''}{table}__staging_{uuid.uuid4().hex[:8]}"
     cols = [c for c in new_rows.columns if c != BUCKET] + [BUCKET]
     data_cols = ", ".join(f"`{c}`" for c in cols if c != BUCKET)
-
-    def overwrite_bucket(b: int, where: str) -> None:
+    new_rows.select(*cols).hint("rebalance", BUCKET).write.format("parquet").partitionBy(BUCKET).saveAsTable(staging)
+    staged = spark.table(staging)
+    present = {r[BUCKET] for r in staged.select(BUCKET).distinct().collect()}
+    if present:
+        staged.select(*cols).write.insertInto(name, overwrite=True)
+    for b in sorted(set(touched) - present):
         spark.sql(
             f"INSERT OVERWRITE TABLE {name} PARTITION ({BUCKET} = {int(b)}) "
-            f"SELECT {data_cols} FROM {staging} WHERE {where}"
+            f"SELECT {data_cols} FROM {staging} WHERE false"
         )
-
-    writer = new_rows.select(*cols).hint("rebalance", BUCKET).write.format("parquet")
-    if len(touched) == 1:
-        writer.saveAsTable(staging)
-    else:
-        writer.partitionBy(BUCKET).saveAsTable(staging)
-    try:
-        if len(touched) == 1:
-            overwrite_bucket(touched[0], "true")
-            return
-        staged = spark.table(staging)
-        present = {r[BUCKET] for r in staged.select(BUCKET).distinct().collect()}
-        if present:
-            staged.select(*cols).write.insertInto(name, overwrite=True)
-        for b in sorted(set(touched) - present):
-            overwrite_bucket(b, "false")
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    spark.sql(f"DROP TABLE IF EXISTS {staging}")
 
 
 def lookup(spark: SparkSession, name: str, key_value, columns: Sequence[str] | None = None) -> DataFrame:

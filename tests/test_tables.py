@@ -160,3 +160,14 @@ def test_suggest_buckets_grows_with_rows(spark):
 def test_lookup_null_key(spark, db):
     name = _users(spark, db, ROWS)
     assert [tuple(r) for r in T.lookup(spark, name, None, ["Password"]).collect()] == [("pn",)]
+
+
+def test_failed_update_leaves_table_intact(spark, db):
+    name = _users(spark, db, ROWS)
+    before = _all(spark, name)
+    bad = spark.createDataFrame([("a",)], "Username string").select(
+        "Username", F.raise_error(F.lit("boom")).cast("string").alias("Timezone")
+    )
+    with pytest.raises(Exception, match="boom"):
+        T.update_by_key(spark, name, bad)
+    assert _all(spark, name) == before

@@ -40,6 +40,7 @@ BUCKET = "key_bucket"
 # Size B so a bucket holds roughly 0.5-1 GB: a change rewrites whole buckets,
 # and every bucket is at least one file per write.
 DEFAULT_BUCKETS = 16
+_VERSION_ATTEMPTS = 3
 _KEY_PROP = "faceoff.key"
 _BUCKETS_PROP = "faceoff.buckets"
 
@@ -129,11 +130,18 @@ def replace_snapshot(
     db, table = _split_name(name)
     versions = snapshot_versions(spark, name)
     version = (versions[-1] + 1) if versions else 1
-    target = f"{db + '.' if db else ''}{table}__v{version}"
     writer = df.write.format("parquet").mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(target)
+    for attempt in range(_VERSION_ATTEMPTS):
+        target = f"{db + '.' if db else ''}{table}__v{version + attempt}"
+        try:
+            writer.saveAsTable(target)
+            break
+        except Exception as exc:  # noqa: BLE001 - only a leftover folder is skipped
+            # files left at this version's location by a crashed earlier write
+            if "LOCATION_ALREADY_EXISTS" not in str(exc) or attempt == _VERSION_ATTEMPTS - 1:
+                raise
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {target}")
     if not keep_old:
         for old in versions:

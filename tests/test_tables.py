@@ -171,3 +171,17 @@ def test_failed_update_leaves_table_intact(spark, db):
     with pytest.raises(Exception, match="boom"):
         T.update_by_key(spark, name, bad)
     assert _all(spark, name) == before
+
+
+def test_snapshot_skips_a_leftover_version_folder(spark, db):
+    from pathlib import Path
+
+    name = f"{db}.teams"
+    T.replace_snapshot(spark, name, spark.createDataFrame([(1, "A", "a", "x", "y")], schemas.TEAMS))
+    location = spark.sql(f"DESCRIBE DATABASE {db}").filter("info_name = 'Location'").first()["info_value"]
+    leftover = Path(location.replace("file:", "")) / "teams__v2"
+    leftover.mkdir(parents=True)
+    (leftover / "part-crashed.parquet").write_bytes(b"x")
+    written = T.replace_snapshot(spark, name, spark.createDataFrame([(2, "B", "b", "x", "y")], schemas.TEAMS))
+    assert written == f"{name}__v3"
+    assert [r.ID for r in spark.table(name).collect()] == [2]

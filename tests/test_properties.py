@@ -1,6 +1,7 @@
 """Property tests: each hypothesis example is checked as one batch (one Spark job)."""
 
 import datetime as dt
+import os
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -9,7 +10,13 @@ from pyspark.sql import types as T
 from faceoff import functions as Fn
 from faceoff.sources import delimited as Dl
 
-SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+# Fixed examples (derandomize) keep runs reproducible; PROPERTY_EXAMPLES widens the search.
+SETTINGS = settings(
+    max_examples=int(os.environ.get("PROPERTY_EXAMPLES", "12")),
+    deadline=None,
+    derandomize=True,
+    suppress_health_check=list(HealthCheck),
+)
 
 SCHEMA = T.StructType(
     [

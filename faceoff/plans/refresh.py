@@ -28,22 +28,49 @@ PARTITIONED_TEAM_IDS = (24, 53, 6, 7, 20, 12, 16, 21, 29, 25, 17, 22, 13, 26, 30
 class Job:
     table: str
     document: str
-    schema: Callable[[], object]
-    flatten: Callable[[DataFrame], DataFrame]
+    schema: Callable[[Mapping[str, str]], object]
+    flatten: Callable[[DataFrame, Mapping[str, str]], DataFrame]
 
 
 JOBS = {
-    "teams": Job("teams", "teams", schemas.teams_document, ingest.teams),
-    "players": Job("players", "roster", schemas.roster_document, ingest.players),
+    "teams": Job("teams", "teams", lambda f: schemas.teams_document(), lambda d, f: ingest.teams(d)),
+    "players": Job(
+        "players",
+        "roster",
+        lambda f: schemas.roster_document(f["roster"]),
+        lambda d, f: ingest.players(d, f["roster"]),
+    ),
     "nextGames": Job(
-        "nextGames", "schedule_next", lambda: schemas.schedule_document("nextGameSchedule"), ingest.next_games
+        "nextGames",
+        "schedule_next",
+        lambda f: schemas.schedule_document(f["next_schedule"]),
+        lambda d, f: ingest.next_games(d, f["next_schedule"]),
     ),
     "pastGames": Job(
-        "pastGames", "schedule_previous", lambda: schemas.schedule_document("previousGameSchedule"), ingest.past_games
+        "pastGames",
+        "schedule_previous",
+        lambda f: schemas.schedule_document(f["previous_schedule"]),
+        lambda d, f: ingest.past_games(d, f["previous_schedule"]),
+    ),
+    "standings": Job(
+        "standings",
+        "stats",
+        lambda f: schemas.stats_document(f["team_stats"]),
+        lambda d, f: ingest.standings(d, f["team_stats"]),
     ),
-    "standings": Job("standings", "stats", schemas.stats_document, ingest.standings),
 }
 
+
+def document_fields(overrides: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Default intermediate field names, with ``overrides`` applied."""
+    fields = dict(schemas.DOCUMENT_FIELDS)
+    unknown = set(overrides or {}) - set(fields)
+    if unknown:
+        raise ValueError(f"unknown document fields: {sorted(unknown)}")
+    fields.update(overrides or {})
+    return fields
+
+
 TRIGGERS = {
     "teams": ("teams",),
     "next game": ("nextGames",),
@@ -62,7 +89,12 @@ def jobs_for(trigger: str) -> tuple[str, ...]:
 
 
 def flatten_documents(
-    spark: SparkSession, job: str, path: str, multi_line: bool = True, on_corrupt: str = "fail"
+    spark: SparkSession,
+    job: str,
+    path: str,
+    multi_line: bool = True,
+    on_corrupt: str = "fail",
+    fields: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Rows of one table from the documents at ``path`` (lazy).
 
@@ -71,12 +103,13 @@ def flatten_documents(
     parsed and leaves the raw text in ``_corrupt_record``.
     """
     spec = JOBS[job]
-    docs = documents.read_documents(spark, path, spec.schema(), multi_line=multi_line)
+    names = document_fields(fields)
+    docs = documents.read_documents(spark, path, spec.schema(names), multi_line=multi_line)
     if on_corrupt == "fail":
         docs = documents.fail_on_corrupt(docs, what=f"{spec.document} document")
     elif on_corrupt != "keep":
         raise ValueError("on_corrupt must be 'fail' or 'keep'")
-    return spec.flatten(docs)
+    return spec.flatten(docs, names)
 
 
 def refresh(
@@ -86,6 +119,7 @@ def refresh(
     database: str | None = None,
     multi_line: bool = True,
     on_corrupt: str = "fail",
+    fields: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
     """Run the ingest jobs of ``trigger``; returns table → snapshot written.
 
@@ -98,7 +132,7 @@ def refresh(
         spec = JOBS[job]
         if spec.document not in sources:
             raise ValueError(f"no source given for document {spec.document!r} (job {job})")
-        rows = flatten_documents(spark, job, sources[spec.document], multi_line, on_corrupt)
+        rows = flatten_documents(spark, job, sources[spec.document], multi_line, on_corrupt, fields)
         written[job] = tables.replace_snapshot(spark, prefix + spec.table, rows)
         if job == "players":
             # The partitioned copy is replaced whole, like the flat table.

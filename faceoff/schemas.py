@@ -117,14 +117,15 @@ def schedule_document(schedule_field: str = "previousGameSchedule") -> T.StructT
     return _with_corrupt(_struct(teams=T.ArrayType(team)))
 
 
-def roster_document() -> T.StructType:
-    """Roster document: teams[] → roster.roster[] of players."""
+def roster_document(roster_field: str = "roster") -> T.StructType:
+    """Roster document: teams[] → <roster>.<roster>[] of players."""
     player = _struct(
         person=_struct(id=T.IntegerType(), fullName=T.StringType()),
         jerseyNumber=T.StringType(),
         position=_struct(name=T.StringType()),
     )
-    team = _struct(id=T.IntegerType(), roster=_struct(roster=T.ArrayType(player)))
+    roster = T.StructType([T.StructField(roster_field, T.ArrayType(player))])
+    team = T.StructType([T.StructField("id", T.IntegerType()), T.StructField(roster_field, roster)])
     return _with_corrupt(_struct(teams=T.ArrayType(team)))
 
 
@@ -144,19 +145,32 @@ def teams_document() -> T.StructType:
 STAT_FIELDS = ("gamesPlayed", "wins", "losses", "ot", "pts", "goalsPerGame", "goalsAgainstPerGame")
 
 
-def stats_document() -> T.StructType:
+def stats_document(stats_field: str = "teamStats") -> T.StructType:
+    """Stats document: teams[] → <teamStats>[] → splits[]."""
     split = _struct(
         stat=T.StructType([T.StructField(f, T.StringType()) for f in STAT_FIELDS]),
         team=_struct(id=T.IntegerType()),
     )
-    team = _struct(
-        id=T.IntegerType(),
-        division=_struct(name=T.StringType()),
-        conference=_struct(name=T.StringType()),
-        teamStats=T.ArrayType(_struct(splits=T.ArrayType(split))),
+    team = T.StructType(
+        [
+            T.StructField("id", T.IntegerType()),
+            T.StructField("division", _struct(name=T.StringType())),
+            T.StructField("conference", _struct(name=T.StringType())),
+            T.StructField(stats_field, T.ArrayType(_struct(splits=T.ArrayType(split)))),
+        ]
     )
     return _with_corrupt(_struct(teams=T.ArrayType(team)))
 
 
+# Field names inside the documents that are not fixed by the data the
+# reports read (configurable; these are the defaults).
+DOCUMENT_FIELDS = {
+    "previous_schedule": "previousGameSchedule",
+    "next_schedule": "nextGameSchedule",
+    "roster": "roster",
+    "team_stats": "teamStats",
+}
+
+
 def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(CORRUPT_RECORD, T.StringType())])

@@ -19,14 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from faceoff.operators import tables
-from faceoff.plans.refresh import JOBS, PARTITIONED_TEAM_IDS, jobs_for
+from faceoff.plans.refresh import JOBS, PARTITIONED_TEAM_IDS, document_fields, jobs_for
 from faceoff.schemas import CORRUPT_RECORD
 from faceoff.sources import documents
 
 
-def _stream(spark: SparkSession, job: str, folder: str, multi_line: bool) -> DataFrame:
+def _stream(spark: SparkSession, job: str, folder: str, multi_line: bool, names) -> DataFrame:
     return (
-        spark.readStream.schema(JOBS[job].schema())
+        spark.readStream.schema(JOBS[job].schema(names))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
         .option("multiLine", str(multi_line).lower())
@@ -44,6 +44,7 @@ def refresh_on_arrival(
     available_now: bool = True,
     processing_time: str | None = None,
     on_corrupt: str = "fail",
+    fields: Mapping[str, str] | None = None,
 ) -> list[StreamingQuery]:
     """Start one streaming refresh per job of ``trigger``; returns the queries.
 
@@ -53,6 +54,7 @@ def refresh_on_arrival(
     """
     if on_corrupt not in ("fail", "keep"):
         raise ValueError("on_corrupt must be 'fail' or 'keep'")
+    names = document_fields(fields)
     prefix = f"{database}." if database else ""
     started = []
     for job in jobs_for(trigger):
@@ -65,7 +67,7 @@ def refresh_on_arrival(
                 return
             if on_corrupt == "fail":
                 batch = documents.fail_on_corrupt(batch, what=f"{spec.document} document")
-            rows = spec.flatten(batch)
+            rows = spec.flatten(batch, names)
             tables.replace_snapshot(spark, prefix + spec.table, rows)
             if job == "players":
                 laid_out = tables.for_partitioned_write(
@@ -74,7 +76,7 @@ def refresh_on_arrival(
                 tables.replace_snapshot(spark, prefix + "partiPlayers", laid_out, partition_by=["TeamID"])
 
         writer = (
-            _stream(spark, job, landing[spec.document], multi_line)
+            _stream(spark, job, landing[spec.document], multi_line, names)
             .writeStream.queryName(f"refresh_{job}_{uuid.uuid4().hex[:8]}")
             .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{job}")
             .foreachBatch(apply)

@@ -66,3 +66,14 @@ def test_refresh_fails_on_broken_document_and_keeps_old_snapshot(spark, tmp, db)
     assert spark.table(f"{db}.teams").count() == 3  # previous snapshot still served
     written = refresh(spark, "teams", {"teams": str(broken)}, database=db, on_corrupt="keep")
     assert spark.table(f"{db}.teams").count() == 0 and written["teams"] != first
+
+
+def test_refresh_with_other_field_names(spark, tmp, db):
+    import json
+
+    doc = json.loads(json.dumps(docs.ROSTER).replace('"roster"', '"squad"'))
+    path = docs.write(tmp, "squad/doc.json", doc)
+    refresh(spark, "roster", {"roster": path}, database=db, fields={"roster": "squad"})
+    assert spark.table(f"{db}.players").count() == 3
+    with pytest.raises(ValueError):
+        refresh(spark, "roster", {"roster": path}, database=db, fields={"nope": "x"})

@@ -203,7 +203,7 @@ def bucket_of(key: Column, buckets: int) -> Column:
 
 
 def suggest_buckets(
-    df: DataFrame, rows_per_bucket: int = 4_000_000, minimum: int = 8, maximum: int = 1 << 16
+    df: DataFrame, rows_per_bucket: int = 4_000_000, minimum: int = 1, maximum: int = 1 << 16
 ) -> int:
     """Bucket count for a keyed table loaded from ``df``: a power of two
     giving about ``rows_per_bucket`` rows per bucket.

@@ -152,8 +152,9 @@ def test_multi_bucket_delete_and_update(spark, db):
 
 def test_suggest_buckets_grows_with_rows(spark):
     small = spark.range(100)
-    assert T.suggest_buckets(small) == 8
+    assert T.suggest_buckets(small) == 1
     assert T.suggest_buckets(spark.range(1000), rows_per_bucket=10) == 128
+    assert T.suggest_buckets(spark.range(1000), rows_per_bucket=10, minimum=8) == 128
     assert T.suggest_buckets(spark.range(1000), rows_per_bucket=10, maximum=32) == 32
 
 

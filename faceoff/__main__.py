@@ -43,6 +43,14 @@ def _parser() -> argparse.ArgumentParser:
     for doc in ("teams", "roster", "stats", "schedule-previous", "schedule-next"):
         r.add_argument(f"--{doc}", help=f"folder or file of {doc} documents")
     r.add_argument("--json-lines", action="store_true", help="one document per line instead of pretty-printed")
+    r.add_argument("--keep-corrupt", action="store_true", help="publish what parsed instead of failing on a bad document")
+    r.add_argument(
+        "--field",
+        action="append",
+        default=[],
+        metavar="NAME=VALUE",
+        help="intermediate document field name (previous_schedule, next_schedule, roster, team_stats)",
+    )
 
     t = sub.add_parser("teams")
     t.add_argument("--conference")
@@ -97,9 +105,19 @@ def run(spark: SparkSession, argv: list[str]) -> None:
                               ("schedule_previous", "schedule_previous"), ("schedule_next", "schedule_next"))
             if getattr(args, attr)
         }
+        fields = dict(item.split("=", 1) for item in args.field)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-        for job, written in refresh(spark, args.trigger, sources, database=db, multi_line=not args.json_lines).items():
-            print(f"{job}: {written}")
+        written = refresh(
+            spark,
+            args.trigger,
+            sources,
+            database=db,
+            multi_line=not args.json_lines,
+            on_corrupt="keep" if args.keep_corrupt else "fail",
+            fields=fields,
+        )
+        for job, table_written in written.items():
+            print(f"{job}: {table_written}")
     elif args.command == "teams":
         conf = C.parse_conference(args.conference) if args.conference else None
         div = C.parse_division(args.division) if args.division else None

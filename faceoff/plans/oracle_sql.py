@@ -156,4 +156,9 @@ ORACLE_SQL: dict[str, str] = {
         "AS HomeScore FROM orders o INNER JOIN supplier a ON a.s_suppkey = o.o_custkey % 30 "
         "INNER JOIN supplier h ON h.s_suppkey = o.o_orderkey % 25"
     ),
+    "stream_refresh_teams": (
+        "SELECT CAST(s_suppkey AS INTEGER) AS ID, s_name AS Team, right(s_name, 3) AS ABB, "
+        "'Nation ' || CAST(s_nationkey AS VARCHAR) AS Location, 'Club ' || CAST(s_suppkey AS VARCHAR) AS Name "
+        "FROM supplier"
+    ),
 }

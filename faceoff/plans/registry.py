@@ -29,6 +29,7 @@ from faceoff.session import scratch_dir
 from faceoff.sources import delimited as Dl
 from faceoff.sources import documents as D
 from faceoff.sources import ingest
+from faceoff.streaming.landing import refresh_on_arrival
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -384,3 +385,17 @@ def refresh_past_games_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     refresh(spark, "teams", sources, database=db, multi_line=False)
     refresh(spark, "last game", sources, database=db, multi_line=False)
     return R.past_games(spark.table(f"{db}.pastGames"), spark.table(f"{db}.teams"))
+
+
+@register("stream_refresh_teams", extra=True)
+def stream_refresh_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming refresh: teams documents land in a folder, an ``availableNow``
+    file-source query flattens them in ``foreachBatch`` and replaces the snapshot."""
+    db = T.create_database(spark)
+    landing = {"teams": _landing(spark, A.supplier_teams_documents(spark, sf_dir))}
+    for query in refresh_on_arrival(spark, "teams", landing, scratch_dir(spark, "stream-ckpt"), database=db,
+                                    multi_line=False):
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(f"streaming refresh failed: {query.exception()}")
+    return spark.table(f"{db}.teams")

@@ -228,6 +228,7 @@ def create_keyed_table(
 
 
 def _key_layout(spark: SparkSession, name: str) -> tuple[str, int, list[str], T.DataType]:
+    # catalog metadata: a handful of properties
     props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
     if _KEY_PROP not in props:
         raise ValueError(f"{name} is not a keyed table")
@@ -251,7 +252,9 @@ def _touched_buckets(changes: DataFrame, key: str, buckets: int, key_type: T.Dat
     k = F.col(key).cast(key_type)
     per_bucket = changes.select(bucket_of(k, buckets).alias(BUCKET), k.alias("__k")).groupBy(BUCKET)
     if not unique:
+        # one row per touched bucket: at most `buckets` rows reach the driver
         return sorted(r[BUCKET] for r in per_bucket.agg(F.lit(1)).collect())
+    # one row per touched bucket: at most `buckets` rows reach the driver
     stats = per_bucket.agg(
         F.count(F.lit(1)).alias("__rows"),
         F.count_distinct(F.col("__k")).alias("__keys"),
@@ -352,7 +355,7 @@ def _rewrite_buckets(spark: SparkSession, name: str, new_rows: DataFrame, touche
     data_cols = ", ".join(f"`{c}`" for c in cols if c != BUCKET)
     new_rows.select(*cols).hint("rebalance", BUCKET).write.format("parquet").partitionBy(BUCKET).saveAsTable(staging)
     staged = spark.table(staging)
-    present = {r[BUCKET] for r in staged.select(BUCKET).distinct().collect()}
+    present = {r[BUCKET] for r in staged.select(BUCKET).distinct().collect()}  # ≤ touched buckets
     if present:
         staged.select(*cols).write.insertInto(name, overwrite=True)
     for b in sorted(set(touched) - present):

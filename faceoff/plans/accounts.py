@@ -88,5 +88,5 @@ def user_zone(spark: SparkSession, name: str, username: str, default: str = "est
     A point lookup returning at most one row; the value then selects the clock
     column of ``reports.next_games``.
     """
-    row = settings(spark, name, username).select("Timezone").limit(1).collect()
+    row = settings(spark, name, username).select("Timezone").limit(1).collect()  # at most one row
     return row[0]["Timezone"] if row and row[0]["Timezone"] else default

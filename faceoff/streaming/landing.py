@@ -8,6 +8,12 @@ function as the batch refresh, and becomes the table's new snapshot through
 ``foreachBatch``.  Progress is kept in a checkpoint location, so a restarted
 query neither loses nor replays a document.  ``availableNow`` processes what
 is there and stops; a processing-time trigger keeps watching.
+
+A micro-batch is taken as one complete generation of the feed (the batch
+refresh makes the same assumption about its source folder): if two full
+generations land before a batch runs, the snapshot is their union.  Feeds
+that publish complete generations should be picked up once per generation
+(a processing-time trigger shorter than the publishing interval).
 """
 
 from __future__ import annotations

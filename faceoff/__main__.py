@@ -29,7 +29,7 @@ from pyspark.sql import SparkSession
 from faceoff.operators import choices as C
 from faceoff.operators import reports as R
 from faceoff.plans import accounts
-from faceoff.plans.refresh import TRIGGERS, refresh
+from faceoff.plans.refresh import PARTITIONED_TEAM_IDS, TRIGGERS, refresh
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -136,7 +136,12 @@ def run(spark: SparkSession, argv: list[str]) -> None:
         _show(R.preview(report, R.standings_order(args.metric), args.limit), args.limit)
     elif args.command == "players":
         pos = C.parse_position(args.position) if args.position else None
-        report = R.players(table("players"), table("teams"), position=pos, team_id=args.team)
+        team_id = C.parse_team_id(args.team)
+        source = table("players")
+        if team_id in PARTITIONED_TEAM_IDS and spark.catalog.tableExists(f"{db}.partiPlayers"):
+            # the team filter becomes a partition filter: one team's files are read
+            source = table("partiPlayers")
+        report = R.players(source, table("teams"), position=pos, team_id=team_id)
         _show(R.preview(report, R.PLAYERS_ORDER, args.limit), args.limit)
     elif args.command == "games":
         if args.which in ("past", "both"):

@@ -77,3 +77,12 @@ def test_refresh_with_other_field_names(spark, tmp, db):
     assert spark.table(f"{db}.players").count() == 3
     with pytest.raises(ValueError):
         refresh(spark, "roster", {"roster": path}, database=db, fields={"nope": "x"})
+
+
+def test_team_roster_reads_one_partition(spark, tmp, db):
+    sources = docs.write_all(tmp)
+    refresh(spark, "all", sources, database=db)
+    report = R.players(spark.table(f"{db}.partiPlayers"), spark.table(f"{db}.teams"), team_id=1)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(TeamID" in plan and "(TeamID" in plan
+    assert sorted(r.FullName for r in report.collect()) == ["Ann One", "Bo: Two, Jr."]

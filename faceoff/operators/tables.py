@@ -41,6 +41,7 @@ BUCKET = "key_bucket"
 # and every bucket is at least one file per write.
 DEFAULT_BUCKETS = 16
 _VERSION_ATTEMPTS = 3
+_BUCKET_DIR = re.compile(rf"/{BUCKET}=(\d+)/")
 _KEY_PROP = "faceoff.key"
 _BUCKETS_PROP = "faceoff.buckets"
 
@@ -355,7 +356,9 @@ def _rewrite_buckets(spark: SparkSession, name: str, new_rows: DataFrame, touche
     data_cols = ", ".join(f"`{c}`" for c in cols if c != BUCKET)
     new_rows.select(*cols).hint("rebalance", BUCKET).write.format("parquet").partitionBy(BUCKET).saveAsTable(staging)
     staged = spark.table(staging)
-    present = {r[BUCKET] for r in staged.select(BUCKET).distinct().collect()}  # ≤ touched buckets
+    # buckets that got rows, from the staging table's file listing (no job;
+    # one path per written file, at most touched buckets × writers)
+    present = {int(m.group(1)) for f in staged.inputFiles() if (m := _BUCKET_DIR.search(f))}
     if present:
         staged.select(*cols).write.insertInto(name, overwrite=True)
     for b in sorted(set(touched) - present):

@@ -86,3 +86,13 @@ def test_team_roster_reads_one_partition(spark, tmp, db):
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(TeamID" in plan and "(TeamID" in plan
     assert sorted(r.FullName for r in report.collect()) == ["Ann One", "Bo: Two, Jr."]
+
+
+def test_streaming_roster_writes_partitioned_snapshot(spark, tmp, db):
+    landing = {"roster": str(Path(tmp) / "landing" / "roster")}
+    docs.write(landing["roster"], "r.json", docs.ROSTER)
+    for q in refresh_on_arrival(spark, "roster", landing, str(Path(tmp) / "ckpt-roster"), database=db):
+        q.awaitTermination(120)
+        assert q.exception() is None
+    assert spark.table(f"{db}.players").count() == 3
+    assert sorted(r.TeamID for r in spark.table(f"{db}.partiPlayers").collect()) == [1, 1, 24]

@@ -10,6 +10,7 @@ def test_cli_refresh_reports_and_users(spark, tmp, db, capsys):
     run(spark, ["--database", db, "standings", "--conference", "western", "--metric", "gpg"])
     run(spark, ["--database", db, "teams", "--division", "metro"])
     run(spark, ["--database", db, "players", "--position", "goalie"])
+    run(spark, ["--database", db, "players", "--team", "1"])  # read from the team-partitioned table
     run(spark, ["--database", db, "games", "both", "--zone", "mst"])
     run(spark, ["--database", db, "users", "register", "Zed", "pw", "admin", "pst"])
     run(spark, ["--database", db, "users", "set-zone", "zed", "est"])
@@ -17,6 +18,7 @@ def test_cli_refresh_reports_and_users(spark, tmp, db, capsys):
     run(spark, ["--database", db, "games", "next", "--user", " ZED"])  # zed's zone: est → 19:00
     out = capsys.readouterr().out
     assert "Alpha Club" in out and "Bo: Two, Jr." in out and "17:00" in out
+    assert "Ann One" in out  # only the team-1 listing shows this player
     assert "|zed     |admin   |est     |" in out
     assert "|19:00|" in out
 

@@ -71,6 +71,23 @@ def document_fields(overrides: Mapping[str, str] | None = None) -> dict[str, str
     return fields
 
 
+# Within-task sort of each written snapshot: rows of one team / date sit in
+# few row groups, so Parquet min/max statistics let scans filtering on them
+# skip the rest.  No shuffle, one sort per task.
+LAYOUT = {
+    "players": ("TeamID", "Position"),
+    "pastGames": ("Date",),
+    "nextGames": ("Date",),
+    "standings": ("TeamID",),
+}
+
+
+
+def laid_out(job: str, rows: DataFrame) -> DataFrame:
+    """``rows`` sorted within tasks by the job's layout columns (if any)."""
+    return rows.sortWithinPartitions(*LAYOUT[job]) if job in LAYOUT else rows
+
+
 TRIGGERS = {
     "teams": ("teams",),
     "next game": ("nextGames",),
@@ -133,7 +150,7 @@ def refresh(
         if spec.document not in sources:
             raise ValueError(f"no source given for document {spec.document!r} (job {job})")
         rows = flatten_documents(spark, job, sources[spec.document], multi_line, on_corrupt, fields)
-        written[job] = tables.replace_snapshot(spark, prefix + spec.table, rows)
+        written[job] = tables.replace_snapshot(spark, prefix + spec.table, laid_out(job, rows))
         if job == "players":
             # The partitioned copy is replaced whole, like the flat table.
             laid_out = tables.for_partitioned_write(

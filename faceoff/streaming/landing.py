@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from faceoff.operators import tables
-from faceoff.plans.refresh import JOBS, PARTITIONED_TEAM_IDS, document_fields, jobs_for
+from faceoff.plans.refresh import JOBS, PARTITIONED_TEAM_IDS, document_fields, jobs_for, laid_out
 from faceoff.schemas import CORRUPT_RECORD
 from faceoff.sources import documents
 
@@ -73,7 +73,7 @@ def refresh_on_arrival(
                 return
             if on_corrupt == "fail":
                 batch = documents.fail_on_corrupt(batch, what=f"{spec.document} document")
-            rows = spec.flatten(batch, names)
+            rows = laid_out(job, spec.flatten(batch, names))
             tables.replace_snapshot(spark, prefix + spec.table, rows)
             if job == "players":
                 laid_out = tables.for_partitioned_write(

@@ -153,10 +153,10 @@ def refresh(
         written[job] = tables.replace_snapshot(spark, prefix + spec.table, laid_out(job, rows))
         if job == "players":
             # The partitioned copy is replaced whole, like the flat table.
-            laid_out = tables.for_partitioned_write(
+            parti_rows = tables.for_partitioned_write(
                 spark.table(prefix + spec.table), "TeamID", PARTITIONED_TEAM_IDS, sort_by=["Position"]
             )
             written["partiPlayers"] = tables.replace_snapshot(
-                spark, prefix + "partiPlayers", laid_out, partition_by=["TeamID"]
+                spark, prefix + "partiPlayers", parti_rows, partition_by=["TeamID"]
             )
     return written

@@ -76,10 +76,10 @@ def refresh_on_arrival(
             rows = laid_out(job, spec.flatten(batch, names))
             tables.replace_snapshot(spark, prefix + spec.table, rows)
             if job == "players":
-                laid_out = tables.for_partitioned_write(
+                parti_rows = tables.for_partitioned_write(
                     spark.table(prefix + spec.table), "TeamID", PARTITIONED_TEAM_IDS, sort_by=["Position"]
                 )
-                tables.replace_snapshot(spark, prefix + "partiPlayers", laid_out, partition_by=["TeamID"])
+                tables.replace_snapshot(spark, prefix + "partiPlayers", parti_rows, partition_by=["TeamID"])
 
         writer = (
             _stream(spark, job, landing[spec.document], multi_line, names)

@@ -47,9 +47,23 @@ def local_clock(ts: Column | str, time_zone: str) -> Column:
     return F.date_format(shifted, "H:mm")
 
 
+_INSTANT = r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2}(?:\.\d{1,6})?)Z?$"
+
+
 def parse_utc_instant(text: Column | str) -> Column:
-    """``2021-03-01T23:00:00Z`` → ``timestamp_ntz`` holding the UTC wall clock."""
+    """``2021-03-01T23:00:00Z`` (optionally with a fraction) → ``timestamp_ntz``
+    holding the UTC wall clock; anything else, or an impossible date, → NULL.
+
+    Built from the parts with ``try_make_timestamp_ntz``: no session time zone
+    is involved, so a wall clock that falls into a daylight-saving gap of the
+    session zone is kept as written.
+    """
     text = F.col(text) if isinstance(text, str) else text
-    return F.try_to_timestamp(F.regexp_replace(text, "Z$", ""), F.lit("yyyy-MM-dd'T'HH:mm:ss")).cast(
-        "timestamp_ntz"
+
+    def part(i: int, type_: str) -> Column:
+        return F.regexp_extract(text, _INSTANT, i).try_cast(type_)
+
+    built = F.try_make_timestamp_ntz(
+        part(1, "int"), part(2, "int"), part(3, "int"), part(4, "int"), part(5, "int"), part(6, "decimal(8,6)")
     )
+    return F.when(text.rlike(_INSTANT), built)

@@ -33,9 +33,16 @@ def test_local_clock_uses_zone_rules(spark):
 
 
 def test_parse_utc_instant(spark):
-    df = spark.createDataFrame([("2021-03-01T23:00:00Z",), ("garbage",)], "t string")
-    got = [r[0] for r in df.select(Fn.parse_utc_instant("t")).collect()]
-    assert got == [dt.datetime(2021, 3, 1, 23, 0), None]
+    rows = [("2021-03-01T23:00:00Z",), ("2021-03-01T23:00:00.250Z",), ("garbage",), ("2021-02-30T01:00:00Z",),
+            ("2021-03-14T02:30:00Z",)]
+    df = spark.createDataFrame(rows, "t string")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")  # 02:30 on 2021-03-14 is a DST gap there
+    try:
+        got = [r[0] for r in df.select(Fn.parse_utc_instant("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [dt.datetime(2021, 3, 1, 23, 0), dt.datetime(2021, 3, 1, 23, 0, 0, 250000), None, None,
+                   dt.datetime(2021, 3, 14, 2, 30)]
 
 
 def test_normalize_key_java_whitespace(spark):

@@ -83,7 +83,8 @@ def standings(doc: DataFrame, stats_field: str = "teamStats") -> DataFrame:
 
     Division and conference come from the team and are carried down.  Stat
     values are text in the document schema and cast with ``try_cast`` after
-    taking element 0, so ranks in later splits cannot void the record.
+    taking element 0, so ranks in later splits cannot void the record.  A
+    team with no split yields no row.
     """
     teams_df = explode_path(doc, "teams", alias="t")
     stats = explode_path(
@@ -92,7 +93,10 @@ def standings(doc: DataFrame, stats_field: str = "teamStats") -> DataFrame:
         keep=[F.col("t.division.name").alias("division"), F.col("t.conference.name").alias("conference")],
         alias="ts",
     )
-    first = stats.select("division", "conference", first_element("ts.splits").alias("s"))
+    # a team without a split has no season totals and, as in the reference, no row
+    first = stats.select("division", "conference", first_element("ts.splits").alias("s")).filter(
+        F.col("s").isNotNull()
+    )
     stat = "s.stat."
     return first.select(
         F.col("s.team.id").alias("TeamID"),

@@ -56,8 +56,7 @@ def test_standings_first_split_only(spark, tmp):
     assert [tuple(r) for r in rows] == [
         (2, "Eastern", "Atlantic", 10, 2, 8, 0, 4, 1.9, 3.8),
         (1, "Western", "Central", 10, 6, 3, 1, 13, 3.1, 2.5),
-        (None, "Western", "Pacific", None, None, None, None, None, None, None),  # empty splits
-    ]
+    ]  # team 3 has an empty splits array: no season totals, no row
 
 
 def test_broken_document_is_kept_as_text(spark, tmp):

@@ -96,3 +96,19 @@ def test_streaming_roster_writes_partitioned_snapshot(spark, tmp, db):
         assert q.exception() is None
     assert spark.table(f"{db}.players").count() == 3
     assert sorted(r.TeamID for r in spark.table(f"{db}.partiPlayers").collect()) == [1, 1, 24]
+
+
+def test_streaming_refresh_with_processing_time_trigger(spark, tmp, db):
+    landing = {"teams": str(Path(tmp) / "landing-pt" / "teams")}
+    docs.write(landing["teams"], "a.json", docs.TEAMS)
+    queries = refresh_on_arrival(
+        spark, "teams", landing, str(Path(tmp) / "ckpt-pt"), database=db, available_now=False, processing_time="1 second"
+    )
+    try:
+        for q in queries:
+            q.processAllAvailable()
+            assert q.isActive and q.exception() is None
+        assert spark.table(f"{db}.teams").count() == 3
+    finally:
+        for q in queries:
+            q.stop()

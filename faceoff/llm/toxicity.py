@@ -289,7 +289,7 @@ def fit(docs: DataFrame, labels: DataFrame, letters: Letters, id_col: str = "doc
         sample.mapInArrow(count, "mark string, clean long, toxic long")
         .groupBy("mark").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .filter(F.col("toxic") >= least)
-        .select("mark", "toxic", share.alias("share")).filter(F.col("share") > 2 * prior)
+        .select("mark", "toxic", share.alias("share")).filter(F.col("share") > max(2 * prior, 0.5))
         .orderBy(F.desc("share"), F.desc("toxic"), "mark").limit(WORD_ENTRIES)
     )
     scorer = Scorer(letters, {r["mark"]: r["share"] for r in marks.collect()})

@@ -82,9 +82,8 @@ def copied_spans(data: bytes, copied: set, min_words: int = MIN_WORDS) -> list[t
         if a and not data[a - 1 : a].isspace():
             while a < b and not data[a : a + 1].isspace():
                 a += 1
-        if b < len(data) and not data[b : b + 1].isspace():
-            while b > a and not data[b - 1 : b].isspace():
-                b -= 1
+        while a < b < len(data) and not data[b : b + 1].isspace():
+            b -= 1  # what is left goes on with the space after the last whole word
         if len(data[a:b].split()) >= min_words:
             spans.append((a, b))
     return spans

@@ -1,8 +1,7 @@
 """Substring dedup by content-defined chunks.
 
-A gear hash rolls over the bytes of a text; a chunk ends where bits of the hash
-are all zero.  The bits depend on the last 16 bytes alone, so an insertion
-shifts chunks without changing those that follow.  Chunks are deduplicated by
+A gear hash rolls over the bytes of a text; a chunk ends where the hash is small.
+Its 16 bits depend on the last 16 bytes alone, so an insertion shifts chunks without changing those that follow.  Chunks are deduplicated by
 digest: the document with the smallest id keeps a chunk, in later documents it is a copy.
 Copies that follow each other are joined, and a run of at least ``min_words``
 words is cut out of the text, at word boundaries.  Chunks are far shorter than the
@@ -25,8 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# chunk ends where (hash & CUT_MASK) == 0: five bits, a chunk of 32 bytes on average
-CUT_MASK = 0xF800
+# A chunk ends where the hash is below this: every 24 bytes on average.
+CUT_BELOW = (1 << 16) // 24
 MAX_CHUNK = 256
 # a run of copied chunks is cut out from this many whole words on
 MIN_WORDS = 16
@@ -55,7 +54,7 @@ def cuts(data: bytes, max_chunk: int = MAX_CHUNK) -> list[int]:
             older = h[:-reach] << np.uint16(reach)
             h = h.copy()
             h[reach:] += older
-    ends = np.flatnonzero((h & np.uint16(CUT_MASK)) == 0) + 1
+    ends = np.flatnonzero(h < CUT_BELOW) + 1
     if not len(ends) or ends[-1] != n:
         ends = np.append(ends, n)
     gaps = np.diff(ends, prepend=0)

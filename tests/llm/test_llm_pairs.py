@@ -208,7 +208,7 @@ def test_cuts_cover_the_text_and_resist_shifts():
     data = prose(rng, 3000).encode()
     ends = chunk_dedup.cuts(data)
     assert ends[-1] == len(data) and all(0 < b - a <= chunk_dedup.MAX_CHUNK for a, b in zip([0, *ends], ends))
-    assert 20 < len(data) / len(ends) < 45
+    assert 18 < len(data) / len(ends) < 32
     own = set(chunk_dedup.digests(data, ends).tolist())
     moved = b"inserted words " + data
     other = chunk_dedup.digests(moved, chunk_dedup.cuts(moved)).tolist()

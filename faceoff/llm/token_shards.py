@@ -26,7 +26,10 @@ documents of their own; an empty table writes no shards; extra columns are not r
 from __future__ import annotations
 
 import base64
+import sys
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -89,25 +92,29 @@ class Encoder:
         self.words: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.library.encode_ordinary(text), "<u2").tobytes()
+        ids = array("H", self.library.encode_ordinary(text))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a text, two bytes each."""
+    def parts(self, text: str) -> list[bytes]:
+        """Ids of a text, two bytes each, word by word."""
         head, *words = text.split(" ")
-        found = list(map(self.words.get, words))
+        known = self.words
+        found = list(map(known.get, words))
         if None in found:
-            for k, (word, ids) in enumerate(zip(words, found)):
-                if ids is None:
-                    if not word or word[0].isspace() or word[-1].isspace():
-                        return self._ids(text)
-                    found[k] = self._ids(" " + word)
-                    if len(word) <= LONGEST_CACHED:
-                        if len(self.words) >= CACHE_WORDS:
-                            self.words.clear()
-                        self.words[word] = found[k]
+            for k in [k for k, ids in enumerate(found) if ids is None]:
+                word = words[k]
+                if not word or word[0].isspace() or word[-1].isspace():
+                    return [self._ids(text)]
+                found[k] = self._ids(" " + word)
+                if len(word) <= LONGEST_CACHED:
+                    if len(known) >= CACHE_WORDS:
+                        known.clear()
+                    known[word] = found[k]
         if head and head[-1].isspace():
-            return self._ids(text)
-        return self._ids(head) + b"".join(found)
+            return [self._ids(text)]
+        return [self._ids(head), *found]
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -144,17 +151,15 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, pattern: str, key:
     rows = docs.select(F.coalesce(own, F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def tokenised(batches: Iterator[pa.RecordBatch], count: list) -> Iterator[tuple]:
-        """Per batch (ids, (token bytes) of the documents that have a text); counts into ``count``."""
+        """(id, its ids in parts) of the documents that have a text; counts into ``count``."""
         coder = encoder(tokenizer, pattern)
         for batch in batches:
-            names, coded = [], []
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if text:
-                    names.append(name)
-                    coded.append(coder.encode(text))
-                    count[0] += _n_sequences(len(coded[-1]) // 2, length)
-                    count[1] = xxhash.xxh64_intdigest(coded[-1], count[1]) >> 1
-            yield names, coded
+                    parts = coder.parts(text)
+                    count[0] += _n_sequences(sum(map(len, parts)) // 2, length)
+                    count[1] = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), count[1]) >> 1
+                    yield name, parts
 
     def partition() -> int:
         from pyspark import TaskContext
@@ -177,27 +182,27 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, pattern: str, key:
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, n, digest = plan.value[partition()]
         count, end = [0, 0], encoder(tokenizer, pattern).end
-        for names, coded in tokenised(batches, count):
-            for at in range(0, len(coded), 256):
-                cut = [sequences(c, end, length) for c in coded[at : at + 256]]
-                sizes = np.array([len(c) for c in cut])
-                body = np.concatenate(cut)
-                records = np.zeros((len(body), stride(length)), np.uint8)
-                head = np.zeros(len(body), _HEAD)
-                head["slot"] = slots(np.arange(first, first + len(body)), total, key)
-                head["id"] = np.repeat(np.array(names[at : at + 256], np.int64), sizes)
-                head["sequence"] = np.arange(len(body)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                ids = np.array([len(c) // 2 for c in coded[at : at + 256]])
-                head["n_tokens"] = np.minimum(np.repeat(ids + 1, sizes) - head["sequence"] * length, length)
-                records[:, : _HEAD.itemsize] = head.view(np.uint8).reshape(len(body), -1)
-                records[:, _HEAD.itemsize : -1] = np.ascontiguousarray(body).view(np.uint8).reshape(len(body), -1)
-                first += len(body)
-                slot = head["slot"].astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(slot // shard_sequences), pa.array(slot),
-                     pa.array([r.tobytes() for r in records[:, :-1]], pa.binary())],  # the writer adds the line feed
-                    names=["shard", "slot", "record"],
-                )
+        documents = tokenised(batches, count)
+        while group := [(name, b"".join(parts)) for name, parts in islice(documents, 256)]:
+            cut = [sequences(c, end, length) for _, c in group]
+            sizes = np.array([len(c) for c in cut])
+            body = np.concatenate(cut)
+            records = np.zeros((len(body), stride(length)), np.uint8)
+            head = np.zeros(len(body), _HEAD)
+            head["slot"] = slots(np.arange(first, first + len(body)), total, key)
+            head["id"] = np.repeat(np.array([name for name, _ in group], np.int64), sizes)
+            head["sequence"] = np.arange(len(body)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            ids = np.array([len(c) // 2 for _, c in group])
+            head["n_tokens"] = np.minimum(np.repeat(ids + 1, sizes) - head["sequence"] * length, length)
+            records[:, : _HEAD.itemsize] = head.view(np.uint8).reshape(len(body), -1)
+            records[:, _HEAD.itemsize : -1] = np.ascontiguousarray(body).view(np.uint8).reshape(len(body), -1)
+            first += len(body)
+            slot = head["slot"].astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(slot // shard_sequences), pa.array(slot),
+                 pa.array([r.tobytes() for r in records[:, :-1]], pa.binary())],  # the writer adds the line feed
+                names=["shard", "slot", "record"],
+            )
         if tuple(count) != (n, digest):
             raise RuntimeError("the second pass saw another partition than the first; write the input to files first")
 

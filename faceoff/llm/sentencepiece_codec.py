@@ -34,9 +34,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-# Entries that a worker's caches hold before they start anew.
-CACHE_WORDS = 1_000_000
-CACHE_PAIRS = 1_000_000
+# Entries that a worker's caches hold before they start anew (some 200 MB in all).
+CACHE_WORDS = 400_000
+CACHE_PREFIXES = 300_000
+CACHE_PAIRS = 400_000
 LONGEST_CACHED = 64
 PREFIX = 12
 # sentencepiece's penalty of an unknown character below the worst score
@@ -159,7 +160,7 @@ class Model:
             last.append(i)
             total.append(score)
             if bpe and end <= PREFIX:  # what ends here depends on the text before alone
-                if len(known) >= CACHE_WORDS:
+                if len(known) >= CACHE_PREFIXES:
                     known.clear()
                 known[text[:end]] = i
             if end - base > window:
@@ -259,12 +260,19 @@ def model(path: str) -> Model:
     return _MODELS[path]
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that few texts have their ids in memory at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids: array<int>) of every document."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = model(path)
-        for rows in batches:
+        for rows in _slices(batches):
             coded = [np.frombuffer(coder.encode_bytes(t), "<i4") for t in rows.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(coded, pa.list_(pa.int32()))], names=[id_col, "ids"])
 
@@ -292,7 +300,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = model(path)
-        for rows in batches:
+        for rows in _slices(batches):
             texts = rows.column(1).to_pylist()
             coded = [coder.encode_bytes(t) for t in texts]
             same = [coder.decode(np.frombuffer(c, "<i4").tolist()) == (t or "") for c, t in zip(coded, texts)]

@@ -55,29 +55,29 @@ def _parser() -> argparse.ArgumentParser:
     t = sub.add_parser("teams")
     t.add_argument("--conference")
     t.add_argument("--division")
-    t.add_argument("--limit", type=int, default=None, help="rows shown (default 32 for all teams, 20 per scope)")
+    t.add_argument("--limit", type=_positive, default=None, help="rows shown (default 32 for all teams, 20 per scope)")
 
     s = sub.add_parser("standings")
     s.add_argument("--conference")
     s.add_argument("--division")
     s.add_argument("--metric", default=C.DEFAULT_METRIC)
-    s.add_argument("--limit", type=int, default=32)
+    s.add_argument("--limit", type=_positive, default=32)
 
     pl = sub.add_parser("players")
     pl.add_argument("--position")
     pl.add_argument("--team")
-    pl.add_argument("--limit", type=int, default=900)
+    pl.add_argument("--limit", type=_positive, default=900)
 
     g = sub.add_parser("games")
     g.add_argument("which", choices=["past", "next", "both"])
     g.add_argument("--team")
     g.add_argument("--zone", default=None, help="est, cst, mst or pst (default: the user's zone, else est)")
     g.add_argument("--user", help="show upcoming games in this account's zone")
-    g.add_argument("--limit", type=int, default=20)
+    g.add_argument("--limit", type=_positive, default=20)
 
     u = sub.add_parser("users")
     us = u.add_subparsers(dest="action", required=True)
-    us.add_parser("list").add_argument("--limit", type=int, default=100)
+    us.add_parser("list").add_argument("--limit", type=_positive, default=100)
     reg = us.add_parser("register")
     for a in ("username", "password", "user_type", "zone"):
         reg.add_argument(a)
@@ -89,6 +89,13 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _positive(text: str) -> int:
+    n = int(text)
+    if n < 1:
+        raise argparse.ArgumentTypeError("must be at least 1")
+    return n
+
+
 def _show(df, limit: int) -> None:
     df.show(limit, truncate=False)
 
@@ -121,13 +128,15 @@ def run(spark: SparkSession, argv: list[str]) -> None:
     elif args.command == "teams":
         conf = C.parse_conference(args.conference) if args.conference else None
         div = C.parse_division(args.division) if args.division else None
-        report = R.teams(table("teams"), table("standings"), conference=conf, division=div)
+        scoped = conf is not None or div is not None
+        # the plain list needs no standings table
+        report = R.teams(table("teams"), table("standings"), conference=conf, division=div) if scoped else R.teams(table("teams"))
         if conf is None and div is None:
-            order, limit = R.TEAMS_ORDER, args.limit or 32
+            order, limit = R.TEAMS_ORDER, 32 if args.limit is None else args.limit
         elif div is None:
-            order, limit = R.CONFERENCE_ORDER, args.limit or 20
+            order, limit = R.CONFERENCE_ORDER, 20 if args.limit is None else args.limit
         else:
-            order, limit = ("Team",), args.limit or 20
+            order, limit = ("Team",), 20 if args.limit is None else args.limit
         _show(R.preview(report, order, limit), limit)
     elif args.command == "standings":
         conf = C.parse_conference(args.conference) if args.conference else None

@@ -47,12 +47,14 @@ def local_clock(ts: Column | str, time_zone: str) -> Column:
     return F.date_format(shifted, "H:mm")
 
 
-_INSTANT = r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2}(?:\.\d{1,6})?)Z?$"
+# date, time, seconds with up to six of their fraction digits (more are cut off), offset
+_INSTANT = r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2}(?:\.\d{1,6})?)(?:(?<=\.\d{6})\d+)?(?:Z|([+-])(\d{2}):?(\d{2}))?$"
 
 
 def parse_utc_instant(text: Column | str) -> Column:
-    """``2021-03-01T23:00:00Z`` (optionally with a fraction) → ``timestamp_ntz``
-    holding the UTC wall clock; anything else, or an impossible date, → NULL.
+    """``2021-03-01T23:00:00Z`` (optionally with a fraction of any length, or an
+    offset such as ``+01:00`` in place of ``Z``) → ``timestamp_ntz`` holding the
+    UTC wall clock; anything else, or an impossible date, → NULL.
 
     Built from the parts with ``try_make_timestamp_ntz``: no session time zone
     is involved, so a wall clock that falls into a daylight-saving gap of the
@@ -66,4 +68,6 @@ def parse_utc_instant(text: Column | str) -> Column:
     built = F.try_make_timestamp_ntz(
         part(1, "int"), part(2, "int"), part(3, "int"), part(4, "int"), part(5, "int"), part(6, "decimal(8,6)")
     )
-    return F.when(text.rlike(_INSTANT), built)
+    minutes = F.coalesce(part(8, "int") * 60 + part(9, "int"), F.lit(0))
+    ahead = F.when(F.regexp_extract(text, _INSTANT, 7) == "-", -minutes).otherwise(minutes)
+    return F.when(text.rlike(_INSTANT), built - F.make_dt_interval(mins=ahead))

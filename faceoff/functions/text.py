@@ -68,7 +68,10 @@ def json_scalar(doc: Column | str, key: str, cast: str | None = None) -> Column:
     Strings come back unquoted; with ``cast`` the text is converted with
     ``try_cast`` so malformed values become NULL instead of failing the task.
     """
-    value = F.get_json_object(_col(doc), f"$.{key}")
+    if "'" in key:  # a JSON path has no escape for it
+        value = F.from_json(_col(doc), "map<string, string>").getItem(key)
+    else:
+        value = F.get_json_object(_col(doc), f"$['{key}']")
     return value.try_cast(cast) if cast else value
 
 

@@ -273,6 +273,12 @@ def append_rows(spark: SparkSession, name: str, rows: DataFrame) -> None:
     _with_bucket(rows, key, buckets, data_cols, key_type).hint("rebalance", BUCKET).write.insertInto(name)
 
 
+def _null_safe_semi(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is among ``keys``; the NULL key is a key like any other."""
+    wanted = keys.select(F.col(key).alias("_wanted_key"))
+    return rows.join(wanted, F.col(key).eqNullSafe(F.col("_wanted_key")), "left_semi")
+
+
 def insert_if_absent(spark: SparkSession, name: str, rows: DataFrame) -> None:
     """MNT-1: append the rows whose key is not in the table yet.
 
@@ -287,7 +293,7 @@ def insert_if_absent(spark: SparkSession, name: str, rows: DataFrame) -> None:
         return
     candidate_keys = rows.select(F.col(key).cast(key_type).alias(key))
     present = (
-        spark.table(name).filter(F.col(BUCKET).isin(touched)).select(key).join(candidate_keys, key, "left_semi")
+        _null_safe_semi(spark.table(name).filter(F.col(BUCKET).isin(touched)).select(key), candidate_keys, key)
     )
     fresh = rows.join(present, rows[key].cast(key_type).eqNullSafe(present[key]), "left_anti")
     _with_bucket(fresh, key, buckets, data_cols, key_type).hint("rebalance", BUCKET).write.insertInto(name)
@@ -382,7 +388,7 @@ def lookup_many(spark: SparkSession, name: str, keys: DataFrame, columns: Sequen
     key, buckets, data_cols, key_type = _key_layout(spark, name)
     touched = _touched_buckets(keys, key, buckets, key_type)
     wanted = keys.select(F.col(key).cast(key_type).alias(key))
-    df = spark.table(name).filter(F.col(BUCKET).isin(touched)).join(wanted, key, "left_semi")
+    df = _null_safe_semi(spark.table(name).filter(F.col(BUCKET).isin(touched)), wanted, key)
     return df.select(*(columns or data_cols))
 
 

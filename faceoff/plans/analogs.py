@@ -9,11 +9,11 @@ work itself is the operator's.
 Mapping (reference ← test table):
 
 * teams (plain list) ← supplier
-* teams ⋈ standings attributes ← customer ⋈ nation (n_nationkey < 20)
-* standings + 7 metrics ← lineitem ⋈ part (p_size ≤ 40)
-* players ← orders ⋈ customer (not BUILDING)
+* teams ⋈ standings attributes ← customer ⋈ nation; team id = c_custkey % 30
+* standings + 7 metrics ← lineitem ⋈ part; team id = 2 · l_partkey
+* players ← orders ⋈ customer; team id = 2 · o_custkey
 * past games ← orders doubled; away = o_custkey % 30, home = o_orderkey % 25 → nation
-* next games ← events doubled; away = user_id, home = event_id % 150 → customer
+* next games ← events doubled; away = user_id, home = event_id → customer
 * users ← customer (key c_custkey)
 * nested documents ← conversations regrouped per conv_id
 """
@@ -71,7 +71,7 @@ def supplier_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------ teams ⋈ standings attrs
-CUSTOMER_AS_TEAMS = {"c_nationkey": "ID", "c_custkey": "Team", "c_name": "ABB", "c_mktsegment": "Location"}
+CUSTOMER_AS_TEAMS = {"team_id": "ID", "c_custkey": "Team", "c_name": "ABB", "c_mktsegment": "Location"}
 NATION_AS_STANDINGS = {"n_nationkey": "TeamID", "n_regionkey": "Conference", "n_name": "Division"}
 TEAMS_SCOPE_OUT = {"Team": "c_custkey", "ABB": "c_name", "Location": "c_mktsegment", "Conference": "conference",
                    "Division": "division"}
@@ -80,17 +80,17 @@ TEAMS_SCOPE_COLUMNS = ("Team", "ABB", "Location", "Conference", "Division")
 
 @per_session
 def customer_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rename(table(spark, sf_dir, "customer"), CUSTOMER_AS_TEAMS)
+    customer = table(spark, sf_dir, "customer")
+    return rename(customer.withColumn("team_id", F.pmod("c_custkey", F.lit(30))), CUSTOMER_AS_TEAMS)
 
 
 @per_session
 def nation_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") < 20)
-    return rename(nation, NATION_AS_STANDINGS)
+    return rename(table(spark, sf_dir, "nation"), NATION_AS_STANDINGS)
 
 
 # --------------------------------------------------------------- standings
-LINEITEM_AS_STANDINGS = {"l_partkey": "TeamID", "l_linenumber": "GP", "l_quantity": "W", "l_discount": "OTL",
+LINEITEM_AS_STANDINGS = {"team_id": "TeamID", "l_linenumber": "GP", "l_quantity": "W", "l_discount": "OTL",
                          "l_extendedprice": "PTS", "l_tax": "GPG"}
 PART_AS_TEAMS = {"p_partkey": "ID", "p_name": "Team", "p_type": "Conference", "p_brand": "Division", "p_size": "L",
                  "p_retailprice": "GAPG"}
@@ -105,17 +105,17 @@ STANDINGS_ANALOG_TIES = ("l_orderkey", "GP", "W", "PTS", "OTL", "GPG", "Team", "
 
 @per_session
 def lineitem_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rename(table(spark, sf_dir, "lineitem"), LINEITEM_AS_STANDINGS)
+    lineitem = table(spark, sf_dir, "lineitem")
+    return rename(lineitem.withColumn("team_id", F.col("l_partkey") * 2), LINEITEM_AS_STANDINGS)
 
 
 @per_session
 def part_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").filter(F.col("p_size") <= 40)
-    return rename(part, PART_AS_TEAMS)
+    return rename(table(spark, sf_dir, "part"), PART_AS_TEAMS)
 
 
 # ----------------------------------------------------------------- players
-ORDERS_AS_PLAYERS = {"o_orderkey": "FullName", "o_custkey": "TeamID", "o_orderpriority": "Position",
+ORDERS_AS_PLAYERS = {"o_orderkey": "FullName", "team_id": "TeamID", "o_orderpriority": "Position",
                      "o_orderstatus": "JerseyNumber"}
 CUSTOMER_AS_PLAYER_TEAMS = {"c_custkey": "ID", "c_name": "Team"}
 PLAYERS_OUT = {"Team": "team", "FullName": "o_orderkey", "Position": "position", "JerseyNumber": "o_orderstatus"}
@@ -123,13 +123,13 @@ PLAYERS_OUT = {"Team": "team", "FullName": "o_orderkey", "Position": "position",
 
 @per_session
 def orders_players(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rename(table(spark, sf_dir, "orders"), ORDERS_AS_PLAYERS)
+    orders = table(spark, sf_dir, "orders")
+    return rename(orders.withColumn("team_id", F.col("o_custkey") * 2), ORDERS_AS_PLAYERS)
 
 
 @per_session
 def customer_player_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") != "BUILDING")
-    return rename(customer, CUSTOMER_AS_PLAYER_TEAMS)
+    return rename(table(spark, sf_dir, "customer"), CUSTOMER_AS_PLAYER_TEAMS)
 
 
 # -------------------------------------------------------------- past games
@@ -177,18 +177,15 @@ def events_next_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubled.select(
         F.col("event_id").cast("string").alias("GameID"),
         F.col("user_id").alias("AwayID"),
-        F.pmod(F.col("event_id"), F.lit(150)).alias("HomeID"),
+        F.col("event_id").alias("HomeID"),
         F.to_date(F.col("ts")).alias("Date"),
         F.col("ts").alias("StartTime"),
     )
 
 
 @per_session
-def customer_game_teams(spark: SparkSession, sf_dir: str, exclude_building: bool = False) -> DataFrame:
-    customer = table(spark, sf_dir, "customer")
-    if exclude_building:
-        customer = customer.filter(F.col("c_mktsegment") != "BUILDING")
-    return rename(customer.select("c_custkey", "c_name"), CUSTOMER_AS_PLAYER_TEAMS)
+def customer_game_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rename(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), CUSTOMER_AS_PLAYER_TEAMS)
 
 
 # ----------------------------------------------------------- users (keyed)

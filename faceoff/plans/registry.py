@@ -177,7 +177,7 @@ def _next(spark: SparkSession, sf_dir: str, zone: str, **params) -> DataFrame:
         A.events_next_games(spark, sf_dir),
         A.customer_game_teams(spark, sf_dir),
         zone,
-        home_teams_df=A.customer_game_teams(spark, sf_dir, exclude_building=True),
+        home_teams_df=A.customer_game_teams(spark, sf_dir),
         **params,
     )
 

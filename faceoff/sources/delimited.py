@@ -31,14 +31,20 @@ def to_delimited_line(df: DataFrame, sep: str = ",", guard: bool = True) -> Data
     """One ``value`` string column per row: fields joined by ``sep``.
 
     NULL is written as ``\\N`` (``concat_ws`` would skip it and shift the
-    columns).  With ``guard`` a value containing ``sep`` fails the job rather
-    than writing a row that reads back shifted (FN-12).
+    columns).  With ``guard`` a value that would read back as something else
+    fails the job (FN-12): one with ``sep`` or a line break in it, the text
+    ``\\N``, and in a table of one column the empty text (a blank line).
     """
     fields = []
+    single = len(df.columns) == 1
     for name in df.columns:
         text = F.col(name).cast("string")
         if guard:
-            text = without_separator(text, sep, what=f"column {name}")
+            what = f"column {name}"
+            unreadable = text.rlike("[\\r\\n]") | (text == NULL_TOKEN) | ((text == "") if single else F.lit(False))
+            text = F.when(unreadable, F.raise_error(F.lit(f"{what} holds a value that the format cannot carry"))).otherwise(
+                without_separator(text, sep, what=what)
+            )
         fields.append(F.coalesce(text, F.lit(NULL_TOKEN)))
     return df.select(F.concat_ws(sep, *fields).alias("value"))
 

@@ -50,3 +50,13 @@ def test_other_separator(spark, tmp):
     assert line == "1;a|b;1.0"
     lines = spark.createDataFrame([("1|x|2.0",)], "value string")
     assert tuple(Dl.parse_delimited(lines, SCHEMA, sep="|").first()) == (1, "x", 2.0)
+
+
+def test_sink_refuses_what_would_read_back_otherwise(spark, tmp):
+    import pytest
+
+    for k, value in enumerate(["a\nb", "a\rb", "\\N"]):
+        with pytest.raises(Exception, match="cannot carry"):
+            Dl.write_delimited(spark.createDataFrame([(1, value, 1.0)], SCHEMA), f"{tmp}/bad{k}")
+    with pytest.raises(Exception, match="cannot carry"):
+        Dl.write_delimited(spark.createDataFrame([("",)], "name string"), f"{tmp}/blank")

@@ -86,3 +86,23 @@ def test_normalize_key_text_matches_column_version(spark):
     df = spark.createDataFrame([(r,) for r in samples], "k string")
     got = [r[0] for r in df.select(Fn.normalize_key("k")).collect()]
     assert got == [Fn.normalize_key_text(r) for r in samples]
+
+
+def test_json_scalar_keys_are_taken_literally(spark):
+    from faceoff.functions.text import json_scalar
+
+    df = spark.createDataFrame([('{"a.b": 1, "a": {"b": 2}, "it\'s": "x"}',)], "doc string")
+    got = df.select(json_scalar("doc", "a.b").alias("x"), json_scalar("doc", "it's").alias("y"), json_scalar("doc", "none").alias("z")).first()
+    assert tuple(got) == ("1", "x", None)
+
+
+def test_instants_with_long_fractions_and_offsets(spark):
+    from faceoff.functions.clock import parse_utc_instant
+
+    texts = ["2021-03-01T23:00:00.1234567Z", "2021-03-01T23:00:00+00:00", "2021-03-01T23:00:00-05:30", "2021-03-01T23:00:00+0100",
+             "2021-03-01T23:00:005Z", "2021-03-01T23:00:00.5", "x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(parse_utc_instant("t").cast("string").alias("v"))
+    assert [r["v"] for r in df.collect()] == [
+        "2021-03-01 23:00:00.123456", "2021-03-01 23:00:00", "2021-03-02 04:30:00", "2021-03-01 22:00:00", None,
+        "2021-03-01 23:00:00.5", None,
+    ]

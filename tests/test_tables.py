@@ -186,3 +186,18 @@ def test_snapshot_skips_a_leftover_version_folder(spark, db):
     written = T.replace_snapshot(spark, name, spark.createDataFrame([(2, "B", "b", "x", "y")], schemas.TEAMS))
     assert written == f"{name}__v3"
     assert [r.ID for r in spark.table(name).collect()] == [2]
+
+
+def test_the_null_key_is_a_key(spark, db):
+    from faceoff.operators import tables as T
+
+    schema = "k string, v int"
+    name = f"{db}.null_keys"
+    T.create_keyed_table(spark, name, spark.createDataFrame([], schema).schema, "k", buckets=4)
+    rows = spark.createDataFrame([(None, 1), ("a", 2)], schema)
+    T.insert_if_absent(spark, name, rows)
+    T.insert_if_absent(spark, name, spark.createDataFrame([(None, 3), ("b", 4)], schema))
+    got = sorted(((r["k"], r["v"]) for r in spark.table(name).collect()), key=str)
+    assert got == [("a", 2), ("b", 4), (None, 1)]
+    found = T.lookup_many(spark, name, spark.createDataFrame([(None,), ("a",)], "k string"))
+    assert sorted(r["v"] for r in found.collect()) == [1, 2]

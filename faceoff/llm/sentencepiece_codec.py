@@ -35,11 +35,12 @@ from pyspark.sql import types as T
 
 MARK = "▁"
 # Entries that a worker's caches hold before they start anew (some 200 MB in all).
-CACHE_WORDS = 400_000
-CACHE_PREFIXES = 300_000
+CACHE_WORDS = 250_000
+CACHE_SEGMENTS = 100_000
+CACHE_PREFIXES = 100_000
 CACHE_PAIRS = 400_000
 LONGEST_CACHED = 64
-PREFIX = 12
+PREFIX = 6
 # sentencepiece's penalty of an unknown character below the worst score
 UNKNOWN_PENALTY = 10.0
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -76,10 +77,19 @@ class Model:
         self.tails = {p[k:]: -1 for p in self.ids for k in range(len(p))} | self.ids
         self.unknown_score = min(self.scores[i] for i in self.ids.values()) - UNKNOWN_PENALTY
         self.splits = not any(MARK in p.lstrip(MARK) for p in self.ids)
+        self.lines = "\n" not in "".join(self.ids)  # then no piece spans the end of a line
         self.pairs: dict[int, bool] = {}  # by both ids
         self.words: dict[str, bytes] = {}
-        self.prefixes: dict[str, int] = {}  # last id of a short prefix
+        self.older: dict[str, bytes] = {}  # the words known before, when there were too many
+        self.segments: dict[str, bytes] = {}  # parts of words without a mark
+        self.adjacent = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self.prefixes: dict[str, tuple] = {}  # previous boundaries and last ids of a short prefix
         self.lengths = [len(p or "") for p in self.pieces]
+        # what an id stands for in a text, and the byte of a byte piece (else -1)
+        self.surfaces = [p.replace(MARK, " ") if p is not None else " ⁇ " if i == self.unknown else "" for i, p in enumerate(self.pieces)]
+        self.byte_of = np.full(n, -1, np.int16)
+        if self.byte_ids:
+            self.byte_of[self.byte_ids] = np.arange(256)
 
     # ------------------------------------------------------------ the search
     def side_by_side(self, left: str, right: str) -> bool:
@@ -102,26 +112,32 @@ class Model:
                 if 0 <= k < len(joined):
                     joined[k] = ids.get(parts[k] + parts[k + 1])
 
-    def _bpe_step(self, text: str, end: int, base: int, last: list, total: list) -> tuple[int, int, float]:
-        """Start and id of the one piece that BPE leaves at the end of text[:end]."""
-        tails, pairs = self.tails, self.pairs
-        for start in range(end - 1, max(base, end - self.longest) - 1, -1):
-            i = tails.get(text[start:end])
-            if i is None:
-                break
-            if i >= 0:
-                before = last[start - base]
-                if before is None or before < 0:
-                    return start, i, 0.0
-                key = before << 32 | i
-                fits = pairs.get(key)
-                if fits is None:
-                    if len(pairs) >= CACHE_PAIRS:
-                        pairs.clear()
-                    fits = pairs[key] = self.side_by_side(self.pieces[before], self.pieces[i])
-                if fits:
-                    return start, i, 0.0
-        return end - 1, -ord(text[end - 1]) - 1, 0.0
+    def _fits(self, left: int, right: int) -> bool:
+        """Whether BPE leaves these two pieces side by side; remembered."""
+        if len(self.pairs) >= CACHE_PAIRS:
+            self.pairs.clear()
+        fits = self.pairs[left * len(self.pieces) + right] = self.side_by_side(self.pieces[left], self.pieces[right])
+        return fits
+
+    def _bpe_steps(self, text: str, base: int, back: list, last: list, until: int) -> None:
+        """For each boundary up to ``until`` the one piece that BPE leaves at its end."""
+        tail, fits, n, longest = self.tails.get, self.pairs.get, len(self.pieces), self.longest
+        for end in range(base + len(last), until + 1):
+            at, chosen = end - 1, -ord(text[end - 1]) - 1
+            for start in range(end - 1, max(base, end - longest) - 1, -1):
+                i = tail(text[start:end])
+                if i is None:
+                    break
+                if i >= 0:
+                    before = last[start - base]
+                    if before is not None and before >= 0:
+                        fit = fits(before * n + i)
+                        if not (self._fits(before, i) if fit is None else fit):
+                            continue
+                    at, chosen = start, i
+                    break
+            back.append(at)
+            last.append(chosen)
 
     def _unigram_step(self, text: str, end: int, base: int, last: list, total: list) -> tuple[int, int, float]:
         """Start, id and score of the best path's piece at the end of text[:end]."""
@@ -139,44 +155,50 @@ class Model:
                 chosen = (end - 1, -ord(text[end - 1]) - 1, unknown)
         return chosen
 
+    def _unigram_steps(self, text: str, base: int, back: list, last: list, total: list, until: int) -> None:
+        for end in range(base + len(last), until + 1):
+            for kept, found in zip((back, last, total), self._unigram_step(text, end, base, last, total)):
+                kept.append(found)
+
     def path(self, text: str) -> Iterator[int]:
         """Ids of ``text`` (marks in place of spaces), each as soon as it is certain.
 
         An unknown character yields minus its code point minus one.
         """
-        step, lengths = (self._bpe_step if self.bpe else self._unigram_step), self.lengths
-        base, window = 0, 4 * self.longest  # boundaries up to base are committed
+        base, n, window = 0, len(text), 4 * self.longest  # boundaries up to base are committed
         back, last, total = [0], [None], [0.0]  # per boundary from base on: previous boundary, id, score
-        known, bpe = self.prefixes, self.bpe
-        for end in range(1, len(text) + 1):
-            i = known.get(text[:end]) if bpe and end <= PREFIX else None
-            if i is not None:
-                back.append(end - lengths[i] if i >= 0 else end - 1)
-                last.append(i)
-                total.append(0.0)
-                continue
-            start, i, score = step(text, end, base, last, total)
-            back.append(start)
-            last.append(i)
-            total.append(score)
-            if bpe and end <= PREFIX:  # what ends here depends on the text before alone
-                if len(known) >= CACHE_PREFIXES:
-                    known.clear()
-                known[text[:end]] = i
-            if end - base > window:
-                # the paths of all boundaries that can still be extended, walked back until they meet
-                alive = set(range(end - self.longest + 1, end + 1))
-                while len(alive) > 1:
-                    most = max(alive)
-                    alive.remove(most)
-                    alive.add(back[most - base])
-                meet = alive.pop()
-                if meet > base:
-                    yield from self._walk(back, last, base, meet)
-                    keep = meet - base
-                    back, last, total = back[keep:], last[keep:], [t - total[keep] for t in total[keep:]]
-                    base = meet
-        yield from self._walk(back, last, base, len(text))
+        if self.bpe:  # what ends in a prefix depends on that prefix alone
+            known = self.prefixes.get(text[:PREFIX])
+            if known is None:
+                self._bpe_steps(text, 0, back, last, min(n, PREFIX))
+                if len(self.prefixes) >= CACHE_PREFIXES:
+                    self.prefixes.clear()
+                self.prefixes[text[:PREFIX]] = tuple(back), tuple(last)
+            else:
+                back, last = map(list, known)
+        while True:
+            until = min(n, base + window + self.longest)
+            if self.bpe:
+                self._bpe_steps(text, base, back, last, until)
+            else:
+                self._unigram_steps(text, base, back, last, total, until)
+            if until == n:
+                break
+            # the paths of all boundaries that can still be extended, walked back until they meet
+            alive = set(range(until - self.longest + 1, until + 1))
+            while len(alive) > 1:
+                most = max(alive)
+                alive.remove(most)
+                alive.add(back[most - base])
+            meet = alive.pop()
+            if meet > base:
+                yield from self._walk(back, last, base, meet)
+                keep = meet - base
+                back, last, total = back[keep:], last[keep:], [t - total[keep] for t in total[keep:]]
+                base = meet
+            else:
+                window += self.longest  # not met yet: look further
+        yield from self._walk(back, last, base, n)
 
     @staticmethod
     def _walk(back: list, last: list, base: int, end: int) -> list[int]:
@@ -204,51 +226,65 @@ class Model:
             return b""
         known = self.words
         if self.dummy_prefix and self.splits and MARK not in text:
-            words = text.split(" ")
-            found = list(map(known.get, words))
-            if None not in found:
-                return b"".join(found)
-            if "" not in words:  # single spaces: every word has one mark before it
+            words = (text.replace("\n", " \n") if self.lines else text).split(" ")
+            if "" not in words:  # single spaces: every word has one mark before it, or starts a line without one
+                found = list(map(known.get, words))
                 return b"".join([x if x is not None else self._cached(w) for w, x in zip(words, found)])
         marked = (MARK if self.dummy_prefix else "") + text.replace(" ", MARK)
         return b"".join(map(self._word, _RUNS.findall(marked) if self.splits else [marked]))
 
     def _cached(self, word: str) -> bytes:
-        """Ids of one word with a mark before it."""
+        """Ids of one word with a mark before it, or of a line's end and the word after it.
+
+        Cut where two characters stand side by side that no piece has so.
+        """
         ids = self.words.get(word)
         if ids is None:
-            ids = self._word(MARK + word)
+            ids = self.older.get(word)
+            if ids is None:
+                marked, near = word if self.lines and word[0] == "\n" else MARK + word, self.adjacent
+                at = [k for k in range(1, len(marked)) if marked[k - 1 : k + 1] not in near] if self.byte_ids else []
+                if at:
+                    cut = [marked[a:b] for a, b in zip([0, *at], [*at, len(marked)])]
+                    ids = b"".join([self._cached(c[1:]) if c[0] == MARK and len(c) > 1 else self._segment(c) for c in cut])
+                else:
+                    ids = self._word(marked)
             if len(word) <= LONGEST_CACHED:
                 if len(self.words) >= CACHE_WORDS:
-                    self.words.clear()
+                    self.words, self.older = {}, self.words
                 self.words[word] = ids
         return ids
 
+    def _segment(self, text: str) -> bytes:
+        ids = self.segments.get(text)
+        if ids is None:
+            ids = self._word(text)
+            if len(text) <= LONGEST_CACHED:
+                if len(self.segments) >= CACHE_SEGMENTS:
+                    self.segments.clear()
+                self.segments[text] = ids
+        return ids
+
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), "<i4").tolist()
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         """Text of the ids; bytes that are no UTF-8 become replacement characters."""
-        out, raw = [], bytearray()
-        byte_of = self._byte_of()
-        for i in ids:
-            b = byte_of.get(i)
-            if b is not None:
-                raw.append(b)
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            out.append(self.pieces[i] if self.pieces[i] is not None else " ⁇ " if i == self.unknown else "")
-        out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(MARK, " ")
+        ids = np.asarray(ids, np.int64)
+        plain = self.surfaces.__getitem__
+        raw = self.byte_of[ids] >= 0
+        if not raw.any():
+            text = "".join(map(plain, ids.tolist()))
+        else:  # runs of bytes are characters of their own
+            out, edges = [], [0, *(np.flatnonzero(raw[1:] != raw[:-1]) + 1).tolist(), len(ids)]
+            for a, b in zip(edges, edges[1:]):
+                if raw[a]:
+                    out.append(self.byte_of[ids[a:b]].astype(np.uint8).tobytes().decode("utf-8", "replace"))
+                else:
+                    out += map(plain, ids[a:b].tolist())
+            text = "".join(out)
         return text[1:] if self.dummy_prefix and text[:1] == " " else text
 
-    def _byte_of(self) -> dict[int, int]:
-        if not hasattr(self, "_bytes_by_id"):
-            self._bytes_by_id = {i: b for b, i in enumerate(self.byte_ids or [])}
-        return self._bytes_by_id
-
 
 _MODELS: dict[str, Model] = {}
 
@@ -287,7 +323,7 @@ def decode(coded: DataFrame, path: str, ids_col: str = "ids", text_col: str = "d
     @F.pandas_udf("string")
     def text_of(ids: pd.Series) -> pd.Series:
         coder = model(path)
-        return pd.Series([coder.decode([] if i is None else i.tolist()) for i in ids])
+        return pd.Series([coder.decode([] if i is None else i) for i in ids])
 
     return coded.withColumn(text_col, text_of(F.col(ids_col)))
 
@@ -303,7 +339,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         for rows in _slices(batches):
             texts = rows.column(1).to_pylist()
             coded = [coder.encode_bytes(t) for t in texts]
-            same = [coder.decode(np.frombuffer(c, "<i4").tolist()) == (t or "") for c, t in zip(coded, texts)]
+            same = [coder.decode(np.frombuffer(c, "<i4")) == (t or "") for c, t in zip(coded, texts)]
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), pa.array([len(c) // 4 for c in coded], pa.int64()),
                  pa.array([hashlib.sha256(c).hexdigest() for c in coded]), pa.array(same)],

@@ -43,7 +43,7 @@ def _parser() -> argparse.ArgumentParser:
     for doc in ("teams", "roster", "stats", "schedule-previous", "schedule-next"):
         r.add_argument(f"--{doc}", help=f"folder or file of {doc} documents")
     r.add_argument("--json-lines", action="store_true", help="one document per line instead of pretty-printed")
-    r.add_argument("--keep-corrupt", action="store_true", help="publish what parsed instead of failing on a bad document")
+    r.add_argument("--keep-corrupt", action="store_true", help="publish what parsed, list bad documents in <table>__rejected")
     r.add_argument(
         "--field",
         action="append",
@@ -147,6 +147,7 @@ def run(spark: SparkSession, argv: list[str]) -> None:
         pos = C.parse_position(args.position) if args.position else None
         team_id = C.parse_team_id(args.team)
         source = table("players")
+        # refresh was run with the default teams of the partitioned table
         if team_id in PARTITIONED_TEAM_IDS and spark.catalog.tableExists(f"{db}.partiPlayers"):
             # the team filter becomes a partition filter: one team's files are read
             source = table("partiPlayers")

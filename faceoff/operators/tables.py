@@ -1,7 +1,7 @@
 """Stored tables: snapshot replace, partitioned insert, keyed maintenance.
 
 Snapshot tables (SNK-2/3)
-    A refresh writes ``<name>__v<N>`` and then points the view ``<name>`` at
+    A refresh writes ``<name>__v<N>_<unique>`` and then points the view ``<name>`` at
     it with ``CREATE OR REPLACE VIEW``; readers see the old or the new
     snapshot, never a truncated table (M16).  Older versions are dropped
     after the switch.
@@ -40,7 +40,6 @@ BUCKET = "key_bucket"
 # Size B so a bucket holds roughly 0.5-1 GB: a change rewrites whole buckets,
 # and every bucket is at least one file per write.
 DEFAULT_BUCKETS = 16
-_VERSION_ATTEMPTS = 3
 _BUCKET_DIR = re.compile(rf"/{BUCKET}=(\d+)/")
 _KEY_PROP = "faceoff.key"
 _BUCKETS_PROP = "faceoff.buckets"
@@ -104,15 +103,16 @@ def _split_name(name: str) -> tuple[str | None, str]:
     return (db or None), table
 
 
-def snapshot_versions(spark: SparkSession, name: str) -> list[int]:
+def snapshot_versions(spark: SparkSession, name: str) -> list[str]:
+    """The stored snapshot tables of ``name``, oldest first; the catalog lists only these."""
     db, table = _split_name(name)
-    pattern = re.compile(rf"^{re.escape(table.lower())}__v(\d+)$")
-    versions = []
-    for t in spark.catalog.listTables(db) if db else spark.catalog.listTables():
-        m = pattern.match(t.name.lower())
+    exact = re.compile(rf"^{re.escape(table.lower())}__v(\d+)_[0-9a-f]{{8}}$")
+    found = []
+    for t in spark.catalog.listTables(db, f"{table.lower()}__v*"):
+        m = exact.match(t.name.lower())
         if m and not t.isTemporary:
-            versions.append(int(m.group(1)))
-    return sorted(versions)
+            found.append((int(m.group(1)), f"{db + '.' if db else ''}{t.name}"))
+    return [full for _, full in sorted(found)]
 
 
 def replace_snapshot(
@@ -126,27 +126,21 @@ def replace_snapshot(
 
     Returns the versioned table written.  Writing the new version completes
     before the view switches, so a failed refresh leaves the old snapshot in
-    place.
+    place.  Version names are unique, so files left by a crashed write are
+    never in the way.
     """
     db, table = _split_name(name)
     versions = snapshot_versions(spark, name)
-    version = (versions[-1] + 1) if versions else 1
+    number = int(versions[-1].rsplit("__v", 1)[1].split("_")[0]) + 1 if versions else 1
+    target = f"{db + '.' if db else ''}{table}__v{number}_{uuid.uuid4().hex[:8]}"
     writer = df.write.format("parquet").mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    for attempt in range(_VERSION_ATTEMPTS):
-        target = f"{db + '.' if db else ''}{table}__v{version + attempt}"
-        try:
-            writer.saveAsTable(target)
-            break
-        except Exception as exc:  # noqa: BLE001 - only a leftover folder is skipped
-            # files left at this version's location by a crashed earlier write
-            if "LOCATION_ALREADY_EXISTS" not in str(exc) or attempt == _VERSION_ATTEMPTS - 1:
-                raise
+    writer.saveAsTable(target)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {target}")
     if not keep_old:
         for old in versions:
-            spark.sql(f"DROP TABLE IF EXISTS {db + '.' if db else ''}{table}__v{old}")
+            spark.sql(f"DROP TABLE IF EXISTS {old}")
     return target
 
 

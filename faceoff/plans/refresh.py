@@ -9,7 +9,7 @@ writes the partitioned players table.  Documents come from a landing folder
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -117,7 +117,7 @@ def flatten_documents(
 
     ``on_corrupt="fail"`` makes the job fail on a malformed document (checked
     row by row in the same pass, no extra scan); ``"keep"`` flattens what
-    parsed and leaves the raw text in ``_corrupt_record``.
+    parsed (``rejected_documents`` has the rest).
     """
     spec = JOBS[job]
     names = document_fields(fields)
@@ -129,6 +129,52 @@ def flatten_documents(
     return spec.flatten(docs, names)
 
 
+def rejected_documents(
+    spark: SparkSession, job: str, path: str, multi_line: bool = True, fields: Mapping[str, str] | None = None
+) -> DataFrame:
+    """(path, raw, parsed) of the malformed documents at ``path``."""
+    schema = JOBS[job].schema(document_fields(fields))
+    return documents.rejected(documents.read_documents(spark, path, schema, multi_line=multi_line))
+
+
+def publish(
+    spark: SparkSession,
+    job: str,
+    source: str,
+    database: str | None = None,
+    multi_line: bool = True,
+    on_corrupt: str = "fail",
+    fields: Mapping[str, str] | None = None,
+    team_ids: Sequence[int] = PARTITIONED_TEAM_IDS,
+) -> dict[str, str]:
+    """Snapshots of one job from the newest complete generation under ``source``.
+
+    Nothing is written while no generation is complete.  With
+    ``on_corrupt="keep"`` the malformed documents become the snapshot
+    ``<table>__rejected``.
+    """
+    path = documents.newest_generation(spark, source)
+    if path is None:
+        return {}
+    spec, prefix = JOBS[job], f"{database}." if database else ""
+    rows = flatten_documents(spark, job, path, multi_line, on_corrupt, fields)
+    written = {}
+    if on_corrupt == "keep":
+        name = f"{spec.table}__rejected"
+        bad = rejected_documents(spark, job, path, multi_line, fields)
+        written[name] = tables.replace_snapshot(spark, prefix + name, bad)
+    written[job] = tables.replace_snapshot(spark, prefix + spec.table, laid_out(job, rows))
+    if job == "players":
+        # The partitioned copy is replaced whole, like the flat table.
+        parti_rows = tables.for_partitioned_write(
+            spark.table(prefix + spec.table), "TeamID", team_ids, sort_by=["Position"]
+        )
+        written["partiPlayers"] = tables.replace_snapshot(
+            spark, prefix + "partiPlayers", parti_rows, partition_by=["TeamID"]
+        )
+    return written
+
+
 def refresh(
     spark: SparkSession,
     trigger: str,
@@ -137,26 +183,20 @@ def refresh(
     multi_line: bool = True,
     on_corrupt: str = "fail",
     fields: Mapping[str, str] | None = None,
+    team_ids: Sequence[int] = PARTITIONED_TEAM_IDS,
 ) -> dict[str, str]:
     """Run the ingest jobs of ``trigger``; returns table → snapshot written.
 
     A failing job leaves that table's previous snapshot in place: the view
-    switches only after the new version is fully written.
+    switches only after the new version is fully written.  A source with
+    generation folders gives its newest complete generation (see
+    ``documents.newest_generation``); without a complete one its job is left
+    out of the result.  ``team_ids`` are the teams of the partitioned players table.
     """
-    prefix = f"{database}." if database else ""
     written = {}
     for job in jobs_for(trigger):
-        spec = JOBS[job]
-        if spec.document not in sources:
-            raise ValueError(f"no source given for document {spec.document!r} (job {job})")
-        rows = flatten_documents(spark, job, sources[spec.document], multi_line, on_corrupt, fields)
-        written[job] = tables.replace_snapshot(spark, prefix + spec.table, laid_out(job, rows))
-        if job == "players":
-            # The partitioned copy is replaced whole, like the flat table.
-            parti_rows = tables.for_partitioned_write(
-                spark.table(prefix + spec.table), "TeamID", PARTITIONED_TEAM_IDS, sort_by=["Position"]
-            )
-            written["partiPlayers"] = tables.replace_snapshot(
-                spark, prefix + "partiPlayers", parti_rows, partition_by=["TeamID"]
-            )
+        document = JOBS[job].document
+        if document not in sources:
+            raise ValueError(f"no source given for document {document!r} (job {job})")
+        written |= publish(spark, job, sources[document], database, multi_line, on_corrupt, fields, team_ids)
     return written

@@ -40,7 +40,7 @@ def build_session(
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     extra = dict(extra or {})
-    if master.startswith("local"):
+    if _single_machine(master):
         # a local run keeps its warehouse and checkpoints out of the working directory
         root = tempfile.mkdtemp(prefix="faceoff-")
         extra.setdefault("spark.sql.warehouse.dir", f"{root}/warehouse")
@@ -53,8 +53,13 @@ def build_session(
     return spark
 
 
+def _single_machine(master: str) -> bool:
+    # local-cluster[...] has executors of its own, which do not share the driver's folders
+    return master == "local" or master.startswith("local[")
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.conf.get("spark.master", "").startswith("local")
+    return _single_machine(spark.conf.get("spark.master", ""))
 
 
 def _context(spark: SparkSession):

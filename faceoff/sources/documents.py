@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 
 from faceoff.schemas import CORRUPT_RECORD
 
+GENERATION, COMPLETE = "generation", "COMPLETE"
+
 
 def read_documents(
     spark: SparkSession,
@@ -40,6 +42,35 @@ def read_documents(
     return reader.json(paths)
 
 
+def newest_generation(spark: SparkSession, path: str) -> str | None:
+    """The folder of the documents to read under ``path``.
+
+    A feed that publishes generations has a folder ``generation=<name>`` each
+    (numbers, or times written alike) and adds an empty file ``COMPLETE`` when all
+    of a generation's documents are there: the newest complete one is taken, or
+    None while there is none.  A path without such folders is one generation.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [s.getPath() for s in fs.globStatus(hadoop.Path(root, f"{GENERATION}=*")) or []]
+    if not folders:
+        return path
+    complete = [f for f in folders if fs.exists(hadoop.Path(f, COMPLETE))]
+    if not complete:
+        return None
+    return max(complete, key=lambda f: f.getName().split("=", 1)[1].zfill(32)).toString()
+
+
+def rejected(docs: DataFrame) -> DataFrame:
+    """(path, raw, parsed) of the malformed documents: file, text, and what could be read of it as JSON."""
+    # the JSON source does not give the raw text alone, so what was parsed comes with it
+    data = [c for c in docs.columns if c != CORRUPT_RECORD]
+    return docs.filter(F.col(CORRUPT_RECORD).isNotNull()).select(
+        F.input_file_name().alias("path"), F.col(CORRUPT_RECORD).alias("raw"), F.to_json(F.struct(*data)).alias("parsed")
+    )
+
+
 def fail_on_corrupt(docs: DataFrame, what: str = "document") -> DataFrame:
     """Keep ``docs`` unchanged but fail the job at the first malformed document.
 

@@ -2,42 +2,34 @@
 
 The reference refreshes when asked and replaces each table with the content
 of the freshly fetched document.  The streaming form watches one landing
-folder per document kind with the file source; every micro-batch holds the
-documents that arrived since the last one, is flattened with the same ingest
-function as the batch refresh, and becomes the table's new snapshot through
-``foreachBatch``.  Progress is kept in a checkpoint location, so a restarted
-query neither loses nor replays a document.  ``availableNow`` processes what
-is there and stops; a processing-time trigger keeps watching.
+folder per document kind with the file source.  A micro-batch only says that
+something arrived: the table's new snapshot is made by the batch refresh
+from the whole newest complete generation in the folder (see
+``documents.newest_generation``), so a document that arrives a trigger later than
+the others of its generation never replaces them, a half-landed generation
+changes nothing until its ``COMPLETE`` file lands, and a late document of
+an old generation changes nothing.  A folder without generation folders is one
+generation, all of which is read again.
 
-A micro-batch is taken as one complete generation of the feed (the batch
-refresh makes the same assumption about its source folder): if two full
-generations land before a batch runs, the snapshot is their union.  Feeds
-that publish complete generations should be picked up once per generation
-(a processing-time trigger shorter than the publishing interval).
+Progress is kept in a checkpoint location; a batch that is run again gives the
+same snapshot.  ``availableNow`` processes what is there and stops; a
+processing-time trigger keeps watching.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from faceoff.operators import tables
-from faceoff.plans.refresh import JOBS, PARTITIONED_TEAM_IDS, document_fields, jobs_for, laid_out
-from faceoff.schemas import CORRUPT_RECORD
-from faceoff.sources import documents
+from faceoff.plans.refresh import JOBS, PARTITIONED_TEAM_IDS, document_fields, jobs_for, publish
 
 
-def _stream(spark: SparkSession, job: str, folder: str, multi_line: bool, names) -> DataFrame:
-    return (
-        spark.readStream.schema(JOBS[job].schema(names))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-        .option("multiLine", str(multi_line).lower())
-        .json(folder)
-    )
+def _arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """The files of a landing folder and its generation folders, ``COMPLETE`` files too (not read)."""
+    return spark.readStream.option("recursiveFileLookup", "true").text(folder)
 
 
 def refresh_on_arrival(
@@ -51,38 +43,28 @@ def refresh_on_arrival(
     processing_time: str | None = None,
     on_corrupt: str = "fail",
     fields: Mapping[str, str] | None = None,
+    team_ids: Sequence[int] = PARTITIONED_TEAM_IDS,
 ) -> list[StreamingQuery]:
     """Start one streaming refresh per job of ``trigger``; returns the queries.
 
     With ``on_corrupt="fail"`` a malformed document fails its micro-batch (the
     snapshot is not replaced and the query stops at that batch); ``"keep"``
-    publishes what parsed.
+    publishes what parsed and lists the rest in ``<table>__rejected``.
     """
     if on_corrupt not in ("fail", "keep"):
         raise ValueError("on_corrupt must be 'fail' or 'keep'")
-    names = document_fields(fields)
-    prefix = f"{database}." if database else ""
+    document_fields(fields)
     started = []
     for job in jobs_for(trigger):
-        spec = JOBS[job]
-        if spec.document not in landing:
-            raise ValueError(f"no landing folder for document {spec.document!r} (job {job})")
+        document = JOBS[job].document
+        if document not in landing:
+            raise ValueError(f"no landing folder for document {document!r} (job {job})")
 
-        def apply(batch: DataFrame, epoch_id: int, spec=spec, job=job) -> None:
-            if batch.isEmpty():
-                return
-            if on_corrupt == "fail":
-                batch = documents.fail_on_corrupt(batch, what=f"{spec.document} document")
-            rows = laid_out(job, spec.flatten(batch, names))
-            tables.replace_snapshot(spark, prefix + spec.table, rows)
-            if job == "players":
-                parti_rows = tables.for_partitioned_write(
-                    spark.table(prefix + spec.table), "TeamID", PARTITIONED_TEAM_IDS, sort_by=["Position"]
-                )
-                tables.replace_snapshot(spark, prefix + "partiPlayers", parti_rows, partition_by=["TeamID"])
+        def apply(batch: DataFrame, epoch_id: int, job=job, folder=landing[document]) -> None:
+            publish(spark, job, folder, database, multi_line, on_corrupt, fields, team_ids)
 
         writer = (
-            _stream(spark, job, landing[spec.document], multi_line, names)
+            _arrivals(spark, landing[document])
             .writeStream.queryName(f"refresh_{job}_{uuid.uuid4().hex[:8]}")
             .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{job}")
             .foreachBatch(apply)

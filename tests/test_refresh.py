@@ -31,7 +31,7 @@ def test_refresh_replaces_snapshot(spark, tmp, db):
     first = refresh(spark, "teams", sources, database=db)["teams"]
     second = refresh(spark, "teams", sources, database=db)["teams"]
     assert first != second
-    assert T.snapshot_versions(spark, f"{db}.teams") == [2]
+    assert T.snapshot_versions(spark, f"{db}.teams") == [second]
     assert spark.table(f"{db}.teams").count() == 3
 
 
@@ -47,12 +47,60 @@ def test_streaming_refresh_on_arrival(spark, tmp, db):
     for q in queries:
         q.awaitTermination(120)
     assert spark.table(f"{db}.teams").count() == 3
-    # a second document arrives: the next run picks up only the new file
-    smaller = {"teams": docs.TEAMS["teams"][:1]}
-    docs.write(landing["teams"], "b.json", smaller)
+    # a second document of the same feed arrives: the first one's teams stay
+    more = {"teams": [{**docs.TEAMS["teams"][0], "id": 77}]}
+    docs.write(landing["teams"], "b.json", more)
     for q in refresh_on_arrival(spark, "teams", landing, str(Path(tmp) / "ckpt"), database=db):
         q.awaitTermination(120)
-    assert spark.table(f"{db}.teams").count() == 1
+        assert q.exception() is None
+    assert spark.table(f"{db}.teams").count() == 4
+
+
+def _generation(landing: str, name: int, ids: list[int], complete: bool = True) -> None:
+    for k in ids:  # one file a team
+        docs.write(f"{landing}/generation={name}", f"{k}.json", {"teams": [{**docs.TEAMS["teams"][0], "id": k}]})
+    if complete:
+        (Path(landing) / f"generation={name}" / "COMPLETE").touch()
+
+
+def test_only_complete_generations_are_published(spark, tmp, db):
+    landing = str(Path(tmp) / "generations")
+    stored = lambda: sorted(r.ID for r in spark.table(f"{db}.teams").collect())
+
+    def arrive():
+        for q in refresh_on_arrival(spark, "teams", {"teams": landing}, str(Path(tmp) / "ckpt-gen"), database=db):
+            q.awaitTermination(120)
+            assert q.exception() is None
+        return stored()
+
+    _generation(landing, 9, [1], complete=False)
+    assert refresh(spark, "teams", {"teams": landing}, database=db) == {}
+    _generation(landing, 9, [2])
+    assert arrive() == [1, 2]
+    _generation(landing, 10, [3], complete=False)
+    assert arrive() == [1, 2]  # half landed
+    (Path(landing) / "generation=10" / "COMPLETE").touch()
+    assert arrive() == [3]  # 10 is newer than 9 and replaces it
+    _generation(landing, 9, [4])
+    assert arrive() == [3]  # late for an old generation
+    refresh(spark, "teams", {"teams": landing}, database=db)
+    assert stored() == [3]  # the batch form reads no union
+
+
+def test_kept_corrupt_documents_are_listed(spark, tmp, db):
+    folder = Path(tmp) / "mixed"
+    docs.write(str(folder), "good.json", docs.TEAMS)
+    (folder / "bad.json").write_text('{"teams": [ {"id": 1, ')
+    refresh(spark, "teams", {"teams": str(folder)}, database=db, on_corrupt="keep")
+    assert spark.table(f"{db}.teams").count() == 3
+    (row,) = spark.table(f"{db}.teams__rejected").collect()
+    assert row.path.endswith("bad.json") and row.raw.startswith('{"teams"')
+
+
+def test_partitioned_players_of_other_teams(spark, tmp, db):
+    path = docs.write(tmp, "roster-ids/doc.json", docs.ROSTER)
+    refresh(spark, "roster", {"roster": path}, database=db, team_ids=[24])
+    assert [r.TeamID for r in spark.table(f"{db}.partiPlayers").collect()] == [24]
 
 
 def test_refresh_fails_on_broken_document_and_keeps_old_snapshot(spark, tmp, db):

@@ -161,4 +161,16 @@ ORACLE_SQL: dict[str, str] = {
         "'Nation ' || CAST(s_nationkey AS VARCHAR) AS Location, 'Club ' || CAST(s_suppkey AS VARCHAR) AS Name "
         "FROM supplier"
     ),
+    "refresh_roster_partitions": (
+        "SELECT CAST(o_orderkey % 2147483647 AS INTEGER) AS ID, 'Player ' || CAST(o_orderkey AS VARCHAR) || ': ' "
+        "|| o_orderstatus || ', ' || o_orderpriority AS FullName, o_orderpriority AS Position, "
+        "CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE CAST(o_orderkey % 99 AS VARCHAR) END AS JerseyNumber, "
+        f"CAST(o_custkey % 40 AS INTEGER) AS TeamID FROM orders WHERE o_custkey % 40 IN ({_TEAM_IDS_SQL})"
+    ),
+    "refresh_next_games_report": (
+        f"SELECT DISTINCT CAST(e.ts AS DATE) AS \"Date\", a.s_name AS Away, h.s_name AS Home, {_clock(7)} AS \"Time\" "
+        "FROM events e INNER JOIN supplier a ON a.s_suppkey = e.user_id % 30 "
+        "INNER JOIN supplier h ON h.s_suppkey = e.event_id % 25"
+    ),
+    "refresh_rejects": "SELECT '{\"teams\": [{\"id\": ' || CAST(s_suppkey AS VARCHAR) AS raw FROM supplier",
 }

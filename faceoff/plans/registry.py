@@ -391,15 +391,51 @@ def refresh_past_games_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.past_games(spark.table(f"{db}.pastGames"), spark.table(f"{db}.teams"))
 
 
+@register("refresh_roster_partitions", extra=True)
+def refresh_roster_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """§2.4 + SNK-4: roster documents → refresh → the players table partitioned by team."""
+    db = T.create_database(spark)
+    sources = {"roster": _landing(spark, A.orders_roster_documents(spark, sf_dir))}
+    refresh(spark, "roster", sources, database=db, multi_line=False)
+    return T.read_partitions(spark, f"{db}.partiPlayers", "TeamID", PARTITIONED_TEAM_IDS)
+
+
+@register("refresh_next_games_report", extra=True)
+def refresh_next_games_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """§2.4 + SNK-2: teams and schedule documents → refresh → upcoming games in Pacific time."""
+    db = T.create_database(spark)
+    sources = {
+        "teams": _landing(spark, A.supplier_teams_documents(spark, sf_dir)),
+        "schedule_next": _landing(spark, A.events_schedule(spark, sf_dir)),
+    }
+    refresh(spark, "teams", sources, database=db, multi_line=False)
+    refresh(spark, "next game", sources, database=db, multi_line=False)
+    return R.next_games(spark.table(f"{db}.nextGames"), spark.table(f"{db}.teams"), "pst")
+
+
+@register("refresh_rejects", extra=True)
+def refresh_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents cut off in the middle, one a supplier, among whole ones: all are listed with their text."""
+    db, path = T.create_database(spark), _landing(spark, A.supplier_teams_documents(spark, sf_dir))
+    cut = F.concat(F.lit('{"teams": [{"id": '), F.col("s_suppkey").cast("string"))
+    A.table(spark, sf_dir, "supplier").select(cut.alias("value")).write.mode("append").text(path)
+    refresh(spark, "teams", {"teams": path}, database=db, multi_line=False, on_corrupt="keep")
+    return spark.table(f"{db}.teams__rejected").select("raw")
+
+
 @register("stream_refresh_teams", extra=True)
 def stream_refresh_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming refresh: teams documents land in a folder, an ``availableNow``
-    file-source query flattens them in ``foreachBatch`` and replaces the snapshot."""
-    db = T.create_database(spark)
-    landing = {"teams": _landing(spark, A.supplier_teams_documents(spark, sf_dir))}
-    for query in refresh_on_arrival(spark, "teams", landing, scratch_dir(spark, "stream-ckpt"), database=db,
-                                    multi_line=False):
-        query.awaitTermination()
-        if query.exception() is not None:
-            raise RuntimeError(f"streaming refresh failed: {query.exception()}")
+    """Streaming refresh: a generation of teams documents lands in two parts; ``availableNow``
+    file-source queries see both, and the snapshot is replaced once the generation is complete."""
+    db, folder, progress = T.create_database(spark), scratch_dir(spark, "landing"), scratch_dir(spark, "stream-ckpt")
+    docs = A.supplier_teams_documents(spark, sf_dir)
+    part = F.pmod(F.hash(F.to_json("teams")), F.lit(2))
+    for k in (0, 1):
+        docs.filter(part == k).write.mode("append").json(f"{folder}/generation=1")
+        if k == 1:
+            D.mark_complete(spark, f"{folder}/generation=1")
+        for query in refresh_on_arrival(spark, "teams", {"teams": folder}, progress, database=db, multi_line=False):
+            query.awaitTermination()
+            if query.exception() is not None:
+                raise RuntimeError(f"streaming refresh failed: {query.exception()}")
     return spark.table(f"{db}.teams")

@@ -62,6 +62,12 @@ def newest_generation(spark: SparkSession, path: str) -> str | None:
     return max(complete, key=lambda f: f.getName().split("=", 1)[1].zfill(32)).toString()
 
 
+def mark_complete(spark: SparkSession, folder: str) -> None:
+    """Says that all documents of the generation in ``folder`` are there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{COMPLETE}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True).close()
+
+
 def rejected(docs: DataFrame) -> DataFrame:
     """(path, raw, parsed) of the malformed documents: file, text, and what could be read of it as JSON."""
     # the JSON source does not give the raw text alone, so what was parsed comes with it

@@ -167,8 +167,11 @@ def run(spark: SparkSession, argv: list[str]) -> None:
             _show(R.preview(accounts.list_users(spark, name), ("Username",), args.limit), args.limit)
         elif args.action == "register":
             row = [(args.username, args.password, args.user_type, args.zone)]
-            accounts.register(spark, name, spark.createDataFrame(row, "Username string, Password string, "
-                                                                      "UserType string, Timezone string"))
+            refused = accounts.register(spark, name, spark.createDataFrame(
+                row, "Username string, Password string, UserType string, Timezone string"))
+            # one request, so at most one row
+            for r in refused.limit(1).collect():
+                print(f"{r['Username']}: {r['reason']}")
         elif args.action == "set-zone":
             change = spark.createDataFrame([(args.username, args.zone)], "Username string, Timezone string")
             accounts.set_timezone(spark, name, change)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 JAVA_WHITESPACE = r"[\s\x1C-\x1F\p{Z}&&[^\u00A0\u2007\u202F]]"
 
 # Java String.trim strips every character up to and including U+0020.
-_JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# (\z: ``$`` would also match before a last line separator such as U+2028.)
+_JAVA_TRIM = r"\A[\x00-\x20]+|[\x00-\x20]+\z"
 
 
 def _col(c: Column | str) -> Column:

@@ -207,6 +207,18 @@ def next_games(
     ).distinct()
 
 
+def both_games(
+    past_df: DataFrame,
+    next_df: DataFrame,
+    teams_df: DataFrame,
+    zone: str = "est",
+    *,
+    team_id: int | str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The past and the upcoming games, league-wide or for one team."""
+    return past_games(past_df, teams_df, team_id=team_id), next_games(next_df, teams_df, zone, team_id=team_id)
+
+
 # ---------------------------------------------------------------- preview
 
 

@@ -15,10 +15,10 @@ Partitioned tables (SNK-4)
 Keyed tables (MNT-1 … MNT-6)
     A keyed table is partitioned by ``key_bucket = pmod(xxhash64(key), B)``.
     Insert-if-absent appends; update and delete rewrite only the buckets the
-    change set touches: the new content of those buckets is staged in a
-    scratch table and swapped in with a dynamic partition overwrite (old
+    change set touches, once, with a dynamic partition overwrite (old
     buckets stay until the job commits), so the cost of a change is the size
-    of the touched buckets, not of the table.
+    of the touched buckets, not of the table.  The change set is written
+    down first, so that every step sees the same rows.
     A point lookup folds the bucket of the literal key into a partition
     filter.  The only values brought to the driver are bucket numbers
     (at most B) and table properties.
@@ -40,7 +40,6 @@ BUCKET = "key_bucket"
 # Size B so a bucket holds roughly 0.5-1 GB: a change rewrites whole buckets,
 # and every bucket is at least one file per write.
 DEFAULT_BUCKETS = 16
-_BUCKET_DIR = re.compile(rf"/{BUCKET}=(\d+)/")
 _KEY_PROP = "faceoff.key"
 _BUCKETS_PROP = "faceoff.buckets"
 
@@ -273,6 +272,20 @@ def _null_safe_semi(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return rows.join(wanted, F.col(key).eqNullSafe(F.col("_wanted_key")), "left_semi")
 
 
+def written_once(changes: DataFrame) -> DataFrame:
+    """The change set as files, so that its bucket list and its join see the same rows
+    even where evaluating it twice would not give them."""
+    path = scratch_dir(changes.sparkSession, "changes")
+    changes.write.parquet(path)
+    return changes.sparkSession.read.schema(changes.schema).parquet(path)
+
+
+def _of_buckets(spark: SparkSession, name: str, touched: Sequence[int], buckets: int) -> DataFrame:
+    """The table's rows in the touched buckets (no filter where these are all buckets)."""
+    df = spark.table(name)
+    return df if len(touched) >= buckets else df.filter(F.col(BUCKET).isin(list(touched)))
+
+
 def insert_if_absent(spark: SparkSession, name: str, rows: DataFrame) -> None:
     """MNT-1: append the rows whose key is not in the table yet.
 
@@ -282,13 +295,12 @@ def insert_if_absent(spark: SparkSession, name: str, rows: DataFrame) -> None:
     set is the build side; its output is at most the change set.
     """
     key, buckets, data_cols, key_type = _key_layout(spark, name)
+    rows = written_once(rows)
     touched = _touched_buckets(rows, key, buckets, key_type, unique=True)
     if not touched:
         return
     candidate_keys = rows.select(F.col(key).cast(key_type).alias(key))
-    present = (
-        _null_safe_semi(spark.table(name).filter(F.col(BUCKET).isin(touched)).select(key), candidate_keys, key)
-    )
+    present = _null_safe_semi(_of_buckets(spark, name, touched, buckets).select(key), candidate_keys, key)
     fresh = rows.join(present, rows[key].cast(key_type).eqNullSafe(present[key]), "left_anti")
     _with_bucket(fresh, key, buckets, data_cols, key_type).hint("rebalance", BUCKET).write.insertInto(name)
 
@@ -296,13 +308,15 @@ def insert_if_absent(spark: SparkSession, name: str, rows: DataFrame) -> None:
 def update_by_key(spark: SparkSession, name: str, changes: DataFrame) -> None:
     """MNT-2: set the change set's non-key columns on the rows with its keys.
 
-    Absent keys change nothing (M15); row count never changes (M14).
+    Absent keys change nothing (M15); row count never changes (M14), so no
+    bucket is ever emptied.
     """
     key, buckets, data_cols, key_type = _key_layout(spark, name)
     set_cols = [c for c in changes.columns if c != key]
     unknown = [c for c in set_cols if c not in data_cols]
     if unknown:
         raise ValueError(f"unknown columns in change set: {unknown}")
+    changes = written_once(changes)
     touched = _touched_buckets(changes, key, buckets, key_type, unique=True)
     if not touched:
         return
@@ -312,7 +326,7 @@ def update_by_key(spark: SparkSession, name: str, changes: DataFrame) -> None:
         F.lit(True).alias(hit),
         *[F.col(c).alias(f"__new_{c}") for c in set_cols],
     )
-    affected = spark.table(name).filter(F.col(BUCKET).isin(touched))
+    affected = _of_buckets(spark, name, touched, buckets)
     merged = affected.join(upd, affected[key].eqNullSafe(upd["__key"]), "left")
     schema = spark.table(name).schema
     out = []
@@ -322,51 +336,44 @@ def update_by_key(spark: SparkSession, name: str, changes: DataFrame) -> None:
             out.append(F.when(F.col(hit).isNotNull(), new).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(c))
-    _rewrite_buckets(spark, name, merged.select(*out, F.col(BUCKET)), touched)
+    _overwrite_buckets(name, merged.select(*out, F.col(BUCKET)))
 
 
 def delete_by_key(spark: SparkSession, name: str, keys: DataFrame) -> None:
-    """MNT-3: remove the rows whose key is in ``keys`` (null-safe; M13)."""
+    """MNT-3: remove the rows whose key is in ``keys`` (null-safe; M13).
+
+    Which touched buckets keep rows is found first, from the key column
+    alone; those are rewritten, the others dropped in one statement.
+    """
     key, buckets, data_cols, key_type = _key_layout(spark, name)
-    touched = _touched_buckets(keys, key, buckets, key_type)
+    doomed = written_once(keys.select(F.col(key).cast(key_type).alias("__key")).distinct())
+    touched = _touched_buckets(doomed, "__key", buckets, key_type)
     if not touched:
         return
-    doomed = keys.select(F.col(key).cast(key_type).alias("__key")).distinct()
-    affected = spark.table(name).filter(F.col(BUCKET).isin(touched))
-    kept = affected.join(doomed, affected[key].eqNullSafe(doomed["__key"]), "left_anti")
-    _rewrite_buckets(spark, name, kept.select(*data_cols, BUCKET), touched)
-
-
-def _rewrite_buckets(spark: SparkSession, name: str, new_rows: DataFrame, touched: Sequence[int]) -> None:
-    """Replace the touched buckets of ``name`` with ``new_rows``.
-
-    The new content is materialised in a staging table first (Spark refuses
-    to overwrite a table a query reads from, and a written table survives
-    executor loss).  Buckets with new rows are swapped in by a dynamic
-    partition overwrite, which writes to a staging folder and replaces the
-    partitions only when the job commits, so a failed job leaves the old
-    buckets in place.  A touched bucket left without rows is emptied with a
-    static partition overwrite (dynamic mode only replaces partitions it
-    writes).  The staging table is dropped only after success; a failure
-    leaves it for inspection or a retry.
+
+    def kept(columns: Sequence[str]) -> DataFrame:
+        affected = _of_buckets(spark, name, touched, buckets)
+        return affected.join(doomed, affected[key].eqNullSafe(doomed["__key"]), "left_anti").select(*columns)
+
+    # at most one small int a bucket reaches the driver
+    filled = {r[BUCKET] for r in kept([key, BUCKET]).groupBy(BUCKET).agg(F.lit(1)).collect()}
+    if filled:
+        _overwrite_buckets(name, kept([*data_cols, BUCKET]))
+    emptied = sorted(set(touched) - filled)
+    if emptied:
+        parts = ", ".join(f"PARTITION ({BUCKET} = {int(b)})" for b in emptied)
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+
+
+def _overwrite_buckets(name: str, new_rows: DataFrame) -> None:
+    """Replace the buckets that ``new_rows`` has rows of, in one write.
+
+    A dynamic partition overwrite writes to a staging folder beside the table
+    and replaces the partitions only when the job commits.  It may
+    therefore read the table it replaces, and a failed job leaves the old
+    buckets in place.
     """
-    db, table = _split_name(name)
-    staging = f"{db + '.' if db else ''}{table}__staging_{uuid.uuid4().hex[:8]}"
-    cols = [c for c in new_rows.columns if c != BUCKET] + [BUCKET]
-    data_cols = ", ".join(f"`{c}`" for c in cols if c != BUCKET)
-    new_rows.select(*cols).hint("rebalance", BUCKET).write.format("parquet").partitionBy(BUCKET).saveAsTable(staging)
-    staged = spark.table(staging)
-    # buckets that got rows, from the staging table's file listing (no job;
-    # one path per written file, at most touched buckets × writers)
-    present = {int(m.group(1)) for f in staged.inputFiles() if (m := _BUCKET_DIR.search(f))}
-    if present:
-        staged.select(*cols).write.insertInto(name, overwrite=True)
-    for b in sorted(set(touched) - present):
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {name} PARTITION ({BUCKET} = {int(b)}) "
-            f"SELECT {data_cols} FROM {staging} WHERE false"
-        )
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    new_rows.hint("rebalance", BUCKET).write.insertInto(name, overwrite=True)
 
 
 def lookup(spark: SparkSession, name: str, key_value, columns: Sequence[str] | None = None) -> DataFrame:
@@ -380,9 +387,10 @@ def lookup(spark: SparkSession, name: str, key_value, columns: Sequence[str] | N
 def lookup_many(spark: SparkSession, name: str, keys: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """MNT-4 for a key set: a semi join restricted to the keys' buckets."""
     key, buckets, data_cols, key_type = _key_layout(spark, name)
+    keys = written_once(keys.select(F.col(key).cast(key_type).alias(key)))
     touched = _touched_buckets(keys, key, buckets, key_type)
-    wanted = keys.select(F.col(key).cast(key_type).alias(key))
-    df = _null_safe_semi(spark.table(name).filter(F.col(BUCKET).isin(touched)), wanted, key)
+    wanted = keys
+    df = _null_safe_semi(_of_buckets(spark, name, touched, buckets), wanted, key)
     return df.select(*(columns or data_cols))
 
 

@@ -44,10 +44,14 @@ def ensure_users_table(spark: SparkSession, name: str, buckets: int = tables.DEF
         tables.create_keyed_table(spark, name, schemas.USERS, KEY, buckets=buckets)
 
 
-def register(spark: SparkSession, name: str, requests: DataFrame) -> None:
+def register(spark: SparkSession, name: str, requests: DataFrame, order_by: str | None = None) -> DataFrame:
     """Add accounts whose normalised username is not taken yet (MNT-1).
 
-    ``requests`` has the users columns; a taken username is skipped.
+    ``requests`` has the users columns.  Of requests for one name the first
+    by ``order_by`` counts (ties, or without it: by position in ``requests``).
+    Returns the refused requests, without passwords: (Username, UserType,
+    Timezone, reason), the reason being ``taken`` (the table had the name) or
+    ``repeated`` (an earlier request has it).
     """
     ensure_users_table(spark, name)
     rows = requests.select(
@@ -55,8 +59,23 @@ def register(spark: SparkSession, name: str, requests: DataFrame) -> None:
         without_separator(F.col("Password"), ",", what="password").alias("Password"),
         _one_of(F.col("UserType"), USER_TYPES, "user type").alias("UserType"),
         _one_of(F.col("Timezone"), ZONES, "zone").alias("Timezone"),
+        F.struct(
+            (F.col(order_by) if order_by else F.lit(0)).alias("by"), F.monotonically_increasing_id().alias("row")
+        ).alias("__turn"),
     )
-    tables.insert_if_absent(spark, name, rows)
+    # positions are only the same in every pass if they are written down
+    rows = tables.written_once(rows)
+    # combined before the shuffle, however often one name is asked for
+    first = rows.groupBy("Username").agg(F.min("__turn").alias("__first"))
+    taken = tables.lookup_many(spark, name, first.select("Username"), ["Username"]).withColumn("__taken", F.lit(True))
+    judged = (
+        rows.join(first.join(taken, "Username", "left"), "Username")
+        .withColumn("reason", F.when(F.col("__taken"), "taken").when(F.col("__turn") != F.col("__first"), "repeated"))
+        .select("Username", "Password", "UserType", "Timezone", "reason")
+    )
+    judged = tables.written_once(judged)  # before the table changes
+    tables.insert_if_absent(spark, name, judged.filter("reason IS NULL").drop("reason"))
+    return judged.filter("reason IS NOT NULL").drop("Password")
 
 
 def set_timezone(spark: SparkSession, name: str, changes: DataFrame) -> None:

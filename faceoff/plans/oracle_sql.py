@@ -173,4 +173,32 @@ ORACLE_SQL: dict[str, str] = {
         "INNER JOIN supplier h ON h.s_suppkey = e.event_id % 25"
     ),
     "refresh_rejects": "SELECT '{\"teams\": [{\"id\": ' || CAST(s_suppkey AS VARCHAR) AS raw FROM supplier",
+    "table_delete_many": "SELECT * FROM supplier WHERE s_suppkey NOT IN (SELECT 2 * o_custkey FROM orders)",
+    "table_truncate_reload": "SELECT c_custkey, lower(c_name) AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    "accounts_register": (
+        "WITH a AS (SELECT 'customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS u, "
+        "list_extract(['est', 'cst', 'mst', 'pst'], o_orderkey % 4 + 1) AS z, "
+        "row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders) "
+        "SELECT u AS \"Username\", 'basic' AS \"UserType\", z AS \"Timezone\", "
+        "CASE WHEN k = 1 THEN 'account' ELSE 'repeated' END AS outcome FROM a UNION ALL "
+        "SELECT lower(c_name), 'admin', 'est', CASE WHEN lower(c_name) IN (SELECT u FROM a) THEN 'taken' "
+        "ELSE 'account' END FROM customer"
+    ),
+    "delimited_guard": (
+        "SELECT doc_id, CASE WHEN refused THEN NULL ELSE text END AS text, refused FROM (SELECT doc_id, text, "
+        "coalesce(contains(text, ',') OR contains(text, chr(10)) OR contains(text, chr(13)) OR text = '\\N', false) "
+        "AS refused FROM documents)"
+    ),
+    "java_trim_text": (
+        "SELECT doc_id, regexp_replace(text, '\\A[\\x00-\\x20]+|[\\x00-\\x20]+\\z', '', 'g') AS trimmed FROM documents"
+    ),
+    "refresh_all_games": (
+        "SELECT DISTINCT CAST(o.o_orderdate AS DATE) AS \"Date\", a.s_name AS Away, "
+        "CAST(o.o_custkey % 7 AS INTEGER) AS AwayScore, h.s_name AS Home, CAST(o.o_orderkey % 5 AS INTEGER) "
+        "AS HomeScore, CAST(NULL AS VARCHAR) AS \"Time\" FROM orders o INNER JOIN supplier a "
+        "ON a.s_suppkey = o.o_custkey % 30 INNER JOIN supplier h ON h.s_suppkey = o.o_orderkey % 25 UNION ALL "
+        f"SELECT DISTINCT CAST(e.ts AS DATE), a.s_name, NULL, h.s_name, NULL, {_clock(6)} "
+        "FROM events e INNER JOIN supplier a ON a.s_suppkey = e.user_id % 30 "
+        "INNER JOIN supplier h ON h.s_suppkey = e.event_id % 25"
+    ),
 }

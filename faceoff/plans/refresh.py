@@ -96,6 +96,10 @@ TRIGGERS = {
     "standings": ("standings",),
     "all": ("teams", "players", "nextGames", "pastGames", "standings"),
     "notNext": ("teams", "players", "pastGames", "standings"),
+    # the same by the words of the refresh menu
+    "players": ("players",),
+    "next games": ("nextGames",),
+    "last games": ("pastGames",),
 }
 
 

@@ -27,6 +27,13 @@ _INT_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _INT_TEXT = r"^[+-]?[0-9]+(\.[0-9]*)?$"
 
 
+def unreadable(c: Column, sep: str = ",", single: bool = False) -> Column:
+    """Whether the format cannot carry a text: it holds ``sep`` or a line break, is the
+    NULL token, or is empty in a table of one column (FN-12).  NULL can be carried."""
+    bad = (F.instr(c, sep) > 0) | c.rlike("[\\r\\n]") | (c == NULL_TOKEN) | ((c == "") if single else F.lit(False))
+    return F.coalesce(bad, F.lit(False))
+
+
 def to_delimited_line(df: DataFrame, sep: str = ",", guard: bool = True) -> DataFrame:
     """One ``value`` string column per row: fields joined by ``sep``.
 
@@ -41,10 +48,8 @@ def to_delimited_line(df: DataFrame, sep: str = ",", guard: bool = True) -> Data
         text = F.col(name).cast("string")
         if guard:
             what = f"column {name}"
-            unreadable = text.rlike("[\\r\\n]") | (text == NULL_TOKEN) | ((text == "") if single else F.lit(False))
-            text = F.when(unreadable, F.raise_error(F.lit(f"{what} holds a value that the format cannot carry"))).otherwise(
-                without_separator(text, sep, what=what)
-            )
+            failed = F.raise_error(F.lit(f"{what} holds a value that the format cannot carry"))
+            text = F.when(unreadable(without_separator(text, sep, what=what), sep, single), failed).otherwise(text)
         fields.append(F.coalesce(text, F.lit(NULL_TOKEN)))
     return df.select(F.concat_ws(sep, *fields).alias("value"))
 

@@ -18,6 +18,22 @@ def test_account_lifecycle(spark, db):
     assert [r.Username for r in U.list_users(spark, name).collect()] == ["bob"]
 
 
+def test_of_repeated_names_the_first_counts(spark, db):
+    name, schema = f"{db}.users", REQ + ", asked int"
+    rows = [("Bob", "1", "basic", "est", 2), ("b ob", "2", "admin", "pst", 1), ("cy", "3", "basic", "cst", 3)]
+    refused = U.register(spark, name, spark.createDataFrame(rows, schema), order_by="asked")
+    assert [tuple(r) for r in refused.collect()] == [("bob", "basic", "est", "repeated")]
+    again = U.register(spark, name, spark.createDataFrame([("BOB", "x", "basic", "mst"), ("dee", "x", "basic", "mst")], REQ))
+    assert [(r["Username"], r["reason"]) for r in again.collect()] == [("bob", "taken")]
+    got = sorted(tuple(r) for r in U.list_users(spark, name).collect())
+    assert got == [("bob", "admin", "pst"), ("cy", "basic", "cst"), ("dee", "basic", "mst")]
+
+
+def test_no_requests(spark, db):
+    assert U.register(spark, f"{db}.users", spark.createDataFrame([], REQ)).collect() == []
+    assert U.list_users(spark, f"{db}.users").collect() == []
+
+
 @pytest.mark.parametrize(
     "row",
     [("carl", "a,b", "basic", "est"), ("carl", "pw", "root", "est"), ("carl", "pw", "basic", "utc"), ("  ", "pw", "basic", "est")],

@@ -13,6 +13,7 @@ def test_cli_refresh_reports_and_users(spark, tmp, db, capsys):
     run(spark, ["--database", db, "players", "--team", "1"])  # read from the team-partitioned table
     run(spark, ["--database", db, "games", "both", "--zone", "mst"])
     run(spark, ["--database", db, "users", "register", "Zed", "pw", "admin", "pst"])
+    run(spark, ["--database", db, "users", "register", "ZED", "other", "basic", "cst"])
     run(spark, ["--database", db, "users", "set-zone", "zed", "est"])
     run(spark, ["--database", db, "users", "list"])
     run(spark, ["--database", db, "games", "next", "--user", " ZED"])  # zed's zone: est → 19:00
@@ -21,6 +22,7 @@ def test_cli_refresh_reports_and_users(spark, tmp, db, capsys):
     assert "Ann One" in out  # only the team-1 listing shows this player
     assert "|zed     |admin   |est     |" in out
     assert "|19:00|" in out
+    assert "zed: taken" in out
 
 
 def test_split_commands():

@@ -106,3 +106,9 @@ def test_instants_with_long_fractions_and_offsets(spark):
         "2021-03-01 23:00:00.123456", "2021-03-01 23:00:00", "2021-03-02 04:30:00", "2021-03-01 22:00:00", None,
         "2021-03-01 23:00:00.5", None,
     ]
+
+
+def test_java_trim_ends_at_the_end(spark):
+    rows = [(" a b \n",), ("a \u2028",), ("a \u0085",), ("\x00a\x1f",), (" \t",), ("",), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "t string").coalesce(1).select(Fn.java_trim("t")).collect()]
+    assert got == ["a b", "a \u2028", "a \u0085", "a", "", "", None]

@@ -202,3 +202,24 @@ def test_the_null_key_is_a_key(spark, db):
     assert got == [("a", 2), ("b", 4), (None, 1)]
     found = T.lookup_many(spark, name, spark.createDataFrame([(None,), ("a",)], "k string"))
     assert sorted(r["v"] for r in found.collect()) == [1, 2]
+
+
+def test_a_change_set_that_differs_every_time_is_read_once(spark, db):
+    rows = [(f"u{i}", "p", "basic", "est") for i in range(200)]
+    name = _users(spark, db, rows, buckets=16)
+    some = spark.createDataFrame(rows, schemas.USERS).filter(F.rand() < 0.5).select("Username")
+    before = spark.table(name).count()
+    T.delete_by_key(spark, name, some)
+    left = spark.table(name).count()
+    assert 0 < left < before
+    T.insert_if_absent(spark, name, spark.createDataFrame(rows, schemas.USERS))
+    assert _all(spark, name) == sorted(rows, key=str)
+
+
+def test_delete_and_update_read_the_table_they_change(spark, db):
+    rows = [(f"u{i}", "p", "basic", "est" if i % 2 else "pst") for i in range(50)]
+    name = _users(spark, db, rows, buckets=16)
+    T.delete_by_key(spark, name, spark.table(name).filter("Timezone = 'est'").select("Username"))
+    assert _all(spark, name) == sorted((r for r in rows if r[3] == "pst"), key=str)
+    T.update_by_key(spark, name, spark.table(name).select("Username", F.lit("cst").alias("Timezone")))
+    assert {r[3] for r in _all(spark, name)} == {"cst"} and spark.table(name).count() == 25

@@ -24,11 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from faceoff.llm.common import written
+
 BLOCK_TURNS = 256
 # The rendered form of a turn.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 UNKNOWN_ROLE = "unknown"
-BLOCK = ("conv", "block")
 
 
 def rendered_turn(role: Column, text: Column) -> Column:
@@ -39,54 +40,53 @@ def rendered_turn(role: Column, text: Column) -> Column:
 
 def numbered(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
              text_col: str = "text") -> DataFrame:
-    """(conv, block, turn, role, text, place): the distinct turns with their place in their block."""
+    """(key, turn, role, text, said_a, said_b, place): the distinct turns with two hashes of
+    what was said, and their place in their block.
+
+    ``key`` is (conv, block).  As a struct it is never null and equals itself even
+    where its fields are null, so one hash partitioning serves every window,
+    group and join over blocks.
+    """
     turns = conversations.select(
-        F.col(conv_col).alias("conv"), F.floor(F.col(turn_col) / BLOCK_TURNS).alias("block"),
+        F.struct(F.col(conv_col).alias("conv"), F.floor(F.col(turn_col) / BLOCK_TURNS).alias("block")).alias("key"),
         F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"),
     ).distinct()
-    order = Window.partitionBy(*BLOCK).orderBy("turn", "role", "text")
-    return turns.withColumn("place", F.row_number().over(order))
-
-
-def _joined(left: DataFrame, right: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Inner join on columns in which a null equals a null; the left side's are kept."""
-    renamed = right.withColumnsRenamed({c: f"{c}_right" for c in columns})
-    same = F.lit(True)
-    for c in columns:
-        same = same & F.col(c).eqNullSafe(F.col(f"{c}_right"))
-    return left.join(renamed, same).drop(*(f"{c}_right" for c in columns))
+    order = Window.partitionBy("key").orderBy("turn", "role", "text")
+    # xxhash64 passes over nulls: the flags tell a null from an empty string
+    said = [F.col("role").isNull(), "role", F.col("text").isNull(), "text"]
+    hashes = {"said_a": F.xxhash64(F.lit(1), *said), "said_b": F.xxhash64(*said, F.lit(2))}
+    return turns.withColumn("place", F.row_number().over(order)).withColumns(hashes)
 
 
 def blocks(turns: DataFrame) -> DataFrame:
-    """(conv, block, before, n): turns of the conversation in earlier blocks, and in all."""
-    sizes = turns.groupBy(*BLOCK).agg(F.count("*").alias("size"))
-    earlier = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    """(key, before, n): turns of the conversation in earlier blocks, and in all."""
+    sizes = turns.groupBy("key").agg(F.count("*").alias("size"))
+    earlier = Window.partitionBy("key.conv").orderBy("key.block").rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select(
-        *BLOCK, F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"),
-        F.sum("size").over(Window.partitionBy("conv")).alias("n"),
+        "key", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"),
+        F.sum("size").over(Window.partitionBy("key.conv")).alias("n"),
     )
 
 
 def prefixes(turns: DataFrame) -> DataFrame:
     """(conv, n, a, b, whole): every prefix of every conversation by its number of turns and two hashes."""
-    at = _joined(turns, blocks(turns), BLOCK).withColumn("at", F.col("before") + F.col("place"))
-    # xxhash64 passes over nulls: the flags tell a null from an empty string
-    said = [F.col("at"), F.col("role").isNull(), "role", F.col("text").isNull(), "text"]
-    hashed = at.select(*BLOCK, "place", "at", "n", F.xxhash64(F.lit(1), *said).alias("a"), F.xxhash64(*said, F.lit(2)).alias("b"))
-    within = Window.partitionBy(*BLOCK).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    inside = hashed.select(*BLOCK, "place", "at", "n", *(F.bit_xor(h).over(within).alias(h) for h in "ab"))
-    sums = hashed.groupBy(*BLOCK).agg(F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
-    earlier = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = sums.select(*BLOCK, *(F.coalesce(F.bit_xor(h).over(earlier), F.lit(0)).alias(f"{h}0") for h in "ab"))
-    return _joined(inside, carried, BLOCK).select(
-        "conv", F.col("at").alias("n"), *(F.col(h).bitwiseXOR(F.col(f"{h}0")).alias(h) for h in "ab"),
+    slim = turns.select("key", "place", "said_a", "said_b")
+    at = slim.join(blocks(turns), "key").withColumn("at", F.col("before") + F.col("place"))
+    hashed = at.select("key", "place", "at", "n", F.xxhash64("at", "said_a").alias("a"), F.xxhash64("said_b", "at").alias("b"))
+    within = Window.partitionBy("key").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    inside = hashed.select("key", "at", "n", *(F.bit_xor(h).over(within).alias(h) for h in "ab"))
+    sums = hashed.groupBy("key").agg(F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
+    earlier = Window.partitionBy("key.conv").orderBy("key.block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select("key", *(F.coalesce(F.bit_xor(h).over(earlier), F.lit(0)).alias(f"{h}0") for h in "ab"))
+    return inside.join(carried, "key").select(
+        F.col("key.conv").alias("conv"), F.col("at").alias("n"), *(F.col(h).bitwiseXOR(F.col(f"{h}0")).alias(h) for h in "ab"),
         (F.col("at") == F.col("n")).alias("whole"),
     )
 
 
 def maximal(turns: DataFrame) -> DataFrame:
     """(conv, n, copies): one conversation of each set of equal ones, the least id, that no longer one begins with."""
-    found = prefixes(turns)
+    found = written(prefixes(turns), "chat-prefixes")  # read twice; a few numbers a turn
     key = ["n", "a", "b"]
     whole = found.filter("whole").groupBy(*key).agg(F.min("conv").alias("conv"), F.count("*").alias("copies"))
     begun = found.filter(~F.col("whole")).select(*key).distinct()
@@ -99,14 +99,15 @@ def chat_format(conversations: DataFrame, conv_col: str = "conv_id", turn_col: s
 
     ``first_turn`` is the number, from 0, of the row's first turn: 0 for all but very long conversations.
     """
-    turns = numbered(conversations, conv_col, turn_col, role_col, text_col)
-    kept = maximal(turns)
-    parts = _joined(blocks(turns).select(*BLOCK, "before"), kept, ("conv",))
-    rows = _joined(turns, parts, BLOCK).select(
-        *BLOCK, "place", "before", "n", "copies", rendered_turn(F.col("role"), F.col("text")).alias("said")
+    turns = written(numbered(conversations, conv_col, turn_col, role_col, text_col), "chat-turns")
+    kept = maximal(turns).withColumnRenamed("conv", "kept_conv")
+    found = blocks(turns).select("key", "before")
+    parts = found.join(kept, F.col("key.conv").eqNullSafe(F.col("kept_conv"))).drop("kept_conv")
+    rows = turns.join(parts, "key").select(
+        "key", "place", "before", "n", "copies", rendered_turn(F.col("role"), F.col("text")).alias("said")
     )
-    texts = rows.groupBy(*BLOCK, "before", "n", "copies").agg(F.array_sort(F.collect_list(F.struct("place", "said"))).alias("said"))
+    texts = rows.groupBy("key", "before", "n", "copies").agg(F.array_sort(F.collect_list(F.struct("place", "said"))).alias("said"))
     return texts.select(
-        F.col("conv").alias(conv_col), F.col("before").alias("first_turn"), F.col("n").alias("n_turns"), "copies",
+        F.col("key.conv").alias(conv_col), F.col("before").alias("first_turn"), F.col("n").alias("n_turns"), "copies",
         F.array_join("said.said", "").alias("text"),
     )

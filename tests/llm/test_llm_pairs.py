@@ -244,3 +244,17 @@ def test_dedup_of_odd_rows(odd):
     assert len(rows) == len(ODD_ROWS)
     assert rows == sorted(((r[0], r[1]) for r in ODD_ROWS), key=str)
     assert chunk_dedup.dedup(odd.limit(0)).count() == 0
+
+
+def test_every_shared_passage_goes_to_its_ends(spark):
+    rng = random.Random(8)
+    passages = [prose(rng, 51) for _ in range(60)] + [" ".join(rng.choices("abcdefgh", k=51)) for _ in range(20)]
+    for size in (1, 2, 3, 5, 8):  # phrases that repeat
+        passages += [" ".join(([*prose(rng, size).split()] * 60)[:60]) for _ in range(20)]
+    n = len(passages)
+    rows = [(k, f"{prose(rng, rng.randint(5, 60))} Q{k} {passages[k % n]} Z{k} {prose(rng, 30)}") for k in range(2 * n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r["text"] for r in chunk_dedup.dedup(docs).collect()}
+    assert [got[k] for k in range(n)] == [text for _, text in rows[:n]]
+    want = [text.replace(f"{passages[k % n]} ", "") for k, text in rows[n:]]
+    assert [got[k] for k in range(n, 2 * n)] == want

@@ -258,3 +258,17 @@ def test_every_shared_passage_goes_to_its_ends(spark):
     assert [got[k] for k in range(n)] == [text for _, text in rows[:n]]
     want = [text.replace(f"{passages[k % n]} ", "") for k, text in rows[n:]]
     assert [got[k] for k in range(n, 2 * n)] == want
+
+
+def test_text_stitched_from_several_documents_stays(spark):
+    rng = random.Random(9)
+    texts = [prose(rng, 200) for _ in range(40)]
+    pieces = []
+    for text in texts:
+        data, ends = text.encode(), chunk_dedup.cuts(text.encode())
+        chunks = [data[a:b] for a, b in zip(ends, ends[1:-1]) if 16 <= b - a]
+        pieces.append(rng.choice(chunks).decode(errors="replace"))
+    stitched = "".join(p for p in pieces if "�" not in p)
+    assert len(stitched.split()) > 100
+    docs = spark.createDataFrame([*enumerate(texts), (99, stitched)], "doc_id long, text string").repartition(4)
+    assert {r["doc_id"]: r["text"] for r in chunk_dedup.dedup(docs).collect()} == dict([*enumerate(texts), (99, stitched)])

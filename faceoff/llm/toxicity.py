@@ -34,7 +34,6 @@ from pyspark.sql import types as T
 from faceoff.llm.common import sample_labelled
 
 MAX_FIT_ROWS = 20_000
-GRAM_ENTRIES = 60_000
 WORD_ENTRIES = 20_000
 SUMMARY_ENTRIES = 200_000
 CACHE_WORDS = 500_000
@@ -60,31 +59,48 @@ def grams(word: str) -> list[str]:
     return [padded[k : k + 3] for k in range(len(padded) - 2)]
 
 
+def packed(text: str) -> int:
+    """Up to three characters as a number, 21 bits each."""
+    key = 0
+    for c in text:
+        key = key << 21 | ord(c)
+    return key
+
+
+class Counts:
+    """Counts by packed characters, in sorted arrays of 16 bytes an entry."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        self.keys, which = np.unique(keys, return_inverse=True)
+        self.counts = np.zeros(len(self.keys), np.int64)
+        np.add.at(self.counts, which, counts)
+
+    def get(self, key: int) -> int:
+        at = int(self.keys.searchsorted(key))
+        return int(self.counts[at]) if at < len(self.keys) and self.keys[at] == key else 0
+
+
 class Letters:
-    """Log-probability of a character after two others, from trigram counts."""
-
-    def __init__(self, counts: dict[str, int]):
-        self.three, self.two = counts, Counter()
-        ends: Counter = Counter()
-        self.pair: Counter = Counter()
-        for g, n in counts.items():
-            self.two[g[:2]] += n
-            self.pair[g[1:]] += n
-            ends[g[2]] += n
-        self.mid: Counter = Counter()
-        for g, n in self.pair.items():
-            self.mid[g[0]] += n
-        total = sum(ends.values()) + len(ends) + 1
-        self.one = {c: (n + 1) / total for c, n in ends.items()}
-        self.rare = 1 / total
+    """Log-probability of a character after two others, from the counts of all trigrams."""
+
+    def __init__(self, counts: dict[str, int] | Counts):
+        if not isinstance(counts, Counts):
+            counts = Counts(np.array(list(map(packed, counts)), np.int64), np.array(list(counts.values()), np.int64))
+        self.three = counts
+        self.two = Counts(counts.keys >> 21, counts.counts)
+        self.pair = Counts(counts.keys & (1 << 42) - 1, counts.counts)
+        self.mid = Counts(self.pair.keys >> 21, self.pair.counts)
+        self.ends = Counts(counts.keys & (1 << 21) - 1, counts.counts)
+        self.total = int(self.ends.counts.sum()) + len(self.ends.keys) + 1
         self.known: dict[str, float] = {}
 
     def log(self, gram: str) -> float:
         p = self.known.get(gram)
         if p is None:
-            low = self.one.get(gram[2], self.rare)
-            mid = (self.pair.get(gram[1:], 0) + 5 * low) / (self.mid.get(gram[1], 0) + 5)
-            p = math.log((self.three.get(gram, 0) + 5 * mid) / (self.two.get(gram[:2], 0) + 5))
+            key = packed(gram)
+            low = (self.ends.get(key & (1 << 21) - 1) + 1) / self.total
+            mid = (self.pair.get(key & (1 << 42) - 1) + 5 * low) / (self.mid.get(key >> 21 & (1 << 21) - 1) + 5)
+            p = math.log((self.three.get(key) + 5 * mid) / (self.two.get(key >> 21) + 5))
             if len(self.known) < CACHE_WORDS:
                 self.known[gram] = p
         return p
@@ -199,14 +215,15 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 flush()
     flush()
     yield pa.RecordBatch.from_arrays(
-        [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["gram", "n"]
+        [pa.array(map(packed, found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["gram", "n"]
     )
 
 
-def language_model(docs: DataFrame, text_col: str = "text", entries: int = GRAM_ENTRIES) -> Letters:
-    """Trigram counts over all documents; of more than ``entries`` trigrams the most frequent are kept."""
-    counts = docs.select(text_col).mapInArrow(_gram_counts, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return Letters({r["gram"]: r["n"] for r in counts.orderBy(F.desc("n"), "gram").limit(entries).collect()})
+def language_model(docs: DataFrame, text_col: str = "text") -> Letters:
+    """Counts of all trigrams of all documents: 16 bytes for each distinct one."""
+    counts = docs.select(text_col).mapInArrow(_gram_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    found = counts.toArrow()
+    return Letters(Counts(found["gram"].to_numpy(), found["n"].to_numpy()))
 
 
 # ---------------------------------------------------------------- scoring

@@ -168,3 +168,24 @@ def test_toxicity_on_held_out_labels(spark):
     assert auc(scored, labels, "toxic") > 0.93
     rows = scored.join(labels, "doc_id").filter(held_out()).filter("toxic = 0").collect()
     assert sum(r["score"] >= 0.5 for r in rows) <= 0.02 * len(rows)
+
+
+def test_the_model_keeps_every_trigram(spark):
+    rng = random.Random(7)
+    words = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(4)) for _ in range(20_000)]  # some 100,000 trigrams
+    words += ["the", "thing"] * 50
+    docs = spark.createDataFrame([(" ".join(words[k::40]),) for k in range(40)], "text string")
+    letters, counts = toxicity.language_model(docs), {}
+    for w in words:
+        for g in toxicity.grams(w):
+            counts[g] = counts.get(g, 0) + 1
+    assert len(counts) > 60_000
+
+    def price(gram):
+        total = lambda f: sum(n for g, n in counts.items() if f(g))
+        low = (total(lambda g: g[2] == gram[2]) + 1) / (sum(counts.values()) + len({g[2] for g in counts}) + 1)
+        mid = (total(lambda g: g[1:] == gram[1:]) + 5 * low) / (total(lambda g: g[1] == gram[1]) + 5)
+        return np.log((counts.get(gram, 0) + 5 * mid) / (total(lambda g: g[:2] == gram[:2]) + 5))
+
+    for gram in [*rng.sample(sorted(counts), 25), "^^t", "the", "thx", "zzz"]:
+        assert letters.log(gram) == pytest.approx(price(gram))

@@ -2,7 +2,7 @@
 
 A character language model (trigrams of words, counted over all documents)
 decodes lattices: digits and symbols may stand for letters, a letter repeated three
-times or more for one or two, and letters set apart by spaces for a word.  The
+times or more for one or two, and letters set apart by spaces or marks for a word.  The
 best path through each lattice is found by Viterbi search over the last two
 characters.  A word whose lattice has one path is that path, so only odd words are
 searched; workers keep those they have met.
@@ -10,7 +10,9 @@ searched; workers keep those they have met.
 The scorer learns how often words and word beginnings of restored texts stand in
 toxic documents, from at most ``MAX_FIT_ROWS`` labelled rows (a documented bound).  A
 document's evidence is that of its worst word and the number of bad
-words, turned into a probability by logistic regression.
+words, turned into a probability by logistic regression.  Words that are bad with
+fewer doubled letters, and two or three neighbours that are a bad word together, count
+too if their lattice's best path is that word.
 
 Defined results: null and empty texts have no evidence and score lowest; without
 labels of both kinds every score is the share of ones (0 without labels);
@@ -48,7 +50,11 @@ BEGIN, END = "^", "\n"
 STANDS_FOR = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
               "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "*": "aeiou", "(": "c", "€": "e"}
 _EDGES = ".,;:!?\"'()[]{}|#%&*$-_<>/\\"
+_MARKS = ".,;:?!\"'()[]{}"
 _RUN = re.compile(r"([^\W\d_])\1\1", re.UNICODE)
+_DOUBLE = re.compile(r"(.)\1+", re.DOTALL)
+# letters set apart by marks
+_APART = re.compile(r"[^\W_](?:[._\-*~|/+,:;·•=]+[^\W_]){2,}", re.UNICODE)
 _SWAP = "".join(re.escape(c) for c in STANDS_FOR)
 _ODD = re.compile(rf"[^\W\d_][{_SWAP}]+[^\W\d_]|^[{_SWAP}]+[^\W\d_]|[^\W\d_][{_SWAP}]+$", re.UNICODE)
 
@@ -140,9 +146,19 @@ def _lattice(word: str) -> list[list[tuple[str, float]]]:
     return [_choices(m[0][0], len(m[0])) for m in re.finditer(r"(.)\1*", word, re.DOTALL)]
 
 
+def _apart_lattice(word: str) -> list[list[tuple[str, float]]]:
+    """Letters set apart by marks: the marks are nothing, or what they may stand for."""
+    return [
+        _choices(m[0], 1) if m[0].isalnum() else [("", 0.0)] + (_choices(m[0], 1) if m[0] in STANDS_FOR else [(m[0], KEEP_COST)])
+        for m in re.finditer(r"[^\W_]|(?:[\W_])+", word)
+    ]
+
+
 def restore_word(word: str, letters: Letters) -> str:
     """A lower-case word as meant; itself if it is not odd."""
     core = word.strip(_EDGES) or word
+    if _APART.fullmatch(core) and any(map(str.isalpha, core)):
+        return decode(_apart_lattice(core), letters)
     if _RUN.search(word) or _ODD.search(core):
         whole = decode(_lattice(core), letters)
         return whole
@@ -182,7 +198,12 @@ class Restorer:
 
     def spaced(self, words: list[str]) -> list[str]:
         """Words meant by every run of three or more single characters that are not all alike."""
-        sizes = np.fromiter(map(len, words), np.int64, len(words)) == 1
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        sizes, own = lengths == 1, words
+        for k in np.flatnonzero((lengths > 1) & (lengths < 6)).tolist():
+            if len(core := own[k].strip(_MARKS)) == 1:  # a single character with marks at its edges
+                words = list(own) if words is own else words
+                words[k], sizes[k] = core, True
         edge = np.flatnonzero(np.diff(np.concatenate(([0], sizes.astype(np.int8), [0]))))
         out: list[str] = []
         for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
@@ -240,15 +261,41 @@ class Scorer:
         self.theta = np.array([0.0, 0.0, 0.0])
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("restorer", "known")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("restorer", "known", "bad", "single")}
+
+    def _of(self, word: str) -> float:
+        return max((self.evidence.get(m, 0.0) for m in marks_of(word)), default=0.0)
 
     def _word(self, word: str) -> float:
-        return max((self.evidence.get(m, 0.0) for m in marks_of(self.restorer.word(word))), default=0.0)
+        restored = self.restorer.word(word)
+        found = self._of(restored)
+        if not found and _DOUBLE.search(restored) and _DOUBLE.sub(r"\1", restored) in self.single:
+            fewer = [[(m[1] * k, SQUEEZE_COST * (k < len(m[0]))) for k in range(1, len(m[0]) + 1)] for m in re.finditer(r"(.)\1*", restored, re.DOTALL)]
+            found = self._of(decode(fewer, self.letters))
+        return found
+
+    def _together(self, words: list[str]) -> list[float]:
+        """Evidence of two or three neighbours that are a bad word together."""
+        cores, found = [w.strip(_EDGES) for w in words], []
+        joined = cores
+        for n in (2, 3):
+            joined = list(map(str.__add__, joined, cores[n - 1 :]))
+            if not self.bad.isdisjoint(joined):
+                for k, word in enumerate(joined):
+                    parts = cores[k : k + n]
+                    if word in self.bad and all(parts) and not any(p in self.bad for p in parts):
+                        gap = [[("", 0.0), (" ", 0.0)]]
+                        steps = [step for p in parts for step in [*gap, *([(c, 0.0)] for c in p)]][1:]
+                        if decode(steps, self.letters) == word:
+                            found.append(self._of(word))
+        return found
 
     def measure(self, text: str | None) -> tuple[float, float]:
         """(evidence of the worst word, log of one plus the bad words)."""
         if not hasattr(self, "known"):
             self.restorer, self.known = Restorer(self.letters), {}
+            self.bad = {m[1:] for m, share in self.evidence.items() if m[0] == "=" and share > 0.5}
+            self.single = {_DOUBLE.sub(r"\1", w) for w in self.bad}
         words = (text or "").lower().split()
         values, known = list(map(self.known.get, words)), self.known
         if None in values:
@@ -259,8 +306,7 @@ class Scorer:
                         if len(known) >= CACHE_WORDS:
                             known.clear()
                         known[w] = values[k]
-        for w in self.restorer.spaced(words):
-            values.append(max((self.evidence.get(m, 0.0) for m in marks_of(w)), default=0.0))
+        values += [self._of(w) for w in self.restorer.spaced(words)] + self._together(words)
         bad = sum(v > 0.5 for v in values) if self.evidence else 0
         return max(values, default=0.0), math.log1p(bad)
 

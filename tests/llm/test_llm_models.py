@@ -189,3 +189,18 @@ def test_the_model_keeps_every_trigram(spark):
 
     for gram in [*rng.sample(sorted(counts), 25), "^^t", "the", "thx", "zzz"]:
         assert letters.log(gram) == pytest.approx(price(gram))
+
+
+@pytest.mark.parametrize("shown", [
+    "that i d i o t. said", "that 'i d i o t' said", "that i.d.i.o.t said", "that i-d-i-o-t said", "that i_d_i_o_t, said", "that i*d*i*o*t said",
+    "that id iot said", "that id iot. said", "that i di ot said", "that iddiot said", "that iddiiot! said",
+])
+def test_every_form_is_evidence(shown):
+    scorer = toxicity.Scorer(english(), {"=idiot": 0.9})
+    assert scorer.measure(shown)[0] == 0.9
+    assert scorer.measure("that person said it was a thing of trash, 1.2.3 or a.b")[0] == 0.0
+
+
+def test_a_long_line_of_letters_is_one_pass():
+    scorer = toxicity.Scorer(english(), {"=idiot": 0.9})
+    assert scorer.measure("i, d, i, o, t. " * 2000)[0] == 0.9

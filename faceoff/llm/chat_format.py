@@ -7,8 +7,9 @@ prefix.  Equal conversations are reduced to one; an anti-join on (n, hash) then
 removes those that are a proper prefix of a longer one.  Only DataFrame
 functions are used.
 
-Turns are numbered in blocks of ``BLOCK_TURNS`` turn numbers, so that a
-conversation of any length is spread over many tasks; a window per conversation
+Distinct turns are numbered by a range sort with an offset for each partition, and
+dealt in blocks of ``BLOCK_TURNS`` places, so that a conversation of any length, whatever its
+turn numbers, is spread over many tasks; a window per conversation
 adds up one row a block, not the turns.  A rendered conversation has a row
 for each of its blocks; put together in order of ``first_turn`` they are its text.
 
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faceoff.llm.common import written
+from faceoff.operators.ranking import global_row_number
 
 BLOCK_TURNS = 256
 # The rendered form of a turn.
@@ -48,14 +50,20 @@ def numbered(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str
     group and join over blocks.
     """
     turns = conversations.select(
-        F.struct(F.col(conv_col).alias("conv"), F.floor(F.col(turn_col) / BLOCK_TURNS).alias("block")).alias("key"),
-        F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"),
+        F.struct(F.col(conv_col).alias("conv")).alias("of"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"),
+        F.col(text_col).alias("text"),
     ).distinct()
-    order = Window.partitionBy("key").orderBy("turn", "role", "text")
+    placed = global_row_number(turns, ["of", "turn", "role", "text"], "pos")
+    starts = placed.groupBy("of").agg(F.min("pos").alias("start"))
+    at = F.col("pos") - F.col("start")
+    turns = placed.join(starts, "of").select(
+        F.struct(F.col("of.conv").alias("conv"), F.floor(at / BLOCK_TURNS).alias("block")).alias("key"),
+        "turn", "role", "text", (at % BLOCK_TURNS + 1).cast("int").alias("place"),
+    )
     # xxhash64 passes over nulls: the flags tell a null from an empty string
     said = [F.col("role").isNull(), "role", F.col("text").isNull(), "text"]
     hashes = {"said_a": F.xxhash64(F.lit(1), *said), "said_b": F.xxhash64(*said, F.lit(2))}
-    return turns.withColumn("place", F.row_number().over(order)).withColumns(hashes)
+    return turns.withColumns(hashes)
 
 
 def blocks(turns: DataFrame) -> DataFrame:

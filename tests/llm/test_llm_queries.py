@@ -68,6 +68,13 @@ def test_a_long_conversation_is_spread_over_blocks(spark):
     assert found.filter("conv_id = 1").count() == 6
 
 
+def test_a_hot_conversation_of_few_turn_numbers_is_spread(spark):
+    rows = [(None, t % 3 if t % 4 else None, "user", f"t{t}") for t in range(1500)] + [(2, 0, "user", f"t{t}") for t in range(600)]
+    found = chat_format.chat_format(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert joined(found) == slow_chat(rows)
+    assert found.filter("conv_id is null").count() == 6 and found.filter("conv_id = 2").count() == 3
+
+
 # ---------------------------------------------------------------- pipeline
 def test_pipeline_stages(spark, tmp):
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "quality rules" and len(corpus_pipeline.STAGES) == 5

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faceoff.llm import chat_format as chat
-from faceoff.llm import chunk_dedup, decontaminate, quality_classifier, quality_rules
+from faceoff.llm import chunk_dedup, decontaminate, license_scan, quality_classifier, quality_rules
 from faceoff.llm import sentencepiece_codec as pieces
 from faceoff.llm import simhash, token_counts, token_shards, toxicity
 from faceoff.llm.common import held_out, table
@@ -99,8 +99,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, trees)
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, found = F.col("base"), F.col("detections")
+    return license_scan.scan(table(spark, sf_dir, "documents")).select(
+        F.col("doc.doc_id").alias("doc_id"), "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(base["start"]).cast("long").alias("first_word"), F.array_max(base["start"]).cast("long").alias("last_word"),
+        license_scan.labels_of(base).alias("base_labels"), license_scan.labels_of(base, found).alias("labels"),
+        license_scan.score(base, found).alias("score"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_chat_format, op2_simhash, op3_token_counts, op4_decontaminate, op5_token_shards, op6_quality_classifier,
-              op7_sentencepiece, op8_toxicity, op9_chunk_dedup, op10_quality_rules)
+              op7_sentencepiece, op8_toxicity, op9_chunk_dedup, op10_quality_rules, op13_license_scan)
 }

@@ -45,4 +45,30 @@ FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')",
 )
 
-ORACLE_SQL = {"op1_chat_format": CHAT_FORMAT, "op4_decontaminate": DECONTAMINATE}
+# Whole terms of both tables; integer division rounds down.
+LEXICAL_SEARCH = r"""
+WITH doc AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(lower_az(text), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL
+), size AS (
+  SELECT row, any_value(doc_id) AS doc_id, any_value(CAST(len(w) AS BIGINT)) AS n FROM doc WHERE len(w) > 0 GROUP BY row
+), corpus AS (
+  SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM size
+), item AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(lower_az(text), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE text IS NOT NULL
+), held AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM doc) WHERE term IN (SELECT term FROM item) GROUP BY row, term
+), weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM held, corpus GROUP BY term
+), impact AS (
+  SELECT row, term, weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))) AS part
+  FROM held JOIN weighed USING (term) JOIN size USING (row), corpus
+), total AS (
+  SELECT item_id, row, CAST(sum(part) AS BIGINT) AS score FROM item JOIN impact USING (term) GROUP BY item_id, row HAVING sum(part) > 0
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM total JOIN size USING (row) QUALIFY rank <= 50
+""".replace("lower_az(text)", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+
+ORACLE_SQL = {"op1_chat_format": CHAT_FORMAT, "op4_decontaminate": DECONTAMINATE, "op12_lexical_search": LEXICAL_SEARCH}

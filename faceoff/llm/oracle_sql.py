@@ -71,4 +71,47 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 FROM total JOIN size USING (row) QUALIFY rank <= 50
 """.replace("lower_az(text)", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
-ORACLE_SQL = {"op1_chat_format": CHAT_FORMAT, "op4_decontaminate": DECONTAMINATE, "op12_lexical_search": LEXICAL_SEARCH}
+# The CRC-32 of the id's digits bit by bit; a node is the list of its turns.
+CONVERSATION_TRIE = """
+WITH RECURSIVE turns AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), crc AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR) AS s, 0 AS i, CAST(4294967295 AS BIGINT) AS c FROM (SELECT DISTINCT conv_id FROM turns)
+  UNION ALL
+  SELECT conv_id, s, i + 1, CASE WHEN x % 2 = 1 THEN xor(x // 2, CAST(3988292384 AS BIGINT)) ELSE x // 2 END
+  FROM (SELECT conv_id, s, i, CASE WHEN i % 8 = 0 THEN xor(c, CAST(ascii(substr(s, i // 8 + 1, 1)) AS BIGINT)) ELSE c END AS x
+        FROM crc WHERE i < 8 * length(s))
+), head AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, xor(c, CAST(4294967295 AS BIGINT)) % 6 AS h FROM crc WHERE i = 8 * length(s)
+), said AS (
+  SELECT head.conv_id, b.k AS place, b.r, b.t FROM head JOIN turns b ON b.conv_id = head.base AND b.k <= h
+  UNION ALL
+  SELECT head.conv_id, 5 + o.k, o.r, o.t FROM head JOIN turns o ON o.conv_id = head.conv_id AND o.k > h
+), conv AS (
+  SELECT head.conv_id, coalesce(any_value(l), []) AS l
+  FROM head LEFT JOIN (SELECT conv_id, list({'r': r, 't': t} ORDER BY place) AS l FROM said GROUP BY conv_id) USING (conv_id) GROUP BY head.conv_id
+), path AS (
+  SELECT conv_id, len(l) AS n, d, list_slice(l, 1, d) AS p FROM (SELECT conv_id, l, unnest(range(0, len(l) + 1)) AS d FROM conv)
+), whole AS (
+  SELECT conv_id, l FROM conv
+), ends AS (
+  SELECT l AS p, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM whole GROUP BY l
+), node AS (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE length(p[d].t) END AS own FROM path GROUP BY p, d
+), parent AS (
+  SELECT c.p, c.d, c.conv_id, c.n_convs, c.own, u.conv_id AS parent_conv_id FROM node c LEFT JOIN node u ON u.d = c.d - 1 AND u.p = list_slice(c.p, 1, c.d - 1)
+), kids AS (
+  SELECT list_slice(p, 1, d - 1) AS p, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1
+), below AS (
+  SELECT list_slice(p, 1, a) AS p, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum(own) AS saved
+  FROM (SELECT node.p, own, n_children, unnest(range(0, d + 1)) AS a FROM node LEFT JOIN kids USING (p)) GROUP BY 1
+)
+SELECT conv_id, CAST(d AS BIGINT) AS depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM parent LEFT JOIN kids USING (p) JOIN below USING (p) LEFT JOIN ends USING (p)
+"""
+
+ORACLE_SQL = {"op1_chat_format": CHAT_FORMAT, "op4_decontaminate": DECONTAMINATE, "op11_conversation_trie": CONVERSATION_TRIE,
+              "op12_lexical_search": LEXICAL_SEARCH}

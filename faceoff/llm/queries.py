@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faceoff.llm import chat_format as chat
-from faceoff.llm import chunk_dedup, decontaminate, lexical_search, license_scan, quality_classifier, quality_rules
+from faceoff.llm import chunk_dedup, conversation_trie, decontaminate, lexical_search, license_scan, quality_classifier, quality_rules
 from faceoff.llm import sentencepiece_codec as pieces
 from faceoff.llm import simhash, token_counts, token_shards, toxicity
 from faceoff.llm.common import held_out, table
@@ -99,6 +99,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, trees)
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(table(spark, sf_dir, "conversations")).drop("prefix")
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("query_id").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
@@ -118,5 +122,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_chat_format, op2_simhash, op3_token_counts, op4_decontaminate, op5_token_shards, op6_quality_classifier,
               op7_sentencepiece, op8_toxicity, op9_chunk_dedup, op10_quality_rules,
-              op12_lexical_search, op13_license_scan)
+              op11_conversation_trie, op12_lexical_search, op13_license_scan)
 }

@@ -7,8 +7,9 @@ length of its vectors and cut into buckets.  For a query, buckets are visited fr
 longest down: by Cauchy-Schwarz no document of a bucket scores more than
 the query's length times the bucket's greatest length, so the visit ends where that falls below the
 score to beat.  Inside a bucket the query's largest coordinates are multiplied out; what the
-others can add is bounded by the lengths of the two remainders, and only documents
-whose bound reaches the score to beat are rescored, in integers, from all coordinates.
+others can add is bounded by the lengths of the two remainders and by the bucket's largest
+value of each, and only documents whose bound reaches the score to beat are rescored, in integers, from
+all coordinates.
 
 The score to beat is the k-th best found so far.  It starts from the k-th best of a
 sample of the documents, which can only be lower than the k-th best of all, so nothing
@@ -43,8 +44,8 @@ TERM = rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # of UTF-8: every byte of o
 BLOCK_BYTES = 4 << 20
 SAMPLE_SHARE = 32  # one of so many documents gives the first scores to beat
 BATCH_DOCS = 16_384
-BUCKET_DOCS = 512
-FOCUS_SHARE = 0.8  # of a query's squared length, in its largest coordinates
+BUCKET_DOCS = 2048
+FOCUS_SHARE = 0.95  # of a query's squared length, in its largest coordinates
 SLACK = 1 + 1e-9  # bounds are in doubles
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _FIND = re.compile(TERM)
@@ -96,7 +97,7 @@ class Queries:
     def __init__(self, asked: list[np.ndarray], weights: np.ndarray, n_docs: int, n_terms: int):
         self.weights, self.n_docs, self.n_terms = weights, n_docs, n_terms
         self.root = np.sqrt(weights.astype(float))
-        self.terms, self.focus, self.length, self.rest = [], [], [], []
+        self.terms, self.focus, self.others, self.length, self.rest = [], [], [], [], []
         for held in asked:
             held = held[np.argsort(-weights[held], kind="stable")]
             squares = np.cumsum(weights[held].astype(float))  # of the coordinates: their weights
@@ -104,6 +105,7 @@ class Queries:
             n = int(np.searchsorted(squares, FOCUS_SHARE * whole)) + 1 if len(held) else 0
             self.terms.append(held)
             self.focus.append(held[:n])
+            self.others.append(held[n:])
             self.length.append(math.sqrt(whole))
             self.rest.append(math.sqrt(max(0.0, whole - squares[min(n, len(held)) - 1])) if len(held) else 0.0)
 
@@ -126,6 +128,8 @@ class Batch:
         key = place[doc] // bucket_docs * self.n_known + held
         by_key = np.argsort(key, kind="stable")
         self.key, self.doc, self.impact, self.scaled = key[by_key], place[doc][by_key], impact[by_key], scaled[by_key]
+        first = np.flatnonzero(np.diff(self.key, prepend=-1))
+        self.known, self.largest = self.key[first], np.maximum.reduceat(self.scaled, first) if len(first) else self.scaled
 
     def entries(self, bucket: int, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Indices of the bucket's entries of the terms, and the term of each."""
@@ -135,15 +139,22 @@ class Batch:
         index = np.arange(sizes.sum()) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
         return index, np.repeat(terms, sizes)
 
+    def at_most(self, q: Queries, bucket: int, terms: np.ndarray) -> float:
+        """What the terms can add to a score in the bucket, by its largest value of each."""
+        wanted = bucket * self.n_known + terms
+        at = np.minimum(np.searchsorted(self.known, wanted), len(self.known) - 1)
+        return float(np.sum(self.largest[at] * q.root[terms] * (self.known[at] == wanted))) if len(self.known) else 0.0
+
     def candidates(self, q: Queries, k: int, bucket: int, beat: int) -> np.ndarray:
-        """Places in the bucket whose score can reach ``beat``: partial product plus the remainders' lengths."""
+        """Places in the bucket whose score can reach ``beat``: partial product plus the bounds of the remainder."""
         low = bucket * self.bucket_docs
         length = self.length[low : low + self.bucket_docs]
         at, term = self.entries(bucket, q.focus[k])
         doc, value = self.doc[at] - low, self.scaled[at]
         part = np.bincount(doc, value * q.root[term], len(length))
         rest = np.sqrt(np.maximum(0.0, length * length * SLACK - np.bincount(doc, value * value, len(length))))
-        return np.flatnonzero((part + q.rest[k] * rest) * SLACK >= beat) + low
+        rest = np.minimum(q.rest[k] * rest, self.at_most(q, bucket, q.others[k]))
+        return np.flatnonzero((part + rest) * SLACK >= beat) + low
 
     def scores(self, q: Queries, k: int, bucket: int, places: np.ndarray) -> np.ndarray:
         """Exact integer scores of places of the bucket."""

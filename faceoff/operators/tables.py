@@ -1,4 +1,4 @@
-"""Stored tables: snapshot replace, partitioned insert, keyed maintenance.
+"""Stored tables: snapshot replace, partitioned insert; keyed tables come from ``keyed``.
 
 Snapshot tables (SNK-2/3)
     A refresh writes ``<name>__v<N>_<unique>`` and then points the view ``<name>`` at
@@ -11,17 +11,6 @@ Partitioned tables (SNK-4)
     partition column (AQE splits a hot partition value over several tasks
     instead of sending a third of the table through one writer) and sorted
     within partitions; only the partitions written are replaced.
-
-Keyed tables (MNT-1 … MNT-6)
-    A keyed table is partitioned by ``key_bucket = pmod(xxhash64(key), B)``.
-    Insert-if-absent appends; update and delete rewrite only the buckets the
-    change set touches, once, with a dynamic partition overwrite (old
-    buckets stay until the job commits), so the cost of a change is the size
-    of the touched buckets, not of the table.  The change set is written
-    down first, so that every step sees the same rows.
-    A point lookup folds the bucket of the literal key into a partition
-    filter.  The only values brought to the driver are bucket numbers
-    (at most B) and table properties.
 """
 
 from __future__ import annotations
@@ -30,20 +19,29 @@ import re
 import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from faceoff.operators import keyed
+from faceoff.operators.keyed import (  # noqa: F401 - the keyed tables' operators are part of this module
+    BUCKET,
+    DEFAULT_BUCKETS,
+    append_rows,
+    bucket_of,
+    create_keyed_table,
+    delete_by_key,
+    insert_if_absent,
+    lookup,
+    lookup_many,
+    merge,
+    projection_view,
+    suggest_buckets,
+    update_by_key,
+    written_once,
+)
 from faceoff.session import scratch_dir
 
-BUCKET = "key_bucket"
-# Size B so a bucket holds roughly 0.5-1 GB: a change rewrites whole buckets,
-# and every bucket is at least one file per write.
-DEFAULT_BUCKETS = 16
-_KEY_PROP = "faceoff.key"
-_BUCKETS_PROP = "faceoff.buckets"
-
-
 # ----------------------------------------------------------------- catalog
 
 
@@ -85,7 +83,10 @@ def create_table(
 
 def truncate(spark: SparkSession, name: str) -> None:
     """SNK-7: remove every row, keep the table."""
-    spark.sql(f"TRUNCATE TABLE {name}")
+    if keyed.is_keyed(spark, name):
+        keyed.truncate(spark, name)
+    else:
+        spark.sql(f"TRUNCATE TABLE {name}")
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -186,215 +187,3 @@ def read_partitions(spark: SparkSession, name: str, partition_column: str, value
     """Read a partitioned table; a value list becomes a partition filter."""
     df = spark.table(name)
     return df if values is None else df.filter(F.col(partition_column).isin(list(values)))
-
-
-# --------------------------------------------------------------- keyed tables
-
-
-def bucket_of(key: Column, buckets: int) -> Column:
-    """Bucket number of a key: ``pmod(xxhash64(key), buckets)`` (constant-folds for literals)."""
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
-def suggest_buckets(
-    df: DataFrame, rows_per_bucket: int = 4_000_000, minimum: int = 1, maximum: int = 1 << 16
-) -> int:
-    """Bucket count for a keyed table loaded from ``df``: a power of two
-    giving about ``rows_per_bucket`` rows per bucket.
-
-    Costs one distributed count (Parquet answers it from file footers).
-    """
-    rows = df.count()
-    buckets = minimum
-    while buckets < maximum and buckets * rows_per_bucket < rows:
-        buckets *= 2
-    return buckets
-
-
-def create_keyed_table(
-    spark: SparkSession, name: str, schema: T.StructType, key: str, buckets: int = DEFAULT_BUCKETS
-) -> None:
-    """MNT-6: an empty keyed table, partitioned by the key's bucket."""
-    if key not in schema.fieldNames():
-        raise ValueError(f"key {key!r} is not a column of the schema")
-    full = T.StructType(list(schema.fields) + [T.StructField(BUCKET, T.IntegerType())])
-    create_table(spark, name, full, partition_by=[BUCKET], properties={_KEY_PROP: key, _BUCKETS_PROP: str(buckets)})
-
-
-def _key_layout(spark: SparkSession, name: str) -> tuple[str, int, list[str], T.DataType]:
-    # catalog metadata: a handful of properties
-    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-    if _KEY_PROP not in props:
-        raise ValueError(f"{name} is not a keyed table")
-    key, buckets = props[_KEY_PROP], int(props[_BUCKETS_PROP])
-    schema = spark.table(name).schema
-    data_cols = [f.name for f in schema.fields if f.name != BUCKET]
-    return key, buckets, data_cols, schema[key].dataType
-
-
-def _with_bucket(df: DataFrame, key: str, buckets: int, data_cols: Sequence[str], key_type: T.DataType) -> DataFrame:
-    return df.select(*[F.col(c) for c in data_cols], bucket_of(F.col(key).cast(key_type), buckets).alias(BUCKET))
-
-
-def _touched_buckets(changes: DataFrame, key: str, buckets: int, key_type: T.DataType, unique: bool = False) -> list[int]:
-    """Distinct buckets of a change set (at most ``buckets`` small ints).
-
-    With ``unique`` the same job also fails on a key that occurs twice in the
-    change set: per bucket, the row count must equal the distinct key count
-    (NULL counted as a key).
-    """
-    k = F.col(key).cast(key_type)
-    per_bucket = changes.select(bucket_of(k, buckets).alias(BUCKET), k.alias("__k")).groupBy(BUCKET)
-    if not unique:
-        # one row per touched bucket: at most `buckets` rows reach the driver
-        return sorted(r[BUCKET] for r in per_bucket.agg(F.lit(1)).collect())
-    # one row per touched bucket: at most `buckets` rows reach the driver
-    stats = per_bucket.agg(
-        F.count(F.lit(1)).alias("__rows"),
-        F.count_distinct(F.col("__k")).alias("__keys"),
-        F.sum(F.col("__k").isNull().cast("int")).alias("__nulls"),
-    ).collect()
-    for r in stats:
-        if r["__rows"] != r["__keys"] + min(r["__nulls"], 1) or r["__nulls"] > 1:
-            raise ValueError(f"change set has a duplicate key (bucket {r[BUCKET]})")
-    return sorted(r[BUCKET] for r in stats)
-
-
-def append_rows(spark: SparkSession, name: str, rows: DataFrame) -> None:
-    """SNK-5/SNK-6: append rows to a keyed table (no key check; see insert_if_absent)."""
-    key, buckets, data_cols, key_type = _key_layout(spark, name)
-    _with_bucket(rows, key, buckets, data_cols, key_type).hint("rebalance", BUCKET).write.insertInto(name)
-
-
-def _null_safe_semi(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is among ``keys``; the NULL key is a key like any other."""
-    wanted = keys.select(F.col(key).alias("_wanted_key"))
-    return rows.join(wanted, F.col(key).eqNullSafe(F.col("_wanted_key")), "left_semi")
-
-
-def written_once(changes: DataFrame) -> DataFrame:
-    """The change set as files, so that its bucket list and its join see the same rows
-    even where evaluating it twice would not give them."""
-    path = scratch_dir(changes.sparkSession, "changes")
-    changes.write.parquet(path)
-    return changes.sparkSession.read.schema(changes.schema).parquet(path)
-
-
-def _of_buckets(spark: SparkSession, name: str, touched: Sequence[int], buckets: int) -> DataFrame:
-    """The table's rows in the touched buckets (no filter where these are all buckets)."""
-    df = spark.table(name)
-    return df if len(touched) >= buckets else df.filter(F.col(BUCKET).isin(list(touched)))
-
-
-def insert_if_absent(spark: SparkSession, name: str, rows: DataFrame) -> None:
-    """MNT-1: append the rows whose key is not in the table yet.
-
-    Only the touched buckets are scanned (partition pruning), and only their
-    key column (column pruning).  The probe is a semi join of the table keys
-    against the change-set keys, so the big side is streamed and the change
-    set is the build side; its output is at most the change set.
-    """
-    key, buckets, data_cols, key_type = _key_layout(spark, name)
-    rows = written_once(rows)
-    touched = _touched_buckets(rows, key, buckets, key_type, unique=True)
-    if not touched:
-        return
-    candidate_keys = rows.select(F.col(key).cast(key_type).alias(key))
-    present = _null_safe_semi(_of_buckets(spark, name, touched, buckets).select(key), candidate_keys, key)
-    fresh = rows.join(present, rows[key].cast(key_type).eqNullSafe(present[key]), "left_anti")
-    _with_bucket(fresh, key, buckets, data_cols, key_type).hint("rebalance", BUCKET).write.insertInto(name)
-
-
-def update_by_key(spark: SparkSession, name: str, changes: DataFrame) -> None:
-    """MNT-2: set the change set's non-key columns on the rows with its keys.
-
-    Absent keys change nothing (M15); row count never changes (M14), so no
-    bucket is ever emptied.
-    """
-    key, buckets, data_cols, key_type = _key_layout(spark, name)
-    set_cols = [c for c in changes.columns if c != key]
-    unknown = [c for c in set_cols if c not in data_cols]
-    if unknown:
-        raise ValueError(f"unknown columns in change set: {unknown}")
-    changes = written_once(changes)
-    touched = _touched_buckets(changes, key, buckets, key_type, unique=True)
-    if not touched:
-        return
-    hit = "__hit"
-    upd = changes.select(
-        F.col(key).cast(key_type).alias("__key"),
-        F.lit(True).alias(hit),
-        *[F.col(c).alias(f"__new_{c}") for c in set_cols],
-    )
-    affected = _of_buckets(spark, name, touched, buckets)
-    merged = affected.join(upd, affected[key].eqNullSafe(upd["__key"]), "left")
-    schema = spark.table(name).schema
-    out = []
-    for c in data_cols:
-        if c in set_cols:
-            new = F.col(f"__new_{c}").cast(schema[c].dataType)
-            out.append(F.when(F.col(hit).isNotNull(), new).otherwise(F.col(c)).alias(c))
-        else:
-            out.append(F.col(c))
-    _overwrite_buckets(name, merged.select(*out, F.col(BUCKET)))
-
-
-def delete_by_key(spark: SparkSession, name: str, keys: DataFrame) -> None:
-    """MNT-3: remove the rows whose key is in ``keys`` (null-safe; M13).
-
-    Which touched buckets keep rows is found first, from the key column
-    alone; those are rewritten, the others dropped in one statement.
-    """
-    key, buckets, data_cols, key_type = _key_layout(spark, name)
-    doomed = written_once(keys.select(F.col(key).cast(key_type).alias("__key")).distinct())
-    touched = _touched_buckets(doomed, "__key", buckets, key_type)
-    if not touched:
-        return
-
-    def kept(columns: Sequence[str]) -> DataFrame:
-        affected = _of_buckets(spark, name, touched, buckets)
-        return affected.join(doomed, affected[key].eqNullSafe(doomed["__key"]), "left_anti").select(*columns)
-
-    # at most one small int a bucket reaches the driver
-    filled = {r[BUCKET] for r in kept([key, BUCKET]).groupBy(BUCKET).agg(F.lit(1)).collect()}
-    if filled:
-        _overwrite_buckets(name, kept([*data_cols, BUCKET]))
-    emptied = sorted(set(touched) - filled)
-    if emptied:
-        parts = ", ".join(f"PARTITION ({BUCKET} = {int(b)})" for b in emptied)
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
-
-
-def _overwrite_buckets(name: str, new_rows: DataFrame) -> None:
-    """Replace the buckets that ``new_rows`` has rows of, in one write.
-
-    A dynamic partition overwrite writes to a staging folder beside the table
-    and replaces the partitions only when the job commits.  It may
-    therefore read the table it replaces, and a failed job leaves the old
-    buckets in place.
-    """
-    new_rows.hint("rebalance", BUCKET).write.insertInto(name, overwrite=True)
-
-
-def lookup(spark: SparkSession, name: str, key_value, columns: Sequence[str] | None = None) -> DataFrame:
-    """MNT-4: the row(s) of one key (null-safe); the key's bucket becomes a partition filter."""
-    key, buckets, data_cols, key_type = _key_layout(spark, name)
-    literal = F.lit(key_value).cast(key_type)
-    df = spark.table(name).filter((F.col(BUCKET) == bucket_of(literal, buckets)) & F.col(key).eqNullSafe(literal))
-    return df.select(*(columns or data_cols))
-
-
-def lookup_many(spark: SparkSession, name: str, keys: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """MNT-4 for a key set: a semi join restricted to the keys' buckets."""
-    key, buckets, data_cols, key_type = _key_layout(spark, name)
-    keys = written_once(keys.select(F.col(key).cast(key_type).alias(key)))
-    touched = _touched_buckets(keys, key, buckets, key_type)
-    wanted = keys
-    df = _null_safe_semi(_of_buckets(spark, name, touched, buckets), wanted, key)
-    return df.select(*(columns or data_cols))
-
-
-def projection_view(spark: SparkSession, name: str, view: str, columns: Sequence[str]) -> DataFrame:
-    """MNT-5: a view listing only ``columns`` (e.g. users without passwords)."""
-    spark.table(name).select(*columns).createOrReplaceTempView(view)
-    return spark.table(view)

@@ -173,6 +173,28 @@ ORACLE_SQL: dict[str, str] = {
         "INNER JOIN supplier h ON h.s_suppkey = e.event_id % 25"
     ),
     "refresh_rejects": "SELECT '{\"teams\": [{\"id\": ' || CAST(s_suppkey AS VARCHAR) AS raw FROM supplier",
+    "table_merge": """
+WITH change AS (
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'MERGED' AS c_mktsegment,
+         CASE c_custkey % 5 WHEN 1 THEN 'update' WHEN 2 THEN 'delete' ELSE 'insert' END AS op,
+         CASE c_custkey % 5 WHEN 1 THEN 'updated' WHEN 2 THEN 'deleted' ELSE 'refused' END AS outcome
+  FROM customer WHERE c_custkey % 5 IN (1, 2, 3)
+  UNION ALL
+  SELECT -c_custkey, c_name, c_nationkey, c_acctbal, 'MERGED',
+         CASE c_custkey % 5 WHEN 1 THEN 'upsert' WHEN 2 THEN 'update' WHEN 3 THEN 'delete' ELSE 'insert' END,
+         CASE WHEN c_custkey % 5 IN (1, 2, 3) THEN 'refused' ELSE 'inserted' END
+  FROM customer WHERE c_custkey <> 0
+), after AS (
+  SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal,
+         CASE WHEN c.c_custkey % 5 = 1 THEN 'MERGED' ELSE c.c_mktsegment END AS c_mktsegment
+  FROM customer c WHERE c.c_custkey % 5 <> 2
+  UNION ALL
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM change WHERE outcome = 'inserted'
+)
+SELECT coalesce(a.c_custkey, x.c_custkey) AS c_custkey, a.c_name, a.c_nationkey, a.c_acctbal, a.c_mktsegment, x.op, x.outcome
+FROM after a FULL OUTER JOIN change x ON a.c_custkey = x.c_custkey
+""",
+    "table_growth": "SELECT o_orderkey, o_custkey, o_totalprice, TRUE AS kept_size FROM orders",
     "table_delete_many": "SELECT * FROM supplier WHERE s_suppkey NOT IN (SELECT 2 * o_custkey FROM orders)",
     "table_truncate_reload": "SELECT c_custkey, lower(c_name) AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "accounts_register": (

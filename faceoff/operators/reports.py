@@ -146,12 +146,19 @@ def _two_role_join(
     home_teams_df: DataFrame | None,
     team_id: int | str | None,
     team_key: str,
+    **columns: Column,
 ) -> DataFrame:
-    """games ⋈ teams (away) ⋈ teams (home): one dimension in two roles."""
+    """games ⋈ teams (away) ⋈ teams (home): one dimension in two roles.
+
+    The games' ``columns`` are made distinct first, so of a game that both teams list
+    one row goes through the joins.  Where the dimension is too large to be broadcast, both
+    roles read one exchange of it.
+    """
     tid = parse_team_id(team_id)
-    g = games_df.alias("g")
+    g = games_df
     if tid is not None:
-        g = g.filter((F.col("g.AwayID") == F.lit(tid)) | (F.col("g.HomeID") == F.lit(tid)))
+        g = g.filter((F.col("AwayID") == F.lit(tid)) | (F.col("HomeID") == F.lit(tid)))
+    g = g.select("AwayID", "HomeID", *[c.alias(n) for n, c in columns.items()]).distinct().alias("g")
     a = teams_df.alias("a")
     h = (home_teams_df if home_teams_df is not None else teams_df).alias("h")
     return g.join(a, F.col("g.AwayID") == F.col(f"a.{team_key}"), "inner").join(
@@ -175,7 +182,8 @@ def past_games(
     partial + final ``HashAggregate``, so duplicates collapse before the
     shuffle.
     """
-    joined = _two_role_join(games_df, teams_df, home_teams_df, team_id, team_key)
+    kept = {c: F.col(c) for c in ("Date", "AwayScore", "HomeScore")}
+    joined = _two_role_join(games_df, teams_df, home_teams_df, team_id, team_key, **kept)
     return joined.select(
         F.col("g.Date").alias("Date"),
         F.col(f"a.{team_name}").alias("Away"),
@@ -198,12 +206,13 @@ def next_games(
     clock=utc_clock,
 ) -> DataFrame:
     """Distinct upcoming games with the start time as a clock in ``zone``."""
-    joined = _two_role_join(games_df, teams_df, home_teams_df, team_id, team_key)
+    kept = {"Date": F.col("Date"), "Time": clock(F.col(start_column), zone)}
+    joined = _two_role_join(games_df, teams_df, home_teams_df, team_id, team_key, **kept)
     return joined.select(
         F.col("g.Date").alias("Date"),
         F.col(f"a.{team_name}").alias("Away"),
         F.col(f"h.{team_name}").alias("Home"),
-        clock(F.col(f"g.{start_column}"), zone).alias("Time"),
+        F.col("g.Time").alias("Time"),
     ).distinct()
 
 

@@ -173,6 +173,22 @@ ORACLE_SQL: dict[str, str] = {
         "INNER JOIN supplier h ON h.s_suppkey = e.event_id % 25"
     ),
     "refresh_rejects": "SELECT '{\"teams\": [{\"id\": ' || CAST(s_suppkey AS VARCHAR) AS raw FROM supplier",
+    "refresh_changes": """
+WITH team AS (
+  SELECT CAST(s_suppkey AS INTEGER) AS ID, s_name AS Team, right(s_name, 3) AS ABB,
+         'Nation ' || CAST(s_nationkey AS VARCHAR) AS Location, 'Club ' || CAST(s_suppkey AS VARCHAR) AS Name FROM supplier
+)
+SELECT 'removed' AS change, * FROM team WHERE ID % 7 = 0
+UNION ALL SELECT 'changed', ID, Team || '*', ABB, Location, Name FROM team WHERE ID % 7 = 1
+UNION ALL SELECT 'added', -ID, Team, ABB, Location, Name FROM team WHERE ID % 7 = 2
+""",
+    "partitioned_append": (
+        "SELECT o_orderkey, o_orderstatus, o_orderpriority, o_totalprice, o_custkey % 25 AS o_custkey FROM orders"
+    ),
+    "snapshot_as_of": (
+        "SELECT p_partkey, p_name, r AS read_as FROM part, (VALUES ('begun before'), ('version 1')) v(r) "
+        "UNION ALL SELECT p_partkey, upper(p_name), 'now' FROM part WHERE p_partkey % 3 <> 0"
+    ),
     "table_merge": """
 WITH change AS (
   SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'MERGED' AS c_mktsegment,
@@ -224,3 +240,4 @@ FROM after a FULL OUTER JOIN change x ON a.c_custkey = x.c_custkey
         "INNER JOIN supplier h ON h.s_suppkey = e.event_id % 25"
     ),
 }
+ORACLE_SQL["refresh_not_next"] = f"SELECT *, FALSE AS has_next_games FROM ({ORACLE_SQL['refresh_past_games_report']})"

@@ -13,9 +13,10 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from faceoff import schemas
-from faceoff.operators import tables
+from faceoff.operators import difference, tables
 from faceoff.sources import documents, ingest
 
 # Fixed values that must equal the reference's: the 32 team ids kept in the
@@ -88,6 +89,10 @@ def laid_out(job: str, rows: DataFrame) -> DataFrame:
     return rows.sortWithinPartitions(*LAYOUT[job]) if job in LAYOUT else rows
 
 
+# What names a row in a difference of two refreshes (its rows are compared as a whole).
+KEYS = {"teams": ("ID",), "players": ("ID", "TeamID"), "standings": ("TeamID",), "pastGames": ("GameID",),
+        "nextGames": ("GameID",)}
+
 TRIGGERS = {
     "teams": ("teams",),
     "next game": ("nextGames",),
@@ -150,24 +155,39 @@ def publish(
     on_corrupt: str = "fail",
     fields: Mapping[str, str] | None = None,
     team_ids: Sequence[int] = PARTITIONED_TEAM_IDS,
+    only_changed: bool = False,
 ) -> dict[str, str]:
     """Snapshots of one job from the newest complete generation under ``source``.
 
     Nothing is written while no generation is complete.  With
     ``on_corrupt="keep"`` the malformed documents become the snapshot
     ``<table>__rejected``.
+
+    With ``only_changed`` nothing is written either if the newest generation is the one that is published, or
+    if its rows are: the digests of the new rows' parts, from one more pass, are compared with those kept
+    with the published snapshot.
     """
     path = documents.newest_generation(spark, source)
     if path is None:
         return {}
     spec, prefix = JOBS[job], f"{database}." if database else ""
     rows = flatten_documents(spark, job, path, multi_line, on_corrupt, fields)
-    written = {}
+    written, properties, unchanged = {}, {"generation": path}, False
+    if only_changed:
+        current = tables.snapshot_versions(spark, prefix + spec.table)[-1:]
+        known = tables.snapshot_property(spark, current[0], "generation") if current else None
+        if known == path and path.rstrip("/") != source.rstrip("/"):
+            return {}  # a complete generation does not change
+        digests = difference.part_digests(rows, KEYS[job])
+        properties["digests"] = difference.to_text(digests)
+        unchanged = bool(current) and tables.snapshot_property(spark, current[0], "digests") == properties["digests"]
     if on_corrupt == "keep":
         name = f"{spec.table}__rejected"
         bad = rejected_documents(spark, job, path, multi_line, fields)
         written[name] = tables.replace_snapshot(spark, prefix + name, bad)
-    written[job] = tables.replace_snapshot(spark, prefix + spec.table, laid_out(job, rows))
+    if unchanged:
+        return written
+    written[job] = tables.replace_snapshot(spark, prefix + spec.table, laid_out(job, rows), properties=properties)
     if job == "players":
         # The partitioned copy is replaced whole, like the flat table.
         parti_rows = tables.for_partitioned_write(
@@ -188,6 +208,7 @@ def refresh(
     on_corrupt: str = "fail",
     fields: Mapping[str, str] | None = None,
     team_ids: Sequence[int] = PARTITIONED_TEAM_IDS,
+    only_changed: bool = False,
 ) -> dict[str, str]:
     """Run the ingest jobs of ``trigger``; returns table → snapshot written.
 
@@ -202,5 +223,25 @@ def refresh(
         document = JOBS[job].document
         if document not in sources:
             raise ValueError(f"no source given for document {document!r} (job {job})")
-        written |= publish(spark, job, sources[document], database, multi_line, on_corrupt, fields, team_ids)
+        written |= publish(spark, job, sources[document], database, multi_line, on_corrupt, fields, team_ids, only_changed)
     return written
+
+
+def refresh_changes(spark: SparkSession, job: str, database: str | None = None) -> DataFrame:
+    """The rows that the last refresh of a job added, changed or removed (``change`` and the table's columns).
+
+    Compares the published snapshot with the one before it, in the parts whose digests differ; digests that
+    were kept with the snapshots are not taken again.
+    """
+    name = (f"{database}." if database else "") + JOBS[job].table
+    versions = tables.snapshot_versions(spark, name)
+    if not versions:
+        raise ValueError(f"{name} was never refreshed")
+    after = spark.table(versions[-1])
+    if len(versions) == 1:
+        return after.select(F.lit("added").alias("change"), "*")
+    before, kept = spark.table(versions[-2]), []
+    for version, rows in ((versions[-2], before), (versions[-1], after)):
+        text = tables.snapshot_property(spark, version, "digests")
+        kept.append(difference.part_digests(rows, KEYS[job]) if text is None else difference.from_text(text))
+    return difference.changes(before, after, KEYS[job], difference.differing(*kept))

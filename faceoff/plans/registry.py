@@ -26,6 +26,7 @@ from faceoff.operators.ranking import global_row_number
 from faceoff.plans import accounts as Acc
 from faceoff.plans import analogs as A
 from faceoff.plans.refresh import PARTITIONED_TEAM_IDS, refresh
+from faceoff.plans.refresh import refresh_changes as changes_of_refresh
 from faceoff.session import scratch_dir
 from faceoff.sources import delimited as Dl
 from faceoff.sources import documents as D
@@ -221,6 +222,28 @@ def partitioned_insert_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.rename(back, A.inverse(A.ORDERS_AS_ROSTER))
 
 
+@register("partitioned_append", extra=True)
+def partitioned_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-4 adding rows: two batches go to the same partitions, and the first is run again."""
+    name = f"{T.create_database(spark)}.rosters"
+    rows = A.orders_roster(spark, sf_dir).withColumn("TeamID", F.pmod("TeamID", F.lit(25)))
+    halves = {str(k): rows.filter(F.pmod(F.col("ID"), F.lit(2)) == k) for k in (0, 1)}
+    for batch in ("0", "1", "0"):
+        T.append_partitioned(spark, halves[batch], name, "TeamID", batch, sort_by=["Position"])
+    return A.rename(T.read_partitions(spark, name, "TeamID"), A.inverse(A.ORDERS_AS_ROSTER))
+
+
+@register("snapshot_as_of", extra=True)
+def snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-2: the first snapshot by a reader that began before the switch and by its number, beside the second."""
+    name, part = f"{T.create_database(spark)}.parts", A.table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    T.replace_snapshot(spark, name, part)
+    began = spark.table(name).withColumn("read_as", F.lit("begun before"))
+    T.replace_snapshot(spark, name, part.filter("p_partkey % 3 <> 0").withColumn("p_name", F.upper("p_name")))
+    numbered = T.snapshot_as_of(spark, name, version=1).withColumn("read_as", F.lit("version 1"))
+    return began.union(numbered).union(spark.table(name).withColumn("read_as", F.lit("now")))
+
+
 # ------------------------------------------------------------ keyed tables
 
 
@@ -534,6 +557,37 @@ def refresh_all_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return past.unionByName(upcoming, allowMissingColumns=True)
 
 
+@register("refresh_changes", extra=True)
+def refresh_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """§2.4 by difference: four generations of teams documents, two of them repeats, which write nothing; what the last change was."""
+    db, folder = T.create_database(spark), scratch_dir(spark, "landing")
+    old = A.supplier_teams_documents(spark, sf_dir)
+    seventh = lambda t: t["id"] % 7
+    renamed = lambda t: F.when(seventh(t) == 1, t.withField("name", F.concat(t["name"], F.lit("*")))).otherwise(t)
+    stayed = old.select(F.transform(F.filter("teams", lambda t: seventh(t) != 0), renamed).alias("teams"))
+    joined = old.select(F.transform(F.filter("teams", lambda t: seventh(t) == 2), lambda t: t.withField("id", -t["id"])).alias("teams"))
+    for k, docs in enumerate([old, old, stayed.union(joined), joined.union(stayed)], 1):
+        docs.write.json(f"{folder}/generation={k}")
+        D.mark_complete(spark, f"{folder}/generation={k}")
+        refresh(spark, "teams", {"teams": folder}, database=db, multi_line=False, only_changed=True)
+    return changes_of_refresh(spark, "teams", db)
+
+
+@register("refresh_not_next", extra=True)
+def refresh_not_next(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """§2.4, trigger ``notNext``: every table but the upcoming games, of which there is no document; then the past games."""
+    db = T.create_database(spark)
+    sources = {
+        "teams": _landing(spark, A.supplier_teams_documents(spark, sf_dir)),
+        "roster": _landing(spark, A.orders_roster_documents(spark, sf_dir)),
+        "stats": _landing(spark, A.supplier_stats_text(spark, sf_dir), text=True),
+        "schedule_previous": _landing(spark, A.orders_schedule(spark, sf_dir)),
+    }
+    refresh(spark, "notNext", sources, database=db, multi_line=False)
+    past = R.past_games(spark.table(f"{db}.pastGames"), spark.table(f"{db}.teams"))
+    return past.withColumn("has_next_games", F.lit(T.table_exists(spark, f"{db}.nextGames")))
+
+
 @register("refresh_rejects", extra=True)
 def refresh_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents cut off in the middle, one a supplier, among whole ones: all are listed with their text."""

@@ -47,6 +47,7 @@ def refresh_on_arrival(
 ) -> list[StreamingQuery]:
     """Start one streaming refresh per job of ``trigger``; returns the queries.
 
+    A micro-batch that brings no newer complete generation, or one with the published rows, writes nothing.
     With ``on_corrupt="fail"`` a malformed document fails its micro-batch (the
     snapshot is not replaced and the query stops at that batch); ``"keep"``
     publishes what parsed and lists the rest in ``<table>__rejected``.
@@ -61,7 +62,7 @@ def refresh_on_arrival(
             raise ValueError(f"no landing folder for document {document!r} (job {job})")
 
         def apply(batch: DataFrame, epoch_id: int, job=job, folder=landing[document]) -> None:
-            publish(spark, job, folder, database, multi_line, on_corrupt, fields, team_ids)
+            publish(spark, job, folder, database, multi_line, on_corrupt, fields, team_ids, only_changed=True)
 
         writer = (
             _arrivals(spark, landing[document])

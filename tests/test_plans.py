@@ -47,7 +47,7 @@ def test_no_dimension_is_cut(spark):
 
 def test_games_distinct_is_two_phase(spark):
     p = plan(E.queries()["past_games_all"](spark, SF_SMALL))
-    assert p.count("HashAggregate") == 2  # partial before the shuffle, final after
+    assert p.count("HashAggregate") == 4  # before the joins and after them: partial before the shuffle, final after
     assert p.count("BroadcastHashJoin") == 2
 
 

@@ -118,7 +118,8 @@ def test_snapshot_replace_switches_view(spark, db):
     reader = spark.table(name)
     v2 = T.replace_snapshot(spark, name, spark.createDataFrame([(2, "B", "b", "x", "y"), (3, "C", "c", "x", "y")], schemas.TEAMS))
     assert v1.startswith(f"{name}__v1_") and v2.startswith(f"{name}__v2_")
-    assert T.snapshot_versions(spark, name) == [v2]
+    assert T.snapshot_versions(spark, name) == [v1, v2]
+    assert reader.count() == 1  # opened before the switch
     assert spark.table(name).count() == 2
     # a rewrite that reads the current snapshot is allowed (new version, then switch)
     T.replace_snapshot(spark, name, spark.table(name).filter("ID = 3"))
@@ -223,3 +224,36 @@ def test_delete_and_update_read_the_table_they_change(spark, db):
     assert _all(spark, name) == sorted((r for r in rows if r[3] == "pst"), key=str)
     T.update_by_key(spark, name, spark.table(name).select("Username", F.lit("cst").alias("Timezone")))
     assert {r[3] for r in _all(spark, name)} == {"cst"} and spark.table(name).count() == 25
+
+
+def test_superseded_snapshots_stay_for_a_while(spark, db):
+    name, one = f"{db}.n", lambda k: spark.createDataFrame([(k,)], "k int")
+    versions = [T.replace_snapshot(spark, name, one(k)) for k in range(1, 4)]
+    assert T.snapshot_versions(spark, name) == versions[1:]
+    assert T.snapshot_as_of(spark, name, version=2).first()[0] == 2 and spark.table(name).first()[0] == 3
+    with pytest.raises(ValueError, match="kept are \\[2, 3\\]"):
+        T.snapshot_as_of(spark, name, version=1)
+    third = float(T.snapshot_property(spark, versions[2], "written"))
+    assert T.snapshot_as_of(spark, name, at=third - 0.001).first()[0] == 2
+    assert T.snapshot_as_of(spark, name, at=third + 60).first()[0] == 3
+    with pytest.raises(ValueError):
+        T.snapshot_as_of(spark, name, at=1.0)
+    T.replace_snapshot(spark, name, one(4), keep=0, keep_seconds=3600)
+    assert len(T.snapshot_versions(spark, name)) == 3  # superseded less than an hour ago
+    T.replace_snapshot(spark, name, one(5), keep=0)
+    assert len(T.snapshot_versions(spark, name)) == 1 and spark.table(name).first()[0] == 5
+
+
+def test_appends_add_and_repeats_do_not(spark, db):
+    name, schema = f"{db}.adding", "v int, team int"
+    first, second = ([(1, 7), (2, 8)], [(3, 7), (3, 7)])
+    for rows, batch in ((first, "a"), (second, "b"), (first, "a"), (second, "b"), ([], "c")):
+        T.append_partitioned(spark, spark.createDataFrame(rows, schema), name, "team", batch)
+    got = sorted(tuple(r) for r in T.read_partitions(spark, name, "team").collect())
+    assert got == sorted(first + second) and T.batches(spark, name) == ["a", "b"]
+    assert sorted(tuple(r) for r in T.read_partitions(spark, name, "team", [7]).collect()) == [(1, 7), (3, 7), (3, 7)]
+    with pytest.raises(ValueError):
+        T.append_partitioned(spark, spark.createDataFrame(first, schema), name, "team", "")
+    T.insert_partitioned(spark, spark.createDataFrame(first, schema), f"{db}.whole", "team")
+    with pytest.raises(ValueError, match="no batch ids"):
+        T.append_partitioned(spark, spark.createDataFrame(first, schema), f"{db}.whole", "team", "a")

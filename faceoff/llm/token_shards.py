@@ -19,7 +19,7 @@ little-endian.  Spark's text writer commits the files, so any file system that
 Spark writes to will do, and a lost task leaves nothing half-written.
 
 Defined results: null and empty texts give no sequence; a null id is written as
-the least long, ids that are no whole numbers by their hash; repeated rows are
+the least long (and that id reads back as null), a vocabulary of more than 65,535 ids is refused, ids that are no whole numbers by their hash; repeated rows are
 documents of their own; an empty table writes no shards; extra columns are not read.
 """
 
@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 SEQUENCE_TOKENS = 256
 SHARD_SEQUENCES = 8192
+TASK_SHARDS = 4  # neighbouring shards that one task writes
 ROUNDS = 6
 NO_ID = -(1 << 63)
 CACHE_WORDS = 1_000_000
@@ -88,8 +89,30 @@ class Encoder:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.end = len(ranks)  # the first free id
+        if self.end > 0xFFFF:
+            raise ValueError(f"ids take two bytes; the vocabulary has {self.end}")
         self.library = tiktoken.Encoding("shards", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.words: dict[str, bytes] = {}
+        self.sizes: dict[str, int] = {}
+
+    def count(self, text: str) -> int:
+        """The number of ids of a text, without making them where its words' numbers are known."""
+        head, *words = text.split(" ")
+        known = self.sizes
+        found = list(map(known.get, words))
+        if None in found:
+            for k in [k for k, n in enumerate(found) if n is None]:
+                word = words[k]
+                if not word or word[0].isspace() or word[-1].isspace():
+                    return len(self.library.encode_ordinary(text))
+                found[k] = len(self.library.encode_ordinary(" " + word))
+                if len(word) <= LONGEST_CACHED:
+                    if len(known) >= CACHE_WORDS:
+                        known.clear()
+                    known[word] = found[k]
+        if head and head[-1].isspace():
+            return len(self.library.encode_ordinary(text))
+        return len(self.library.encode_ordinary(head)) + sum(found)
 
     def _ids(self, text: str) -> bytes:
         ids = array("H", self.library.encode_ordinary(text))
@@ -150,16 +173,21 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, pattern: str, key:
     own = F.col(id_col).cast("long") if whole else F.when(F.col(id_col).isNotNull(), F.xxhash64(id_col))
     rows = docs.select(F.coalesce(own, F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
-    def tokenised(batches: Iterator[pa.RecordBatch], count: list) -> Iterator[tuple]:
-        """(id, its ids in parts) of the documents that have a text; counts into ``count``."""
-        coder = encoder(tokenizer, pattern)
+    def texts(batches: Iterator[pa.RecordBatch], count: list) -> Iterator[tuple]:
+        """(id, text) of the documents that have a text; their digest goes to ``count``."""
         for batch in batches:
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if text:
-                    parts = coder.parts(text)
-                    count[0] += _n_sequences(sum(map(len, parts)) // 2, length)
                     count[1] = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), count[1]) >> 1
-                    yield name, parts
+                    yield name, text
+
+    def tokenised(batches: Iterator[pa.RecordBatch], count: list) -> Iterator[tuple]:
+        """(id, its ids in parts) of the documents that have a text; counts into ``count``."""
+        coder = encoder(tokenizer, pattern)
+        for name, text in texts(batches, count):
+            parts = coder.parts(text)
+            count[0] += _n_sequences(sum(map(len, parts)) // 2, length)
+            yield name, parts
 
     def partition() -> int:
         from pyspark import TaskContext
@@ -167,9 +195,9 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, pattern: str, key:
         return TaskContext.get().partitionId()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = [0, 0]
-        for _ in tokenised(batches, count):
-            pass
+        count, coder = [0, 0], encoder(tokenizer, pattern)
+        for _, text in texts(batches, count):
+            count[0] += _n_sequences(coder.count(text), length)
         yield pa.RecordBatch.from_pydict({"part": [partition()], "n": [count[0]], "digest": [count[1]]})
 
     counts = sorted(rows.mapInArrow(counted, "part long, n long, digest long").collect())
@@ -206,9 +234,12 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, pattern: str, key:
         if tuple(count) != (n, digest):
             raise RuntimeError("the second pass saw another partition than the first; write the input to files first")
 
+    # slots are spread evenly over known shards: their ranges need no sample of the rows
+    shards = -(-total // shard_sequences)
+    tasks = -(-shards // TASK_SHARDS)
     (
         rows.mapInArrow(placed, "shard long, slot long, record binary")
-        .repartition("shard")
+        .repartitionById(tasks, F.floor(F.col("shard") * tasks / shards).cast("int"))
         .sortWithinPartitions("shard", "slot")
         .select("shard", F.col("record").cast("string").alias("record"))
         .write.partitionBy("shard").option("lineSep", "\n").text(path)
@@ -236,11 +267,13 @@ def read_shards(spark: SparkSession, path: str, length: int = SEQUENCE_TOKENS, s
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                head, ids = parse(content.as_buffer(), length)
-                at = np.flatnonzero(head["slot"] >= from_slot)
+                # a shard holds every slot of its range, so the first wanted record's place is known
+                skip = max(0, from_slot - shard * shard_sequences)
+                head, ids = parse(content.as_buffer()[skip * stride(length):], length)
+                at = np.arange(len(head))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(head["slot"][at].astype(np.int64)), pa.array(np.full(len(at), shard, np.int64)),
-                     pa.array(at.astype(np.int64)), pa.array(head["id"][at].astype(np.int64), mask=head["id"][at] == NO_ID),
+                     pa.array(at + skip), pa.array(head["id"][at].astype(np.int64), mask=head["id"][at] == NO_ID),
                      pa.array(head["sequence"][at].astype(np.int32)), pa.array(head["n_tokens"][at].astype(np.int32)),
                      pa.array([x.tobytes() for x in ids[at]], pa.binary())],
                     names=["slot", "shard", "position", "id", "sequence", "n_tokens", "ids"],

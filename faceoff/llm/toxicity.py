@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faceoff.llm.common import sample_labelled
+from faceoff.llm.common import sample_labelled, written
 
 MAX_FIT_ROWS = 20_000
 WORD_ENTRIES = 20_000
@@ -261,7 +261,7 @@ class Scorer:
         self.theta = np.array([0.0, 0.0, 0.0])
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("restorer", "known", "bad", "single")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("restorer", "known", "bad", "heads", "single")}
 
     def _of(self, word: str) -> float:
         return max((self.evidence.get(m, 0.0) for m in marks_of(word)), default=0.0)
@@ -277,17 +277,15 @@ class Scorer:
     def _together(self, words: list[str]) -> list[float]:
         """Evidence of two or three neighbours that are a bad word together."""
         cores, found = [w.strip(_EDGES) for w in words], []
-        joined = cores
-        for n in (2, 3):
-            joined = list(map(str.__add__, joined, cores[n - 1 :]))
-            if not self.bad.isdisjoint(joined):
-                for k, word in enumerate(joined):
-                    parts = cores[k : k + n]
-                    if word in self.bad and all(parts) and not any(p in self.bad for p in parts):
-                        gap = [[("", 0.0), (" ", 0.0)]]
-                        steps = [step for p in parts for step in [*gap, *([(c, 0.0)] for c in p)]][1:]
-                        if decode(steps, self.letters) == word:
-                            found.append(self._of(word))
+        for k in [k for k, core in enumerate(cores) if core in self.heads]:
+            for n in (2, 3):
+                parts = cores[k : k + n]
+                word = "".join(parts)
+                if len(parts) == n and word in self.bad and all(parts) and not any(p in self.bad for p in parts):
+                    gap = [[("", 0.0), (" ", 0.0)]]
+                    steps = [step for p in parts for step in [*gap, *([(c, 0.0)] for c in p)]][1:]
+                    if decode(steps, self.letters) == word:
+                        found.append(self._of(word))
         return found
 
     def measure(self, text: str | None) -> tuple[float, float]:
@@ -295,6 +293,7 @@ class Scorer:
         if not hasattr(self, "known"):
             self.restorer, self.known = Restorer(self.letters), {}
             self.bad = {m[1:] for m, share in self.evidence.items() if m[0] == "=" and share > 0.5}
+            self.heads = {w[:n] for w in self.bad for n in range(1, len(w))}
             self.single = {_DOUBLE.sub(r"\1", w) for w in self.bad}
         words = (text or "").lower().split()
         values, known = list(map(self.known.get, words)), self.known
@@ -326,7 +325,8 @@ def fit(docs: DataFrame, labels: DataFrame, letters: Letters, id_col: str = "doc
         label_col: str = "toxic", max_rows: int = MAX_FIT_ROWS) -> Scorer:
     """The scorer of at most ``max_rows`` labelled rows outside the held-out fold."""
     spark = docs.sparkSession
-    sample = sample_labelled(docs, labels, label_col, max_rows, id_col, text_col)
+    # read three times: written once, as finding its rows takes a pass over the documents
+    sample = written(sample_labelled(docs, labels, label_col, max_rows, id_col, text_col), "toxic-sample")
     shared = spark.sparkContext.broadcast(letters)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,8 +4,8 @@ The reference's registration and admin screens, re-aimed as set-based jobs
 over DataFrames of requests: usernames are normalised (lower-case, no
 whitespace — M17), user types and zones are checked against their domains,
 passwords may not contain the delimiter (FN-12).  Checks are expressions in
-the plan (``raise_error``), so a bad request fails the job instead of being
-collected and inspected on the driver.  Authentication itself is not built.
+the plan: a bad request fails the job (``raise_error``) or is refused with its
+reason, and none is collected and inspected on the driver.  Authentication itself is not built.
 """
 
 from __future__ import annotations
@@ -44,21 +44,44 @@ def ensure_users_table(spark: SparkSession, name: str, buckets: int = tables.DEF
         tables.create_keyed_table(spark, name, schemas.USERS, KEY, buckets=buckets)
 
 
-def register(spark: SparkSession, name: str, requests: DataFrame, order_by: str | None = None) -> DataFrame:
+def _fault() -> Column:
+    """What is wrong with a request on its own, or NULL."""
+    known = lambda c, domain: F.coalesce(F.lower(F.trim(c)).isin(list(domain)), F.lit(False))
+    return (
+        F.when(~F.coalesce(F.length(normalize_key(F.col("Username"))) > 0, F.lit(False)), "empty username")
+        .when(F.contains("Password", F.lit(",")), "separator in password")
+        .when(~known(F.col("UserType"), USER_TYPES), "unknown user type")
+        .when(~known(F.col("Timezone"), ZONES), "unknown zone")
+    )
+
+
+def register(spark: SparkSession, name: str, requests: DataFrame, order_by: str | None = None,
+             on_invalid: str = "fail") -> DataFrame:
     """Add accounts whose normalised username is not taken yet (MNT-1).
 
     ``requests`` has the users columns.  Of requests for one name the first
     by ``order_by`` counts (ties, or without it: by position in ``requests``).
     Returns the refused requests, without passwords: (Username, UserType,
     Timezone, reason), the reason being ``taken`` (the table had the name) or
-    ``repeated`` (an earlier request has it).
+    ``repeated`` (an earlier request has it).  A request that is wrong on its own fails the job, or with
+    ``on_invalid="refuse"`` is refused like the others, with its fault as the reason (as the screens refuse
+    one request and go on); it takes no name.
     """
+    if on_invalid not in ("fail", "refuse"):
+        raise ValueError("on_invalid must be 'fail' or 'refuse'")
     ensure_users_table(spark, name)
+    values = {
+        "Username": _username(F.col("Username")),
+        "Password": without_separator(F.col("Password"), ",", what="password"),
+        "UserType": _one_of(F.col("UserType"), USER_TYPES, "user type"),
+        "Timezone": _one_of(F.col("Timezone"), ZONES, "zone"),
+    }
+    fault = _fault() if on_invalid == "refuse" else F.lit(None).cast("string")
+    if on_invalid == "refuse":  # a faulty request stays as it was asked
+        values = {c: F.when(fault.isNull(), v).otherwise(F.col(c)) for c, v in values.items()}
     rows = requests.select(
-        _username(F.col("Username")).alias("Username"),
-        without_separator(F.col("Password"), ",", what="password").alias("Password"),
-        _one_of(F.col("UserType"), USER_TYPES, "user type").alias("UserType"),
-        _one_of(F.col("Timezone"), ZONES, "zone").alias("Timezone"),
+        *[v.alias(c) for c, v in values.items()],
+        fault.alias("__fault"),
         F.struct(
             (F.col(order_by) if order_by else F.lit(0)).alias("by"), F.monotonically_increasing_id().alias("row")
         ).alias("__turn"),
@@ -66,11 +89,12 @@ def register(spark: SparkSession, name: str, requests: DataFrame, order_by: str
     # positions are only the same in every pass if they are written down
     rows = tables.written_once(rows)
     # combined before the shuffle, however often one name is asked for
-    first = rows.groupBy("Username").agg(F.min("__turn").alias("__first"))
+    first = rows.filter("__fault IS NULL").groupBy("Username").agg(F.min("__turn").alias("__first"))
     taken = tables.lookup_many(spark, name, first.select("Username"), ["Username"]).withColumn("__taken", F.lit(True))
     judged = (
-        rows.join(first.join(taken, "Username", "left"), "Username")
-        .withColumn("reason", F.when(F.col("__taken"), "taken").when(F.col("__turn") != F.col("__first"), "repeated"))
+        rows.join(first.join(taken, "Username", "left"), "Username", "left")
+        .withColumn("reason", F.when(F.col("__fault").isNotNull(), F.col("__fault")).when(F.col("__taken"), "taken")
+                    .when(F.col("__turn") != F.col("__first"), "repeated"))
         .select("Username", "Password", "UserType", "Timezone", "reason")
     )
     judged = tables.written_once(judged)  # before the table changes

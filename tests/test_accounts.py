@@ -41,3 +41,16 @@ def test_no_requests(spark, db):
 def test_bad_requests_fail(spark, db, row):
     with pytest.raises(Exception):
         U.register(spark, f"{db}.users", spark.createDataFrame([row], REQ))
+
+
+def test_one_bad_request_among_many_is_refused(spark, db):
+    name = f"{db}.users"
+    rows = [("carl", "a,b", "basic", "est"), ("carl", "pw", "basic", "est"), ("dee", "pw", "root", "est"), ("eve", "pw", "Admin", "utc"),
+            ("  ", "pw", "basic", "est"), (None, "pw", "basic", "est"), ("F ay", None, " BASIC ", "Mst"), ("gus", "pw", None, "est")]
+    refused = U.register(spark, name, spark.createDataFrame(rows, REQ), on_invalid="refuse")
+    assert sorted((r["Username"] or "", r["reason"]) for r in refused.collect()) == [
+        ("", "empty username"), ("  ", "empty username"), ("carl", "separator in password"), ("dee", "unknown user type"),
+        ("eve", "unknown zone"), ("gus", "unknown user type")]
+    assert sorted(tuple(r) for r in U.list_users(spark, name).collect()) == [("carl", "basic", "est"), ("fay", "basic", "mst")]
+    with pytest.raises(ValueError):
+        U.register(spark, name, spark.createDataFrame(rows, REQ), on_invalid="ignore")

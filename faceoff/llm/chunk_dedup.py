@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faceoff.llm.common import written
+from faceoff.llm.common import fresh, written
 
 # A cut is the least hash of REACH bytes among STRETCH places: every 27 bytes on average.
 REACH, STRETCH = 48, 54
@@ -261,14 +261,21 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
     """``docs`` with copied passages cut out of the text.
 
     With ``report``, three more columns: ``removed_bytes``, ``removed_words``
-    and ``first_keys``, the sorted keys of the documents that keep the passages.
+    and ``first_keys``, the sorted keys of the documents that keep the passages (they take
+    the place of columns of those names).
     """
+    told_fields = T._parse_datatype_string("removed_bytes long, removed_words long, first_keys array<long>").fields
+    if report:
+        docs = docs.drop(*(f.name for f in told_fields))
+    own, asker, mine_col, others_col, keepers_col = (
+        fresh(docs.columns, c) for c in ("own_key", "asker_key", "wanted_digests", "foreign_digests", "keeper_texts")
+    )
     copied = written(copied_chunks(docs, id_col, text_col), "dedup-copied")
-    wanted = copied.groupBy(F.col("first_key").alias("__key"), "key").agg(F.collect_list("digest").alias("__wanted"))
-    foreign = copied.groupBy(F.col("key").alias("__key")).agg(F.collect_list("digest").alias("__foreign"))
-    keyed = docs.withColumn("__key", _key(id_col, text_col, docs))
+    wanted = copied.groupBy(F.col("first_key").alias(own), F.col("key").alias(asker)).agg(F.collect_list("digest").alias(mine_col))
+    foreign = copied.groupBy(F.col("key").alias(own)).agg(F.collect_list("digest").alias(others_col))
+    keyed = docs.withColumn(own, _key(id_col, text_col, docs))
     # all columns go along, so that both joins read one exchange of the documents
-    asked = keyed.join(wanted, "__key").join(foreign, "__key", "left").select(*docs.columns, "__key", "key", "__wanted", "__foreign")
+    asked = keyed.join(wanted, own).join(foreign, own, "left").select(*docs.columns, own, asker, mine_col, others_col)
     text_at = docs.columns.index(text_col)
 
     def reachable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,23 +286,23 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
                     for column, value in zip(found, (key, first_key, kept)):
                         column.append(value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.binary()))], names=["__key", "first_key", "kept"]
+                [pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.binary()))], names=[own, "first_key", "kept"]
             )
 
     per_doc = (
-        asked.mapInArrow(reachable, "__key long, first_key long, kept binary")
-        .groupBy("__key").agg(F.collect_set(F.struct("first_key", "kept")).alias("__keepers"))
+        asked.mapInArrow(reachable, f"{own} long, first_key long, kept binary")
+        .groupBy(own).agg(F.collect_set(F.struct("first_key", "kept")).alias(keepers_col))
     )
-    keyed = keyed.join(per_doc, "__key", "left")
+    keyed = keyed.join(per_doc, own, "left")
     n_old = len(docs.columns)
     fields = [T.StructField(f.name, f.dataType, True) for f in docs.schema]
     if report:
-        fields += T._parse_datatype_string("removed_bytes long, removed_words long, first_keys array<long>").fields
+        fields += told_fields
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             texts, told = rows.column(text_at).to_pylist(), ([], [], [])
-            keepers = rows.column(rows.schema.get_field_index("__keepers"))
+            keepers = rows.column(rows.schema.get_field_index(keepers_col))
             for k in range(rows.num_rows):
                 spans, keys, data = [], [], b""
                 if texts[k] and keepers[k].is_valid:
@@ -317,4 +324,4 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
             more = [pa.array(x, t) for x, t in zip(told, (pa.int64(), pa.int64(), pa.list_(pa.int64())))] if report else []
             yield pa.RecordBatch.from_arrays(columns + more, names=[f.name for f in fields])
 
-    return keyed.select(*docs.columns, "__key", "__keepers").mapInArrow(cut_out, T.StructType(fields))
+    return keyed.select(*docs.columns, own, keepers_col).mapInArrow(cut_out, T.StructType(fields))

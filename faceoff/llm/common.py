@@ -48,6 +48,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(taken: list[str], name: str) -> str:
+    """``name``, or one like it that is no column of ``taken``."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = "_" + name
+    return name
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """True for the rows whose labels must not be learned (null ids: held out)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == 0, F.lit(True))
@@ -59,8 +66,9 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label_col: str, max_rows
 
     The rows with the smallest hash of their id are taken, so the sample is the
     same in every run.  Its ids are at most ``max_rows`` longs, which bounds
-    what the join broadcasts.  Rows whose label is null or not 0/1 and rows of
-    ids labelled twice in contradiction take no part.
+    what the join broadcasts; of documents that share an id the text with the least hash
+    is taken, reduced before the shuffle, which bounds the rows.  Rows whose label is null or not 0/1
+    and rows of ids labelled twice in contradiction take no part.
     """
     ids = (
         labels.filter(F.col(label_col).isin(0, 1) & ~held_out(id_col))
@@ -72,4 +80,5 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label_col: str, max_rows
         .select("_id", F.col("label").cast("int").alias("label"))
     )
     pairs = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return pairs.join(F.broadcast(ids), "_id").select("text", "label")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    return pairs.join(F.broadcast(ids), "_id").groupBy("_id", "label").agg(one).select("one.text", "label")

@@ -31,6 +31,18 @@ WITH doc AS (
   FROM (SELECT doc_id, w, size, unnest(range(1, greatest(1, len(w) - size + 2))) AS i FROM doc, (SELECT DISTINCT size FROM win))
 ), hit AS (
   SELECT DISTINCT place.doc_id, place.i, place.size, win.item_id FROM place JOIN win ON place.size = win.size AND place.s = win.s
+), span AS (
+  SELECT row, i, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS s
+  FROM (SELECT row, w, least(len(w), 13) AS size, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i
+        FROM (SELECT row_number() OVER () AS row, w FROM item WHERE len(w) > 0))
+), along AS (
+  SELECT place.doc_id, span.row, place.size, place.i, place.i - span.i AS shift,
+         place.i - row_number() OVER (PARTITION BY place.doc_id, span.row, place.i - span.i ORDER BY place.i) AS run
+  FROM place JOIN span ON place.size = span.size AND place.s = span.s
+), verbatim AS (
+  SELECT doc_id, max(n) AS longest_words, min(b) FILTER (WHERE n = most) AS longest_at
+  FROM (SELECT *, max(n) OVER (PARTITION BY doc_id) AS most FROM (
+    SELECT doc_id, min(i) - 1 AS b, any_value(size) + count(*) - 1 AS n FROM along GROUP BY doc_id, row, shift, run)) GROUP BY doc_id
 ), covered AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS p FROM hit) GROUP BY doc_id
 ), items AS (
@@ -38,8 +50,9 @@ WITH doc AS (
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+       CAST(coalesce(longest_words, 0) AS BIGINT) AS longest_words, CAST(longest_at AS BIGINT) AS longest_at
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN verbatim USING (doc_id)
 """.replace(
     "lower_az(coalesce(text, ''))",
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')",

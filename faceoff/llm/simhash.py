@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faceoff.llm.common import written
+from faceoff.llm.common import fresh, written
 from faceoff.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -201,13 +201,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of that id the one with the smallest hash of its text (null ids: one
     row of a component in which no row has an id)."""
     found = near_duplicates(docs, id_col, text_col, shingle_words, max_distance)
+    kept_id, kept_key, text_key = (fresh(docs.columns, c) for c in ("kept_id", "kept_key", "text_key"))
     kept = (
         found.filter(F.col(id_col).eqNullSafe(F.col("component_id")))
-        .groupBy("root", F.col(id_col).alias("__kept_id"))
-        .agg(F.min("text_key").alias("__kept_key"))
+        .groupBy("root", F.col(id_col).alias(kept_id))
+        .agg(F.min("text_key").alias(kept_key))
         .drop("root")
     )
     # rows repeated with id and text are one: combined before the shuffle, however many
-    once = docs.withColumn("__text_key", F.xxhash64(text_col)).dropDuplicates([id_col, "__text_key"])
-    same = F.col(id_col).eqNullSafe(F.col("__kept_id")) & (F.col("__text_key") == F.col("__kept_key"))
+    once = docs.withColumn(text_key, F.xxhash64(text_col)).dropDuplicates([id_col, text_key])
+    same = F.col(id_col).eqNullSafe(F.col(kept_id)) & (F.col(text_key) == F.col(kept_key))
     return once.join(kept, same, "left_semi").select(*docs.columns)

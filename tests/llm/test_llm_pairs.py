@@ -1,11 +1,13 @@
 """SimHash, decontamination and substring dedup against brute force."""
 
 import random
+import time
 from itertools import combinations
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from faceoff.llm import chunk_dedup, decontaminate, simhash
 from faceoff.llm.common import table
@@ -119,6 +121,16 @@ def test_components_of_odd_rows(odd):
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_clashing_column_names(odd):
+    names = ["key", "own_key", "__key", "text_key", "__text_key", "kept_id", "first_keys", "scan_hit", "_item"]
+    docs = odd.select("doc_id", "text", *(F.lit(n).alias(n) for n in names))
+    bench = odd.sparkSession.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
+    for found in (simhash.keep_one(docs), chunk_dedup.dedup(docs), decontaminate.remove_contaminated(docs, bench)):
+        assert found.columns == docs.columns
+        assert {tuple(r)[2:] for r in found.collect()} == {tuple(names)}
+    assert chunk_dedup.dedup(docs, report=True).count() == len(ODD_ROWS)
+
+
 def test_one_of_each_group_stays(odd):
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns
@@ -185,9 +197,50 @@ def test_longest_matches(spark):
         "doc_id long, text string",
     )
     bench = spark.createDataFrame([(9, " ".join(words)), (8, "none of it")], "item_id long, text string")
-    found = {r["item_start"]: (r["length"], r["match_id"], r["match_start"]) for r in decontaminate.longest_matches(docs, bench).collect()}
+    bench = bench.union(spark.createDataFrame([(None, " ".join(words[5:18]))], bench.schema))
+    rows = decontaminate.longest_matches(docs, bench).collect()
+    found = {r["item_start"]: (r["length"], r["match_id"], r["match_start"]) for r in rows if r["item"] == "9"}
     assert found[0] == (20, 1, 0) and found[3] == (30, 2, 2) and found[5] == (28, 2, 4) and found[20] == (13, 2, 19)
-    assert set(found) == set(range(21))
+    assert set(found) == set(range(21)) and len(rows) == 25
+    nameless = sorted((r["match_id"], r["match_start"], r["length"]) for r in rows if r["item"] is None)
+    assert nameless == [(1, 5, 13), (2, 4, 13), (3, 0, 13), (3, 13, 13)]
+
+
+def slow_longest(text, items, size=13):
+    words, best = slow_words(text), (0, None)
+    for _, item in items:
+        other = slow_words(item)
+        for p in range(len(words)):
+            for q in range(len(other)):
+                n = 0
+                while p + n < len(words) and q + n < len(other) and words[p + n] == other[q + n]:
+                    n += 1
+                if n and n >= min(size, len(other)) and (n > best[0] or n == best[0] and p < best[1]):
+                    best = (n, p)
+    return best
+
+
+def test_longest_match_of_a_document_is_brute_force(spark, monkeypatch):
+    rng = random.Random(5)
+    say = lambda n: " ".join(rng.choice("abcde") for _ in range(n))
+    items = [(None, say(30)), (1, say(40)), (1, say(5)), (2, "a " * 20), (3, say(17))]
+    rows = [(k, " ".join([say(9), *(i for _, i in rng.sample(items, k % 3)), "zz", say(rng.randint(0, 40))])) for k in range(40)]
+    rows += [(90, items[0][1]), (91, "a " * 50), (92, None), (93, "")]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {k: slow_longest(text, items) for k, text in rows}
+    for block in (1 << 20, 60):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+        found = {r["doc_id"]: r for r in decontaminate.contamination(docs, bench).collect()}
+        assert {k: (r["longest_words"], r["longest_at"]) for k, r in found.items()} == want
+        assert found[90]["n_hit"] == 30 and "None" not in found[90]["items"]  # an item without an id has windows
+
+
+def test_a_long_item_takes_linear_time():
+    words = " ".join(f"w{k % 5000}x{k}" for k in range(16_000))
+    began = time.perf_counter()
+    _, hit, _, longest = decontaminate.hits(["before " + words + " after"], decontaminate.TestSuffixes([("1", words)]))
+    assert hit.sum() == 16_000 and longest.tolist() == [[16_000, 1]]
+    assert time.perf_counter() - began < 3
 
 
 def test_no_benchmark_and_no_documents(spark, odd):

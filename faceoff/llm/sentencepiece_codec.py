@@ -328,6 +328,24 @@ def decode(coded: DataFrame, path: str, ids_col: str = "ids", text_col: str = "d
     return coded.withColumn(text_col, text_of(F.col(ids_col)))
 
 
+def coded_both_ways(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_tokens, ids, same_text): the ids of every document, and whether they decode to its text."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = model(path)
+        for rows in _slices(batches):
+            texts = rows.column(1).to_pylist()
+            ids = [np.frombuffer(coder.encode_bytes(t), "<i4") for t in texts]
+            same = [coder.decode(i) == (t or "") for i, t in zip(ids, texts)]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), pa.array([len(i) for i in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(same)],
+                names=[id_col, "n_tokens", "ids", "same_text"],
+            )
+
+    schema = T._parse_datatype_string("n_tokens long, ids array<int>, same_text boolean")
+    return docs.select(id_col, text_col).mapInArrow(check, T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *schema.fields]))
+
+
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids_sha256, same_text): the ids of every document, and whether they decode to its text.
 

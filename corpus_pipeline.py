@@ -40,10 +40,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids) of what is left."""
+    """(doc_id, n_tokens, ids, same_text) of what is left; same_text: the ids decode to the text."""
     ship_code(spark)
-    coded = sentencepiece_codec.encode(docs, public_tokenizers.path(PIECES))
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    return sentencepiece_codec.coded_both_ways(docs, public_tokenizers.path(PIECES))
 
 
 STAGES = [
@@ -51,7 +50,7 @@ STAGES = [
     ("SimHash near-dedup", near_duplicates),
     ("substring dedup", substrings),
     ("benchmark decontamination", decontamination),
-    ("SentencePiece encoding", token_ids),
+    ("SentencePiece encoding and decoding", token_ids),
 ]
 
 # SQL can express neither the trees of the first stage nor the content-defined chunks of the third.

@@ -11,11 +11,13 @@ The scorer learns how often words and word beginnings of restored texts stand in
 toxic documents, from at most ``MAX_FIT_ROWS`` labelled rows (a documented bound).  A
 document's evidence is that of its worst word and the number of bad
 words, turned into a probability by logistic regression.  Words that are bad with
-fewer doubled letters, and two or three neighbours that are a bad word together, count
-too if their lattice's best path is that word.
+fewer doubled letters, without the marks between their letters, or with plain
+letters for accented, full-width and look-alike ones, and neighbours that are a bad
+word together, count too if their lattice's best path is that word.
 
 Defined results: null and empty texts have no evidence and score lowest; without
-labels of both kinds every score is the share of ones (0 without labels);
+labels of both kinds every score is the share of ones (0 without labels); a mark is
+evidence from ``LEAST_TOXIC`` toxic rows on, or a twentieth of them where that is less (one at least);
 very long words are decoded in full; an empty table gives an empty result; rows are
 scored one by one; extra columns are not read.
 """
@@ -24,8 +26,11 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +41,6 @@ from pyspark.sql import types as T
 from faceoff.llm.common import sample_labelled, written
 
 MAX_FIT_ROWS = 20_000
-WORD_ENTRIES = 20_000
 SUMMARY_ENTRIES = 200_000
 CACHE_WORDS = 500_000
 LONGEST_CACHED = 64
@@ -55,6 +59,8 @@ _RUN = re.compile(r"([^\W\d_])\1\1", re.UNICODE)
 _DOUBLE = re.compile(r"(.)\1+", re.DOTALL)
 # letters set apart by marks
 _APART = re.compile(r"[^\W_](?:[._\-*~|/+,:;·•=]+[^\W_]){2,}", re.UNICODE)
+# Cyrillic and Greek letters that look like Latin ones
+_LOOKS = str.maketrans("аеорсухіѕјԁοανι", "aeopcyxisjdoavi")
 _SWAP = "".join(re.escape(c) for c in STANDS_FOR)
 _ODD = re.compile(rf"[^\W\d_][{_SWAP}]+[^\W\d_]|^[{_SWAP}]+[^\W\d_]|[^\W\d_][{_SWAP}]+$", re.UNICODE)
 
@@ -154,8 +160,16 @@ def _apart_lattice(word: str) -> list[list[tuple[str, float]]]:
     ]
 
 
+@cache
+def _plain(char: str) -> str:
+    """The plain letters of a character: none for marks, accents and characters without width."""
+    return "".join(filter(str.isalnum, unicodedata.normalize("NFKD", char.translate(_LOOKS)))).lower()
+
+
 def restore_word(word: str, letters: Letters) -> str:
     """A lower-case word as meant; itself if it is not odd."""
+    if word.isalpha() and not _RUN.search(word):
+        return word
     core = word.strip(_EDGES) or word
     if _APART.fullmatch(core) and any(map(str.isalpha, core)):
         return decode(_apart_lattice(core), letters)
@@ -180,6 +194,14 @@ def restore_spaced(parts: list[str], letters: Letters) -> list[str]:
     return decode(steps, letters).split()
 
 
+def alone(word: str) -> str:
+    """The character of a word that has one, whatever marks are at its edges; else nothing."""
+    if len(word) == 1:
+        return word
+    core = word.strip(_MARKS)
+    return core if len(core) == 1 else ""
+
+
 class Restorer:
     """A worker's decoder with its cache."""
 
@@ -198,17 +220,19 @@ class Restorer:
 
     def spaced(self, words: list[str]) -> list[str]:
         """Words meant by every run of three or more single characters that are not all alike."""
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        sizes, own = lengths == 1, words
-        for k in np.flatnonzero((lengths > 1) & (lengths < 6)).tolist():
-            if len(core := own[k].strip(_MARKS)) == 1:  # a single character with marks at its edges
-                words = list(own) if words is own else words
-                words[k], sizes[k] = core, True
-        edge = np.flatnonzero(np.diff(np.concatenate(([0], sizes.astype(np.int8), [0]))))
+        found = ((k, alone(w)) for k, w in enumerate(words) if len(w) == 1 or w[0] in _MARKS or w[-1] in _MARKS)
+        return self.closed([(k, c) for k, c in found if c])
+
+    def closed(self, singles: list[tuple[int, str]]) -> list[str]:
+        """The same from the (place, character) of the single characters."""
         out: list[str] = []
-        for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
-            if b - a >= 3 and len(set(words[a:b])) > 1:
-                out += restore_spaced(words[a:b], self.letters)
+        a = 0
+        for b in range(1, len(singles) + 1):
+            if b == len(singles) or singles[b][0] != singles[b - 1][0] + 1:
+                run = [c for _, c in singles[a:b]]
+                if b - a >= 3 and len(set(run)) > 1:
+                    out += restore_spaced(run, self.letters)
+                a = b
         return out
 
     def text(self, text: str | None) -> str:
@@ -217,27 +241,41 @@ class Restorer:
         return " ".join([self.word(w) for w in words] + self.spaced(words))
 
 
+def _trigrams(words: Counter) -> tuple[np.ndarray, np.ndarray]:
+    """Packed trigrams of the words that are not odd, and how often they stand in all."""
+    cores: Counter = Counter()
+    for w, n in words.items():
+        core = w if w.isalpha() else w.strip(_EDGES)
+        if core and (core.isalpha() or not _ODD.search(core)):
+            cores[core] += n
+    if not cores:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    body = "".join([BEGIN + BEGIN + w + END for w in cores])
+    chars = np.frombuffer(body.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    sizes = np.fromiter(map(len, cores), np.int64, len(cores)) + 3
+    times = np.repeat(np.fromiter(cores.values(), np.int64, len(cores)), sizes)
+    first = np.ones(len(chars), bool)  # no trigram begins at the last two characters of a word
+    ends = np.cumsum(sizes)
+    first[ends - 1] = first[ends - 2] = False
+    at = np.flatnonzero(first)
+    found = Counts(chars[at] << 42 | chars[at + 1] << 21 | chars[at + 2], times[at])
+    return found.keys, found.counts
+
+
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: Counter = Counter()
     words: Counter = Counter()
 
-    def flush():
-        for w, n in words.items():
-            core = w.strip(_EDGES)
-            if core and not _ODD.search(core):
-                for g in grams(core):
-                    found[g] += n
+    def summary() -> pa.RecordBatch:
+        grams_, counts = _trigrams(words)
         words.clear()
+        return pa.RecordBatch.from_arrays([pa.array(grams_), pa.array(counts)], names=["gram", "n"])
 
     for rows in batches:
         for text in rows.column(0).to_pylist():
             words.update((text or "").lower().split())
             if len(words) > SUMMARY_ENTRIES:
-                flush()
-    flush()
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(map(packed, found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["gram", "n"]
-    )
+                yield summary()
+    yield summary()
 
 
 def language_model(docs: DataFrame, text_col: str = "text") -> Letters:
@@ -261,51 +299,87 @@ class Scorer:
         self.theta = np.array([0.0, 0.0, 0.0])
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("restorer", "known", "bad", "heads", "single")}
+        return {k: v for k, v in self.__dict__.items() if k in ("letters", "evidence", "constant", "theta")}
+
+    def _prepare(self) -> None:
+        """What a worker keeps beside the model: its caches, and what can begin evidence."""
+        self.restorer, self.known = Restorer(self.letters), {}
+        self.bad = {m[1:] for m, share in self.evidence.items() if m[0] == "=" and share > 0.5}
+        self.heads = {w[:n] for w in self.bad for n in range(1, len(w))}
+        self.single = {_DOUBLE.sub(r"\1", w) for w in self.bad}
+        self.rims = {w[0] + w[-1] for w in self.bad}  # squeezing keeps a word's first and last letter
+        self.starts = {m.removeprefix("=")[:3] for m in self.evidence}  # marks are three letters or more
 
     def _of(self, word: str) -> float:
+        if word[:3] not in self.starts:
+            return 0.0
         return max((self.evidence.get(m, 0.0) for m in marks_of(word)), default=0.0)
 
     def _word(self, word: str) -> float:
-        restored = self.restorer.word(word)
+        restored = restore_word(word, self.letters)
         found = self._of(restored)
-        if not found and _DOUBLE.search(restored) and _DOUBLE.sub(r"\1", restored) in self.single:
+        if not found and restored and restored[0] + restored[-1] in self.rims and _DOUBLE.sub(r"\1", restored) in self.single:
             fewer = [[(m[1] * k, SQUEEZE_COST * (k < len(m[0]))) for k in range(1, len(m[0]) + 1)] for m in re.finditer(r"(.)\1*", restored, re.DOTALL)]
             found = self._of(decode(fewer, self.letters))
+        if not found and not (word.isascii() and word.isalpha()):
+            found = self._hidden(word)
         return found
 
-    def _together(self, words: list[str]) -> list[float]:
-        """Evidence of two or three neighbours that are a bad word together."""
-        cores, found = [w.strip(_EDGES) for w in words], []
-        for k in [k for k, core in enumerate(cores) if core in self.heads]:
-            for n in (2, 3):
-                parts = cores[k : k + n]
-                word = "".join(parts)
-                if len(parts) == n and word in self.bad and all(parts) and not any(p in self.bad for p in parts):
+    def _hidden(self, word: str) -> float:
+        """Evidence of a word that is bad without the marks between its letters and with plain letters."""
+        core = word.strip(_EDGES)
+        if not core or (rim := _plain(core[0]) + _plain(core[-1])) not in self.rims and len(rim) == 2:
+            return 0.0
+        steps = [(c, _plain(c)) for c in core]
+        plain = "".join(p for _, p in steps)
+        if plain not in self.bad:
+            return 0.0
+        best = decode([[(p, 0.0)] if p else [("", 0.0), (c, KEEP_COST)] for c, p in steps], self.letters)
+        return self._of(plain) if best == plain else 0.0
+
+    def _together(self, words: list[str], at: list[int]) -> list[float]:
+        """Evidence of neighbours that are a bad word together; ``at`` are the places where one may begin."""
+        found = []
+        for k in at:
+            parts, word = [words[k].strip(_EDGES)], ""
+            while (word := "".join(parts)) in self.heads and k + len(parts) < len(words):
+                parts.append(words[k + len(parts)].strip(_EDGES))
+                if not parts[-1] or parts[-1] in self.bad:
+                    break
+                if (word := word + parts[-1]) in self.bad and parts[0] not in self.bad:
                     gap = [[("", 0.0), (" ", 0.0)]]
                     steps = [step for p in parts for step in [*gap, *([(c, 0.0)] for c in p)]][1:]
                     if decode(steps, self.letters) == word:
                         found.append(self._of(word))
         return found
 
+    def _entry(self, word: str) -> tuple[float, str, bool] | int:
+        """(evidence, the character if there is one alone, whether a bad word begins so); 0 for all other words."""
+        value, core = self._word(word), word.strip(_EDGES)
+        if not value and len(word) > 1 and core not in self.heads and (len(core) > 1 or not alone(word)):
+            return 0
+        return value, alone(word), core in self.heads
+
     def measure(self, text: str | None) -> tuple[float, float]:
         """(evidence of the worst word, log of one plus the bad words)."""
         if not hasattr(self, "known"):
-            self.restorer, self.known = Restorer(self.letters), {}
-            self.bad = {m[1:] for m, share in self.evidence.items() if m[0] == "=" and share > 0.5}
-            self.heads = {w[:n] for w in self.bad for n in range(1, len(w))}
-            self.single = {_DOUBLE.sub(r"\1", w) for w in self.bad}
-        words = (text or "").lower().split()
-        values, known = list(map(self.known.get, words)), self.known
-        if None in values:
-            for k, (w, v) in enumerate(zip(words, values)):
-                if v is None:
-                    values[k] = self._word(w)
-                    if len(w) <= LONGEST_CACHED:
+            self._prepare()
+        words, known = (text or "").lower().split(), self.known
+        entries = list(map(known.get, words))
+        if None in entries:
+            for k in [k for k, entry in enumerate(entries) if entry is None]:
+                word = words[k]
+                if (entry := known.get(word)) is None:
+                    entry = self._entry(word)
+                    if len(word) <= LONGEST_CACHED:
                         if len(known) >= CACHE_WORDS:
                             known.clear()
-                        known[w] = values[k]
-        values += [self._of(w) for w in self.restorer.spaced(words)] + self._together(words)
+                        known[word] = entry
+                entries[k] = entry
+        told = [(k, *entries[k]) for k in compress(range(len(words)), entries)]
+        values = [value for _, value, _, _ in told]
+        values += [self._of(w) for w in self.restorer.closed([(k, c) for k, _, c, _ in told if c])]
+        values += self._together(words, [k for k, _, _, head in told if head])
         bad = sum(v > 0.5 for v in values) if self.evidence else 0
         return max(values, default=0.0), math.log1p(bad)
 
@@ -352,8 +426,7 @@ def fit(docs: DataFrame, labels: DataFrame, letters: Letters, id_col: str = "doc
         sample.mapInArrow(count, "mark string, clean long, toxic long")
         .groupBy("mark").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .filter(F.col("toxic") >= least)
-        .select("mark", "toxic", share.alias("share")).filter(F.col("share") > max(2 * prior, 0.5))
-        .orderBy(F.desc("share"), F.desc("toxic"), "mark").limit(WORD_ENTRIES)
+        .select("mark", share.alias("share")).filter(F.col("share") > max(2 * prior, 0.5))
     )
     scorer = Scorer(letters, {r["mark"]: r["share"] for r in marks.collect()})
     trained = spark.sparkContext.broadcast(scorer)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from faceoff.llm import quality_classifier, quality_rules, toxicity
-from faceoff.llm.common import held_out, table
+from faceoff.llm.common import held_out, sample_labelled, table
 from test_llm_pairs import ODD_ROWS, ODD_SCHEMA
 
 SF = "/root/testdata/sf0.01"
@@ -204,3 +204,20 @@ def test_every_form_is_evidence(shown):
 def test_a_long_line_of_letters_is_one_pass():
     scorer = toxicity.Scorer(english(), {"=idiot": 0.9})
     assert scorer.measure("i, d, i, o, t. " * 2000)[0] == 0.9
+
+
+@pytest.mark.parametrize("shown", ["id i o t", "id-iot", "idi.ot", "i-di-ot", "i..... d..... i..... o..... t.....", "ｉｄｉｏｔ",
+                                   "idiót", "idіot", "id\u200biot", "«idi-ot»"])
+def test_hidden_forms_are_evidence(shown):
+    scorer = toxicity.Scorer(english(), {"=idiot": 0.9})
+    assert scorer.measure(f"you are an {shown} today")[0] == 0.9
+    assert scorer.measure("an id in a lot of idioms, i-d and idiosyncrasy")[0] == 0.0
+
+
+def test_labelled_rows_are_bounded(spark):
+    docs = spark.createDataFrame([(k % 40, f"text {k}") for k in range(500)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    rows = sample_labelled(docs, labels, "quality", 40).collect()
+    assert 0 < len(rows) <= 40 and len(set(r["text"] for r in rows)) == len(rows)
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, sample_labelled(docs.repartition(7), labels, "quality", 40).collect()))
+    assert sample_labelled(docs, labels, "quality", 5).count() == 5

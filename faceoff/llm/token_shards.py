@@ -93,26 +93,12 @@ class Encoder:
             raise ValueError(f"ids take two bytes; the vocabulary has {self.end}")
         self.library = tiktoken.Encoding("shards", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.words: dict[str, bytes] = {}
-        self.sizes: dict[str, int] = {}
+        self.opens = np.zeros(self.end, bool)
+        self.opens[[i for piece, i in ranks.items() if piece.startswith(b" ")]] = True
 
     def count(self, text: str) -> int:
-        """The number of ids of a text, without making them where its words' numbers are known."""
-        head, *words = text.split(" ")
-        known = self.sizes
-        found = list(map(known.get, words))
-        if None in found:
-            for k in [k for k, n in enumerate(found) if n is None]:
-                word = words[k]
-                if not word or word[0].isspace() or word[-1].isspace():
-                    return len(self.library.encode_ordinary(text))
-                found[k] = len(self.library.encode_ordinary(" " + word))
-                if len(word) <= LONGEST_CACHED:
-                    if len(known) >= CACHE_WORDS:
-                        known.clear()
-                    known[word] = found[k]
-        if head and head[-1].isspace():
-            return len(self.library.encode_ordinary(text))
-        return len(self.library.encode_ordinary(head)) + sum(found)
+        """The number of ids of a text; the second pass finds its words' ids known."""
+        return sum(map(len, self.parts(text))) // 2
 
     def _ids(self, text: str) -> bytes:
         ids = array("H", self.library.encode_ordinary(text))
@@ -123,22 +109,33 @@ class Encoder:
     def parts(self, text: str) -> list[bytes]:
         """Ids of a text, two bytes each, word by word."""
         head, *words = text.split(" ")
+        if head and head[-1].isspace():
+            return [self._ids(text)]
         known = self.words
         found = list(map(known.get, words))
         if None in found:
-            for k in [k for k, ids in enumerate(found) if ids is None]:
-                word = words[k]
-                if not word or word[0].isspace() or word[-1].isspace():
-                    return [self._ids(text)]
-                found[k] = self._ids(" " + word)
-                if len(word) <= LONGEST_CACHED:
-                    if len(known) >= CACHE_WORDS:
-                        known.clear()
-                    known[word] = found[k]
-        if head and head[-1].isspace():
-            return [self._ids(text)]
+            missing = [k for k, ids in enumerate(found) if ids is None]
+            asked = list(dict.fromkeys(words[k] for k in missing))
+            if any(not word or word[0].isspace() or word[-1].isspace() for word in asked):
+                return [self._ids(text)]
+            new = dict(zip(asked, self._apart(asked)))
+            for k in missing:
+                found[k] = new[words[k]]
+            if len(known) + len(new) > CACHE_WORDS:
+                # frequent words come early: the newer half goes
+                for rare in list(islice(reversed(known), len(known) // 2)):
+                    del known[rare]
+            known.update(new if max(map(len, asked)) <= LONGEST_CACHED else {w: x for w, x in new.items() if len(w) <= LONGEST_CACHED})
         return [self._ids(head), *found]
 
+    def _apart(self, words: list[str]) -> list[bytes]:
+        """Ids of each of the words after a space, encoded at once: only the first id of each begins with a space."""
+        joined = self._ids(" " + " ".join(words))
+        at = (2 * np.flatnonzero(self.opens[np.frombuffer(joined, "<u2")])).tolist()
+        if len(at) != len(words):
+            raise RuntimeError("the vocabulary or pattern puts two words' bytes into one id")
+        return [joined[a:b] for a, b in zip(at, [*at[1:], len(joined)])]
+
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
 

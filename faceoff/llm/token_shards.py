@@ -26,6 +26,7 @@ documents of their own; an empty table writes no shards; extra columns are not r
 from __future__ import annotations
 
 import base64
+import re
 import sys
 from array import array
 from collections.abc import Iterator
@@ -33,6 +34,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyspark.sql.types as T
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -43,8 +45,13 @@ SHARD_SEQUENCES = 8192
 TASK_SHARDS = 4  # neighbouring shards that one task writes
 ROUNDS = 6
 NO_ID = -(1 << 63)
-CACHE_WORDS = 1_000_000
-LONGEST_CACHED = 64
+# The pattern of GPT-2's pre-tokenizer: only the part LOOK_AHEAD takes white space, but for one space before a word.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
+LOOK_AHEAD = r"|\s+(?!\S)|\s+"
+# what \s is in that pattern; Python's \s has more
+WHITE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+RUN_CHARS = 64  # characters a run from which cutting saves time
+RUNS = re.compile(f"({WHITE}{{2,}})")
 _HEAD = np.dtype([("slot", "<i8"), ("id", "<i8"), ("sequence", "<i4"), ("n_tokens", "<i4")])
 
 
@@ -76,11 +83,17 @@ def slots(index: np.ndarray, n: int, key: int) -> np.ndarray:
 
 
 # ------------------------------------------------------------ tokenisation
+def white_runs(texts: pa.Array) -> list[int | None]:
+    """How often white space stands beside white space in each text."""
+    return pc.count_substring_regex(texts, RUNS.pattern).to_pylist()
+
+
 class Encoder:
-    """A worker's tokenizer over a rank file, with a cache of words.
+    """A worker's tokenizer over a rank file.
 
-    The pre-tokenizer always starts a piece with a space that has no white space
-    beside it, so a text's ids are those of its words put together.
+    The usual pattern ends with a look-ahead, which makes all its matching slow. It only leaves the last
+    character of a run of white space to the word behind it; texts are cut there, and their parts need none.
+    Texts of many runs, where the calls would take longer, and other patterns go to the library as they are.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -92,50 +105,31 @@ class Encoder:
         if self.end > 0xFFFF:
             raise ValueError(f"ids take two bytes; the vocabulary has {self.end}")
         self.library = tiktoken.Encoding("shards", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.words: dict[str, bytes] = {}
-        self.opens = np.zeros(self.end, bool)
-        self.opens[[i for piece, i in ranks.items() if piece.startswith(b" ")]] = True
-
-    def count(self, text: str) -> int:
-        """The number of ids of a text; the second pass finds its words' ids known."""
-        return sum(map(len, self.parts(text))) // 2
-
-    def _ids(self, text: str) -> bytes:
-        ids = array("H", self.library.encode_ordinary(text))
+        self.part = self.library
+        if pattern == WORDS + LOOK_AHEAD:
+            self.part = tiktoken.Encoding("parts", pat_str=WORDS + r"|\s+", mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: str, runs: int) -> list[int]:
+        """Ids of a text that holds so many runs of white space."""
+        encode = self.part.encode_ordinary
+        if not runs:
+            return encode(text)
+        if self.part is self.library or runs * RUN_CHARS > len(text):
+            return self.library.encode_ordinary(text)
+        head, *rest = RUNS.split(text)
+        ids = encode(head)
+        for run, words in zip(rest[::2], rest[1::2]):
+            # a run that ends the text is one piece
+            ids += encode(run[:-1]) + encode(run[-1] + words) if words else encode(run)
+        return ids
+
+    def packed(self, text: str, runs: int) -> bytes:
+        """Ids of a text, two bytes each."""
+        ids = array("H", self.encode(text, runs))
         if sys.byteorder == "big":
             ids.byteswap()
         return ids.tobytes()
 
-    def parts(self, text: str) -> list[bytes]:
-        """Ids of a text, two bytes each, word by word."""
-        head, *words = text.split(" ")
-        if head and head[-1].isspace():
-            return [self._ids(text)]
-        known = self.words
-        found = list(map(known.get, words))
-        if None in found:
-            missing = [k for k, ids in enumerate(found) if ids is None]
-            asked = list(dict.fromkeys(words[k] for k in missing))
-            if any(not word or word[0].isspace() or word[-1].isspace() for word in asked):
-                return [self._ids(text)]
-            new = dict(zip(asked, self._apart(asked)))
-            for k in missing:
-                found[k] = new[words[k]]
-            if len(known) + len(new) > CACHE_WORDS:
-                # frequent words come early: the newer half goes
-                for rare in list(islice(reversed(known), len(known) // 2)):
-                    del known[rare]
-            known.update(new if max(map(len, asked)) <= LONGEST_CACHED else {w: x for w, x in new.items() if len(w) <= LONGEST_CACHED})
-        return [self._ids(head), *found]
-
-    def _apart(self, words: list[str]) -> list[bytes]:
-        """Ids of each of the words after a space, encoded at once: only the first id of each begins with a space."""
-        joined = self._ids(" " + " ".join(words))
-        at = (2 * np.flatnonzero(self.opens[np.frombuffer(joined, "<u2")])).tolist()
-        if len(at) != len(words):
-            raise RuntimeError("the vocabulary or pattern puts two words' bytes into one id")
-        return [joined[a:b] for a, b in zip(at, [*at[1:], len(joined)])]
-
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
 
@@ -171,20 +165,20 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, pattern: str, key:
     rows = docs.select(F.coalesce(own, F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def texts(batches: Iterator[pa.RecordBatch], count: list) -> Iterator[tuple]:
-        """(id, text) of the documents that have a text; their digest goes to ``count``."""
+        """(id, text, its runs of white space) of the documents that have a text; their digest goes to ``count``."""
         for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for name, text, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), white_runs(batch.column(1))):
                 if text:
                     count[1] = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), count[1]) >> 1
-                    yield name, text
+                    yield name, text, runs
 
     def tokenised(batches: Iterator[pa.RecordBatch], count: list) -> Iterator[tuple]:
-        """(id, its ids in parts) of the documents that have a text; counts into ``count``."""
+        """(id, its ids) of the documents that have a text; counts into ``count``."""
         coder = encoder(tokenizer, pattern)
-        for name, text in texts(batches, count):
-            parts = coder.parts(text)
-            count[0] += _n_sequences(sum(map(len, parts)) // 2, length)
-            yield name, parts
+        for name, text, runs in texts(batches, count):
+            ids = coder.packed(text, runs)
+            count[0] += _n_sequences(len(ids) // 2, length)
+            yield name, ids
 
     def partition() -> int:
         from pyspark import TaskContext
@@ -193,8 +187,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, pattern: str, key:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, coder = [0, 0], encoder(tokenizer, pattern)
-        for _, text in texts(batches, count):
-            count[0] += _n_sequences(coder.count(text), length)
+        for _, text, runs in texts(batches, count):
+            count[0] += _n_sequences(len(coder.encode(text, runs)), length)
         yield pa.RecordBatch.from_pydict({"part": [partition()], "n": [count[0]], "digest": [count[1]]})
 
     counts = sorted(rows.mapInArrow(counted, "part long, n long, digest long").collect())
@@ -208,7 +202,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, pattern: str, key:
         first, n, digest = plan.value[partition()]
         count, end = [0, 0], encoder(tokenizer, pattern).end
         documents = tokenised(batches, count)
-        while group := [(name, b"".join(parts)) for name, parts in islice(documents, 256)]:
+        while group := list(islice(documents, 256)):
             cut = [sequences(c, end, length) for _, c in group]
             sizes = np.array([len(c) for c in cut])
             body = np.concatenate(cut)

@@ -1,9 +1,11 @@
 """Token counts, shards and the SentencePiece codec against the libraries."""
 
 import random
+import time
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as pb
@@ -75,6 +77,35 @@ def test_shards_hold_every_document(spark, tmp, length, shard):
     assert sorted(r["slot"] for r in later.collect()) == list(range(total - 70, total))
 
 
+def test_shard_ids_are_the_librarys():
+    white = [chr(k) for k in range(0x3100) if chr(k).isspace()] + ["\u200b", "\ufeff"]
+    texts = strings(white + list(" \n\n'sabeth12é🙂日.<"), 20000, 14) + ["x" * 200 + t for t in strings(" \n\tab'", 2000, 8, 2)]
+    texts += [" " * 3000 + "a", "a" + " \n" * 3000, "\x1c\x1c a", ""]
+    odd_pattern = r"\p{N}{1,3}|\s*[\r\n]+|\s+(?!\S)|\s?\S"
+    for pattern in (public_tokenizers.PATTERN, odd_pattern):
+        coder = token_shards.encoder(RANKS, pattern)
+        for text, runs in zip(texts, token_shards.white_runs(pa.array(texts))):
+            assert coder.encode(text, runs) == coder.library.encode_ordinary(text)
+    whole, cut = token_shards.encoder(RANKS, odd_pattern), token_shards.encoder(RANKS, public_tokenizers.PATTERN)
+    assert whole.part is whole.library and cut.part is not cut.library
+
+
+def test_new_words_take_no_longer_than_in_the_library():
+    coder = token_shards.Encoder(RANKS, public_tokenizers.PATTERN)
+    words = strings("abehtonris", 200_000, 10)
+    texts = [" ".join(words[k : k + 400]) for k in range(0, len(words), 400)]
+    texts = [" ".join(t.split()) for t in texts]
+
+    def seconds(encode):
+        began = time.process_time()
+        for text in texts:
+            encode(text)
+        return time.process_time() - began
+
+    own = min(seconds(lambda t: coder.packed(t, 0)) for _ in range(3))
+    assert own < 1.25 * min(seconds(coder.library.encode_ordinary) for _ in range(3))
+
+
 def test_no_shards_of_no_documents(spark, tmp, odd):
     assert token_shards.write_shards(odd.limit(0), tmp + "/s", RANKS, public_tokenizers.PATTERN) == 0
     assert token_shards.write_shards(odd.filter("text is null"), tmp + "/t", RANKS, public_tokenizers.PATTERN) == 0
